@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.skew import spread_join
 
-def replace_keys(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+
+def replace_keys(
+    target: DataFrame, batch: DataFrame, key: str, spread_by: str | None = None, hot: DataFrame | None = None
+) -> DataFrame:
     """``target`` without the batch's keys, plus the batch.
 
     Only keys present in the batch are replaced. Pass a materialized batch when it
-    is costly: it is read twice.
+    is costly: it is read twice. ``key`` may repeat in the target.
     """
     keys = batch.select(key).distinct()
-    return target.join(keys, key, "left_anti").unionByName(batch)
+    return spread_join(target, keys, key, "left_anti", spread_by, hot).unionByName(batch)
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: list[str]) -> DataFrame:

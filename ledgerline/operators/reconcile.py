@@ -213,7 +213,7 @@ def reconcile_keys(
     return reconcile(
         orders.join(keys, "order_id", "left_semi"),
         events,
-        settlements.join(events.select("txn_id"), "txn_id", "left_semi"),
+        spread_join(settlements, events.select("txn_id"), "txn_id", "left_semi", spread_by="settlement_id"),
         hot,
     )
 
@@ -225,4 +225,4 @@ def reconcile_incremental(
     """``target`` with the orders touched on ``run_date`` recomputed and replaced."""
     keys = affected_orders(orders, gateway, settlements, run_date)
     batch = materialize(reconcile_keys(orders, gateway, settlements, keys, hot), "batch")
-    return replace_keys(target, batch, "order_id")
+    return replace_keys(target, batch, "order_id", spread_by="txn_id")

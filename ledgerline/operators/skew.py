@@ -40,10 +40,15 @@ def _tag_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     return df.join(tags, F.col(key) == F.col("_hot"), "left")
 
 
-def salt_rows(df: DataFrame, key: str, hot: DataFrame, spread_by: str, salts: int) -> DataFrame:
-    """Add ``_salt``: rows of hot or NULL keys are spread over all salts, the rest get 0."""
+def salt_rows(df: DataFrame, key: str, hot: DataFrame, spread_by: str | None, salts: int) -> DataFrame:
+    """Add ``_salt``: rows of hot or NULL keys are spread over all salts, the rest get 0.
+
+    The salt is a hash of ``spread_by`` (default: of the whole row), not a random
+    number, so a repeated task puts every row where it was before.
+    """
     spread = F.col("_hot").isNotNull() | F.col(key).isNull()
-    salt = F.when(spread, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0)
+    source = [spread_by] if spread_by else df.columns
+    salt = F.when(spread, F.pmod(F.xxhash64(*source), F.lit(salts)).cast("int")).otherwise(0)
     return _tag_hot(df, key, hot).withColumn("_salt", salt).drop("_hot")
 
 
@@ -56,7 +61,7 @@ def copy_to_salts(df: DataFrame, key: str, hot: DataFrame, salts: int) -> DataFr
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, spread_by: str,
+    left: DataFrame, right: DataFrame, key: str, how: str, spread_by: str | None = None,
     hot: DataFrame | None = None, salts: int | None = None,
 ) -> DataFrame:
     """Equi join of a possibly skewed left side to a right side unique on ``key``.
