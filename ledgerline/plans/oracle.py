@@ -6,6 +6,8 @@ where that groups, joins where that forwards, integer rounding where that divide
 
 from __future__ import annotations
 
+import re
+
 from ledgerline.functions.text import NUMBER, TIME
 
 # Derived tables. d0 is the first day; each name builds on those above it.
@@ -173,8 +175,8 @@ _TABLES = {
         FROM sg LEFT JOIN so USING (order_id) LEFT JOIN pay USING (txn_id) LEFT JOIN back USING (txn_id)""",
     "daily": """
         SELECT report_date, count(*) AS total_orders,
-          sum(is_matched) AS matched_count, sum(is_open) AS discrepancy_count,
-          sum(is_returned) AS refunded_count, sum(is_pending) AS pending_count,
+          count(*) FILTER (is_matched = 1) AS matched_count, count(*) FILTER (is_open = 1) AS discrepancy_count,
+          count(*) FILTER (is_returned = 1) AS refunded_count, count(*) FILTER (is_pending = 1) AS pending_count,
           ((20000 * sum(is_open) + count(*)) // (2 * count(*))) / 100.0 AS discrepancy_rate_pct,
           sum(CASE WHEN is_open = 1 THEN order_amount END) AS discrepancy_amount,
           sum(CASE WHEN settlement_id IS NULL AND order_status IN ('paid', 'refunded')
@@ -195,12 +197,12 @@ _TABLES = {
         GROUP BY report_date""",
     "merchant_totals": """
         SELECT f.merchant_id, v.name, v.category, v.fee_rate, count(*) AS total_orders,
-          sum(CASE WHEN reconciliation_status = 'discrepancy' THEN 1 ELSE 0 END) AS discrepancy_count,
-          sum(CASE WHEN is_missing_settlement THEN 1 ELSE 0 END) AS missing_settlement_count,
-          sum(CASE WHEN is_late_settlement THEN 1 ELSE 0 END) AS late_settlement_count,
-          sum(CASE WHEN is_amount_mismatch THEN 1 ELSE 0 END) AS amount_mismatch_count,
-          sum(CASE WHEN is_duplicate_charge THEN 1 ELSE 0 END) AS duplicate_charge_count,
-          sum(CASE WHEN is_status_mismatch THEN 1 ELSE 0 END) AS status_mismatch_count,
+          count(*) FILTER (reconciliation_status = 'discrepancy') AS discrepancy_count,
+          count(*) FILTER (is_missing_settlement) AS missing_settlement_count,
+          count(*) FILTER (is_late_settlement) AS late_settlement_count,
+          count(*) FILTER (is_amount_mismatch) AS amount_mismatch_count,
+          count(*) FILTER (is_duplicate_charge) AS duplicate_charge_count,
+          count(*) FILTER (is_status_mismatch) AS status_mismatch_count,
           sum(CASE WHEN reconciliation_status = 'discrepancy' THEN order_amount END) AS discrepancy_amount
         FROM fact AS f JOIN versions AS v ON v.merchant_id = f.merchant_id AND v.valid_to IS NULL
         GROUP BY ALL""",
@@ -231,9 +233,9 @@ _TABLES = {
           AND coalesce(gateway_event_time, order_created_at) <= TIMESTAMP '2026-09-05'""",
     "detections": """
         SELECT kind AS error_type,
-          sum(CASE WHEN flag AND kind = error_type THEN 1 ELSE 0 END) AS true_positives,
-          sum(CASE WHEN flag AND kind <> error_type THEN 1 ELSE 0 END) AS false_positives,
-          sum(CASE WHEN NOT flag AND kind = error_type THEN 1 ELSE 0 END) AS false_negatives
+          count(*) FILTER (flag AND kind = error_type) AS true_positives,
+          count(*) FILTER (flag AND kind <> error_type) AS false_positives,
+          count(*) FILTER (NOT flag AND kind = error_type) AS false_negatives
         FROM (
           SELECT 'missing_settlement' AS kind, error_type, is_missing_settlement AS flag FROM ripe
           UNION ALL SELECT 'late_settlement', error_type, is_late_settlement FROM ripe
@@ -344,7 +346,7 @@ _TABLES["run_steps"] = """
       CASE WHEN step = 'extract' THEN seen ELSE passed END AS rows_out,
       CASE WHEN step = 'validate' THEN seen - passed ELSE 0 END AS rows_rejected
     FROM (
-      SELECT run_date, count(*) AS seen, sum(CASE WHEN ok THEN 1 ELSE 0 END) AS passed
+      SELECT run_date, count(*) AS seen, count(*) FILTER (ok) AS passed
       FROM judged GROUP BY run_date
     ) AS days, (SELECT unnest(['extract', 'validate', 'load']) AS step) AS steps"""
 
@@ -353,8 +355,6 @@ _BY_NAME = list(_TABLES)
 
 def _needed(sql: str) -> list[str]:
     """The derived tables a query uses, directly or through others, in order."""
-    import re
-
     used: set[str] = set()
     pending = [sql]
     while pending:
@@ -371,7 +371,7 @@ def _sql(select: str, money: str = "", dates: str = "") -> str:
     casts += [f"CAST({c} AS VARCHAR) AS {c}" for c in dates.split()]
     shown = f"* REPLACE ({', '.join(casts)})" if casts else "*"
     ctes = ",\n".join(f"{name} AS ({_TABLES[name]})" for name in _needed(select))
-    return f"WITH {ctes}\nSELECT {shown} FROM (\n{select}\n) AS result"
+    return f"{'WITH ' if ctes else ''}{ctes}\nSELECT {shown} FROM (\n{select}\n) AS result"
 
 
 _FACT_MONEY = "order_amount gateway_amount gross_amount net_settled refund_amount"
@@ -544,17 +544,11 @@ def oracle_sql() -> dict[str, str]:
               settled_date, refund_amount, refund_date, is_settled, is_refunded, is_orphan_payment
             FROM payments""", "gateway_amount net_settled refund_amount", _FACT_DATES),
         "daily_summary": _sql(
-            """SELECT * REPLACE (CAST(matched_count AS BIGINT) AS matched_count,
-                 CAST(discrepancy_count AS BIGINT) AS discrepancy_count,
-                 CAST(refunded_count AS BIGINT) AS refunded_count, CAST(pending_count AS BIGINT) AS pending_count)
-               FROM daily""",
+            "SELECT * FROM daily",
             "discrepancy_rate_pct discrepancy_amount unsettled_amount total_net_settled avg_discrepancy_age_days",
             "report_date"),
         "status_trend": _sql("""
-            SELECT report_date, CAST(matched_count AS BIGINT) AS matched_count,
-              CAST(discrepancy_count AS BIGINT) AS discrepancy_count,
-              CAST(pending_count AS BIGINT) AS pending_count, CAST(refunded_count AS BIGINT) AS refunded_count
-            FROM daily""", dates="report_date"),
+            SELECT report_date, matched_count, discrepancy_count, pending_count, refunded_count FROM daily""", dates="report_date"),
         "discrepancy_rate_trend": _sql(
             "SELECT report_date, discrepancy_rate_pct FROM daily", "discrepancy_rate_pct", "report_date"),
         "discrepancy_aging": _sql(
@@ -568,8 +562,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * FROM merchant_board ORDER BY discrepancy_rate_pct DESC, merchant_id LIMIT 20",
             "fee_rate discrepancy_rate_pct discrepancy_amount"),
         "merchant_flag_breakdown": _sql("""
-            SELECT merchant_id, name, discrepancy_type, CAST(orders AS BIGINT) AS orders
-            FROM (UNPIVOT (
+            SELECT * FROM (UNPIVOT (
               SELECT merchant_id, name, missing_settlement_count, late_settlement_count, amount_mismatch_count,
                 duplicate_charge_count, status_mismatch_count FROM merchant_totals
             ) ON COLUMNS(* EXCLUDE (merchant_id, name)) INTO NAME discrepancy_type VALUE orders) AS u"""),
