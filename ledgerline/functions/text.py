@@ -18,9 +18,13 @@ TIME = (
 )
 
 
+# The usual spelling, taken first because one short match decides it.
+_PLAIN = r"^[+-]?\d+(\.\d+)?$"
+
+
 def _digits(text: Column) -> Column:
     bare = F.regexp_replace(text, r"^\s+|\s+$", "")
-    return F.when(bare.rlike(NUMBER), F.regexp_replace(bare, "_", ""))
+    return F.when(text.rlike(_PLAIN), text).when(bare.rlike(NUMBER), F.translate(bare, "_", ""))
 
 
 def parse_money(text: Column) -> Column:
@@ -30,12 +34,13 @@ def parse_money(text: Column) -> Column:
 
 def is_below_zero(text: Column) -> Column:
     """Sign of the written number, before rounding to cents hides a small negative."""
-    return _digits(text).try_cast("double") < 0
+    return text.contains("-") & (_digits(text).try_cast("double") < 0)
 
 
 def parse_time(text: Column) -> Column:
-    iso = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2}).(?=\d{2})", "$1T")
-    return F.when(text.rlike(TIME), F.regexp_replace(iso, ",", ".").try_cast("timestamp"))
+    # Any single character may stand between date and time.
+    iso = F.when(F.length(text) > 10, F.overlay(text, F.lit("T"), F.lit(11))).otherwise(text)
+    return F.when(text.rlike(TIME), F.translate(iso, ",", ".").try_cast("timestamp"))
 
 
 def quoted(text: Column) -> Column:

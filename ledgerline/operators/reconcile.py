@@ -108,6 +108,10 @@ def orphan_payments(settled: DataFrame, orders: DataFrame, hot: DataFrame | None
     lost = spread_join(
         lost, orders.select("order_id"), "order_id", "left_anti", spread_by="txn_id", hot=hot,
     )
+    return _orphan_columns(lost)
+
+
+def _orphan_columns(lost: DataFrame) -> DataFrame:
     return lost.select(
         "order_id", "txn_id", "gateway_status", "gateway_amount",
         F.col("event_time").alias("gateway_event_time"), F.lit(1).cast("long").alias("event_count"),
@@ -175,12 +179,26 @@ def with_status(flagged: DataFrame) -> DataFrame:
     return flagged.withColumn("reconciliation_status", status)
 
 
+def _fact(matched: DataFrame, orphans: DataFrame) -> DataFrame:
+    joined = matched.unionByName(orphans, allowMissingColumns=True)
+    return with_status(flag_discrepancies(joined)).select(*FACT_COLS)
+
+
 def reconcile_settled(orders: DataFrame, settled: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """The reconciliation fact from orders and ``settled_gateway`` rows."""
-    joined = matched_rows(orders, settled).unionByName(
-        orphan_payments(settled, orders, hot), allowMissingColumns=True
+    return _fact(matched_rows(orders, settled), orphan_payments(settled, orders, hot))
+
+
+def reconcile_payments(orders: DataFrame, payments_fact: DataFrame) -> DataFrame:
+    """The reconciliation fact from orders and a stored payments fact.
+
+    The payments fact already knows which events have no order, so the orphans are a
+    filter on it and the join that finds them is not repeated.
+    """
+    lost = payments_fact.where(
+        F.col("is_orphan_payment") & (F.col("gateway_status") == "success") & F.col("order_id").isNotNull()
     )
-    return with_status(flag_discrepancies(joined)).select(*FACT_COLS)
+    return _fact(matched_rows(orders, payments_fact.drop("is_orphan_payment")), _orphan_columns(lost))
 
 
 def reconcile(
@@ -222,7 +240,11 @@ def reconcile_incremental(
     target: DataFrame, orders: DataFrame, gateway: DataFrame, settlements: DataFrame, run_date,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """``target`` with the orders touched on ``run_date`` recomputed and replaced."""
-    keys = affected_orders(orders, gateway, settlements, run_date)
+    """``target`` with the orders touched on ``run_date`` recomputed and replaced.
+
+    The touched keys and the new rows are each needed several times, so both are
+    written to the work folder. ``target`` and the staged inputs should be stored tables.
+    """
+    keys = materialize(affected_orders(orders, gateway, settlements, run_date), "keys")
     batch = materialize(reconcile_keys(orders, gateway, settlements, keys, hot), "batch")
     return replace_keys(target, batch, "order_id", spread_by="txn_id")

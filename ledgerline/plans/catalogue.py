@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from functools import cached_property
@@ -15,7 +16,7 @@ from ledgerline.operators import dimensions, faults, marts, merge, payments, qua
 from ledgerline.operators.skew import hot_keys
 from ledgerline.plans import fixtures
 from ledgerline.schemas import CONTRACTS
-from ledgerline.session import materialize, prepare, work_folder
+from ledgerline.session import materialize, prepare, stored_once, work_folder
 from ledgerline.sources.extract import as_text, orders_incremental_pull
 from ledgerline.sources.tables import Tables
 
@@ -50,24 +51,38 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
+        self.folder_id = hashlib.md5(sf_dir.encode()).hexdigest()
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def derived(self, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-        return build(self.spark, self.sf_dir)
+    def stored(self, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """A table derived from the orders, written once per application and input folder.
+
+        These stand for the tables that the three systems would deliver; queries start
+        from the stored copy.
+        """
+        label = f"inputs/{self.folder_id}/{build.__name__}"
+        return stored_once(self.spark, label, lambda: build(fixtures.base(self.spark, self.sf_dir)))
 
     @cached_property
     def raw_orders(self) -> DataFrame:
-        return self.derived(fixtures.raw_orders)
+        return self.stored(fixtures.raw_orders)
 
     @cached_property
     def raw_gateway(self) -> DataFrame:
-        return self.derived(fixtures.raw_gateway)
+        return self.stored(fixtures.raw_gateway)
 
     @cached_property
     def raw_settlements(self) -> DataFrame:
-        return self.derived(fixtures.raw_settlements)
+        return self.stored(fixtures.raw_settlements)
+
+    @cached_property
+    def merchant_history(self) -> DataFrame:
+        return stored_once(
+            self.spark, f"inputs/{self.folder_id}/merchant_history",
+            lambda: fixtures.merchant_history(self.spark, self.sf_dir),
+        )
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -116,7 +131,7 @@ class Inputs:
 
     @cached_property
     def snapshot(self) -> DataFrame:
-        return dimensions.chain_versions(self.derived(fixtures.merchant_history), "merchant_id", "updated_at")
+        return dimensions.chain_versions(self.merchant_history, "merchant_id", "updated_at")
 
     @cached_property
     def dim_merchants(self) -> DataFrame:
@@ -128,30 +143,32 @@ class Inputs:
 
     @cached_property
     def answer_key(self) -> DataFrame:
-        return faults.answer_key(self.derived(fixtures.truth))
+        return faults.answer_key(self.stored(fixtures.truth))
 
     @cached_property
     def accuracy(self) -> DataFrame:
         return marts.accuracy(self.fact, self.answer_key, self.run_log)
 
-    @cached_property
-    def checked(self) -> dict[str, DataFrame]:
+    def checked(self, source: str) -> DataFrame:
         staged = {
             "orders": fixtures.staged_orders,
             "gateway": fixtures.staged_gateway,
             "settlement": fixtures.staged_settlements,
         }
-        return {name: rules.with_reason(self.derived(build), CONTRACTS[name]) for name, build in staged.items()}
+        return rules.with_reason(self.stored(staged[source]), CONTRACTS[source])
 
-    def store_facts(self) -> None:
-        """Write staging and facts, as the daily job does, for queries that read them many times."""
-        for name in ("orders", "gateway", "settlements", "settled"):
-            setattr(self, name, materialize(getattr(self, name), name))
-        for name in ("fact", "payments"):
+    def all_checked(self) -> dict[str, DataFrame]:
+        return {source: self.checked(source) for source in CONTRACTS}
+
+    def store_staging(self) -> None:
+        for name in ("orders", "gateway", "settlements"):
             setattr(self, name, materialize(getattr(self, name), name))
 
     def all_tables(self) -> dict[str, DataFrame]:
-        self.store_facts()
+        """Every table by name; staging and facts are written first, as the daily job does."""
+        self.store_staging()
+        self.payments = materialize(self.payments, "payments")
+        self.fact = materialize(reconcile.reconcile_payments(self.orders, self.payments), "fact")
         return {
             "raw_orders": self.raw_orders, "raw_gateway": self.raw_gateway,
             "raw_settlements": self.raw_settlements,
@@ -164,7 +181,7 @@ class Inputs:
 
 
 def _dead_letters(i: Inputs) -> DataFrame:
-    first, *rest = [rules.rejects(rows, CONTRACTS[name]) for name, rows in i.checked.items()]
+    first, *rest = [rules.rejects(rows, CONTRACTS[name]) for name, rows in i.all_checked().items()]
     for frame in rest:
         first = first.unionByName(frame)
     return first
@@ -179,14 +196,15 @@ def _incremental(i: Inputs) -> DataFrame:
         staging.stg_settlements(i.raw_settlements.where(before)),
         i.hot_orders,
     )
+    i.store_staging()
     return reconcile.reconcile_incremental(
-        earlier, i.orders, i.gateway, i.settlements, LAST, i.hot_orders
+        materialize(earlier, "target"), i.orders, i.gateway, i.settlements, LAST, i.hot_orders
     )
 
 
 def _scd2(i: Inputs) -> DataFrame:
     """History up to the last day, merged with the merchants as they stand on it."""
-    history = i.derived(fixtures.merchant_history)
+    history = i.merchant_history
     last_day = F.col("updated_at") >= F.lit(LAST).cast("timestamp")
     snapshot = dimensions.chain_versions(history.where(~last_day), "merchant_id", "updated_at")
     now = staging.latest_by(history, "merchant_id", ["updated_at"])
@@ -212,7 +230,7 @@ def _unique(i: Inputs) -> DataFrame:
 
 
 def _accepted(i: Inputs) -> DataFrame:
-    tables = i.all_tables() | {"staged_orders": i.checked["orders"], "staged_settlements": i.checked["settlement"]}
+    tables = i.all_tables() | {"staged_orders": i.checked("orders"), "staged_settlements": i.checked("settlement")}
     raw = {
         "staged_orders": quality.ACCEPTED_VALUES["stg_orders"],
         "staged_settlements": quality.ACCEPTED_VALUES["stg_settlements"],
@@ -233,7 +251,7 @@ def _relationships(i: Inputs) -> DataFrame:
 
 def _negative(i: Inputs) -> DataFrame:
     def amounts(name: str) -> DataFrame:
-        return i.checked[name].withColumn("amount", parse_money(F.col("amount")))
+        return i.checked(name).withColumn("amount", parse_money(F.col("amount")))
 
     return quality.negative_amounts(amounts("orders"), amounts("gateway"))
 
@@ -248,7 +266,7 @@ def _day_replace(i: Inputs) -> DataFrame:
     tables = Tables(i.spark, f"{work_folder(i.spark)}/day-replace-{uuid.uuid4().hex}")
     name, day = "raw/gateway_events", fixtures.day(4)
     i.raw_gateway.write.partitionBy("run_date").parquet(tables.path(name))
-    redone = i.checked["gateway"].where(F.col("run_date") == F.lit(day))
+    redone = i.checked("gateway").where(F.col("run_date") == F.lit(day))
     loaded = rules.typed(rules.valid(redone), CONTRACTS["gateway"])
     stamped = loaded.withColumn("ingested_at", F.lit(fixtures.day(20)).cast("timestamp"))
     tables.replace_day(name, stamped, day)
@@ -281,17 +299,17 @@ def _planted(i: Inputs) -> DataFrame:
 
 
 def _validated(name: str) -> Callable[[Inputs], DataFrame]:
-    return lambda i: i.checked[name]
+    return lambda i: i.checked(name)
 
 
 def _headline(i: Inputs) -> DataFrame:
     i.fact = materialize(i.fact, "fact")
-    return marts.headline_metrics(i.fact, rules.run_log_by_day(list(i.checked.values())), i.accuracy)
+    return marts.headline_metrics(i.fact, rules.run_log_by_day(list(i.all_checked().values())), i.accuracy)
 
 
 _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "orders_incremental_pull": lambda i: orders_incremental_pull(
-        i.derived(fixtures.app_orders), fixtures.day(5)
+        i.stored(fixtures.app_orders), fixtures.day(5)
     ).orderBy("order_id"),
     "validate_orders": _validated("orders"),
     "validate_gateway": _validated("gateway"),
@@ -346,7 +364,7 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "inject_errors_labels": lambda i: _inject(i)[1],
     "planted_faults": _planted,
     "answer_key": lambda i: i.answer_key,
-    "run_log": lambda i: rules.run_log_by_day(list(i.checked.values())),
+    "run_log": lambda i: rules.run_log_by_day(list(i.all_checked().values())),
     "headline_metrics": _headline,
     "reconciliation_drilldown": lambda i: marts.drilldown(
         i.fact, status="discrepancy", start=fixtures.day(2), end=fixtures.day(6)

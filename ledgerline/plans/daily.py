@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import contract as rules
 from ledgerline.operators import dimensions, marts, quality, reconcile, staging
-from ledgerline.operators.payments import payments_settled
-from ledgerline.operators.skew import hot_keys
+from ledgerline.operators.payments import payments
+from ledgerline.operators.skew import hot_keys, spread_join
 from ledgerline.schemas import CONTRACTS, RUN_LOG
 from ledgerline.session import materialize, prepare
 from ledgerline.sources.csv_files import read_drop
@@ -115,22 +115,21 @@ def build_marts(tables: Tables, run_date: dt.date, full_refresh: bool = False) -
     }
     orders, gateway, settlements = stg.values()
     hot = hot_keys(gateway, "order_id")
-    settled = materialize(reconcile.settled_gateway(gateway, settlements), "settled")
+    payments_fact = tables.overwrite("marts/fact_payments", payments(orders, gateway, settlements, hot))
 
     if full_refresh or not tables.exists(FACT):
-        fact = with_order_day(reconcile.reconcile_settled(orders, settled, hot))
-        fact.hint("rebalance", F.col(ORDER_DAY)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy(ORDER_DAY).parquet(tables.path(FACT))
+        fact = with_order_day(reconcile.reconcile_payments(orders, payments_fact))
+        tables.rewrite_by_day(FACT, fact)
     else:
         keys = materialize(reconcile.affected_orders(orders, gateway, settlements, run_date), "keys")
-        tables.replace_orders(FACT, reconcile.reconcile_keys(orders, gateway, settlements, keys, hot))
+        changed = spread_join(payments_fact, keys, "order_id", "left_semi", spread_by="txn_id", hot=hot)
+        touched = orders.join(keys, "order_id", "left_semi")
+        tables.replace_orders(FACT, reconcile.reconcile_payments(touched, changed))
     fact = spark.read.parquet(tables.path(FACT)).select(*reconcile.FACT_COLS)
 
     log = tables.read("raw/pipeline_runs")
     key = tables.read("staging/answer_key")
     built = {
-        "fact_payments": payments_settled(orders, settled, hot),
         "dim_merchants": dimensions.dim_merchants(snapshot_merchants(tables, run_date)),
         "dim_date": dimensions.dim_date(spark),
     }
@@ -142,7 +141,7 @@ def build_marts(tables: Tables, run_date: dt.date, full_refresh: bool = False) -
     }
     out |= {name: tables.overwrite(f"marts/{name}", df) for name, df in summaries.items()}
     return out | stg | {
-        "fact_reconciliation": fact, "run_log": log, "answer_key": key,
+        "fact_reconciliation": fact, "fact_payments": payments_fact, "run_log": log, "answer_key": key,
         "raw_orders": raw["orders"], "raw_gateway": raw["gateway"], "raw_settlements": raw["settlement"],
     }
 

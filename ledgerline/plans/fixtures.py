@@ -1,8 +1,8 @@
 """Payment tables derived from the order and supplier tables.
 
 Each order row fans out into its loads, gateway events and settlements by integer
-arithmetic on its key, inside one narrow projection: no shuffle, one scan of the
-orders per derived table. The only other input is the number of suppliers.
+arithmetic on its key, inside one narrow projection: no join, one scan of the orders
+per derived table. The only other input is the number of suppliers.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import fee_split
+from ledgerline.session import shuffle_width
 
 # First day, last loaded day, and the codes per nation remainder.
 DAY0 = dt.date(2026, 9, 1)
@@ -37,19 +38,31 @@ def _ingested(run_day: Column, load: int) -> Column:
     return _instant(run_day + 1, F.lit(load))
 
 
+# The columns used of the input tables.
+_COLUMNS = {
+    "orders": "o_orderkey long, o_custkey long, o_totalprice double",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """A table of a few small files would be fanned out by as few tasks; large ones pass as they are."""
+    width = shuffle_width(df.sparkSession)
+    return df.repartition(width, key) if df.rdd.getNumPartitions() < width else df
 
 
 def _rate(merchant: Column, version: Column) -> Column:
     return ((F.lit(50) + (merchant * 37 + version * 53) % 251) / F.lit(10000)).cast("decimal(6,4)")
 
 
-def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their rolls; small remainders by distinct primes stay independent."""
-    suppliers = _table(spark, sf_dir, "supplier").agg(F.count("*").alias("n"))
-    # One row, whatever the scale.
-    o = _table(spark, sf_dir, "orders").crossJoin(F.broadcast(suppliers))
+    o = _spread(_table(spark, sf_dir, "orders"), "o_orderkey")
+    suppliers = F.lit(_table(spark, sf_dir, "supplier").count())
     k = F.col("o_orderkey")
 
     def roll(factor: int, modulus: int, below: int) -> Column:
@@ -59,7 +72,7 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("k"),
         F.concat(F.lit("ORD-"), k).alias("order_id"),
         F.concat(F.lit("TXN-"), k).alias("txn_id"),
-        (F.col("o_custkey") % F.col("n")).alias("merchant"),
+        (F.col("o_custkey") % suppliers).alias("merchant"),
         F.concat(F.lit("c"), "o_custkey", F.lit("@upi")).alias("customer_vpa"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
         (k % 10).alias("d"),
@@ -113,13 +126,12 @@ def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merchant_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every state of every merchant: the first day's and each later fee change."""
     s = _table(spark, sf_dir, "supplier")
-    n = s.agg(F.count("*").alias("n"))
+    suppliers = F.lit(s.count())
     key, t = F.col("s_suppkey"), F.col("t")
     days = F.sequence(F.lit(0).cast("long"), F.lit(LAST_DAY).cast("long"))
     changes = (
-        s.crossJoin(F.broadcast(n))  # one row
-        .select("*", F.explode(days).alias("t"))
-        .where((t == 0) | ((key + t * 7) % F.col("n") < 3))
+        s.select("*", F.explode(days).alias("t"))
+        .where((t == 0) | ((key + t * 7) % suppliers < 3))
     )
     categories = F.array(*[F.lit(c) for c in CATEGORIES])
     return changes.select(
@@ -132,7 +144,7 @@ def merchant_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(base: DataFrame) -> DataFrame:
     def load(status: str, updated_at: str, run_day: str, number: int) -> Column:
         return F.struct(
             "order_id", "merchant_id", "customer_vpa", "amount",
@@ -142,16 +154,16 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     resolved = (F.col("init_status") == "created") & F.col("paid_in_window")
     return _fan_out(
-        _base(spark, sf_dir),
+        base,
         load("init_status", "created_at", "d", 1),
         F.when(resolved, load("fin_status", "pay_time", "pay_d", 2)),
     )
 
 
-def app_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def app_orders(base: DataFrame) -> DataFrame:
     """The application's order table as it stands after the last day."""
     resolved = (F.col("init_status") == "created") & F.col("paid_in_window")
-    return _base(spark, sf_dir).select(
+    return base.select(
         "order_id", "merchant_id", "customer_vpa", "amount",
         F.when(resolved, F.col("fin_status")).otherwise(F.col("init_status")).alias("status"),
         "created_at",
@@ -167,13 +179,13 @@ def _event(txn: Column, order: Column, status: Column, when: Column, run_day: Co
     )
 
 
-def raw_gateway(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_gateway(base: DataFrame) -> DataFrame:
     c, k = F.col, F.col("k")
     txn, order, status, paid, on = c("txn_id"), c("order_id"), c("gw_status"), c("pay_time"), c("pay_d")
     intact = c("paid_in_window") & ~c("broken")
     again = paid + F.make_dt_interval(F.lit(0), F.lit(0), (F.lit(1) + k % 5).cast("int"))
     return _fan_out(
-        _base(spark, sf_dir),
+        base,
         F.when(intact, _event(txn, order, status, paid, on, 1)),
         F.when(
             c("charged_twice") & c("paid_in_window"),
@@ -192,11 +204,11 @@ def raw_gateway(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_settlements(base: DataFrame) -> DataFrame:
     c, k = F.col, F.col("k")
     lag = F.when(c("late"), F.lit(3) + k % 4).otherwise(1)
     extra = F.when(c("off_amount"), F.lit(1) + k % 500).otherwise(0).cast("decimal(12,2)")
-    base = _base(spark, sf_dir).where(
+    paid = base.where(
         c("paid_in_window") & (c("gw_status") == "success") & ~c("unsettled")
     ).withColumns({
         "gross": (c("amount") + extra).cast("decimal(12,2)"),
@@ -218,7 +230,7 @@ def raw_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
     refund_d = c("settle_d") + 1 + k % 3
     nothing = F.lit(0)
     return _fan_out(
-        base,
+        paid,
         F.when(c("settle_d") <= LAST_DAY, line("SET-", [c("gross"), fee, tax, net], c("settle_d"), "payment")),
         F.when(
             (c("fin_status") == "refunded") & (refund_d <= LAST_DAY),
@@ -231,12 +243,12 @@ def _as_text(when: Column) -> Column:
     return F.concat(F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
 
 
-def staged_gateway(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_gateway(base: DataFrame) -> DataFrame:
     """Primary gateway events as text, some of them broken on the way."""
     c, k = F.col, F.col("k")
     hit = [c("broken") & (k % 3 == i) for i in range(3)]
     amount = c("amount").cast("string")
-    return _base(spark, sf_dir).where("paid_in_window").select(
+    return base.where("paid_in_window").select(
         F.when(hit[0], "").otherwise(c("txn_id")).alias("txn_id"),
         "order_id",
         c("gw_status").alias("gateway_status"),
@@ -247,12 +259,12 @@ def staged_gateway(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_orders(base: DataFrame) -> DataFrame:
     """Order rows as text; a roll on the key breaks one of five fields."""
     c, k = F.col, F.col("o_key")
     hit = [(k * 67 % 1039 < 10) & (k % 5 == i) for i in range(5)]
     amount = c("amount").cast("string")
-    raw = raw_orders(spark, sf_dir).withColumn("o_key", F.substring("order_id", 5, 20).cast("long"))
+    raw = raw_orders(base).withColumn("o_key", F.substring("order_id", 5, 20).cast("long"))
     return raw.select(
         "order_id",
         F.when(hit[0], "").otherwise(c("merchant_id")).alias("merchant_id"),
@@ -265,11 +277,11 @@ def staged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staged_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_settlements(base: DataFrame) -> DataFrame:
     """Settlement rows as text; a roll on the key breaks one of four fields."""
     c, k = F.col, F.col("t_key")
     hit = [(k * 71 % 1049 < 10) & (k % 4 == i) for i in range(4)]
-    raw = raw_settlements(spark, sf_dir).withColumn("t_key", F.substring("txn_id", 5, 20).cast("long"))
+    raw = raw_settlements(base).withColumn("t_key", F.substring("txn_id", 5, 20).cast("long"))
 
     def text(name: str) -> Column:
         return c(name).cast("string")
@@ -287,10 +299,10 @@ def staged_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+def truth(base: DataFrame) -> DataFrame:
     """What was done to each order, one boolean per fault, for the answer key."""
     c = F.col
-    return _base(spark, sf_dir).select(
+    return base.select(
         "order_id", "merchant_id", "amount",
         F.when(c("paid_in_window"), c("fin_status")).otherwise("pending").alias("order_status"),
         (~c("paid_in_window")).alias("is_pending"),

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,6 +28,34 @@ def work_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/ledgerline/{spark.sparkContext.applicationId}"
 
 
+def is_missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def stored_once(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table kept under ``label`` for this application, built by its first reader.
+
+    Meant for derived inputs that many queries share. A table lost in between is
+    built again.
+    """
+    path = f"{work_folder(spark)}/{label}"
+    if path not in _complete:
+        build().write.mode("overwrite").parquet(path)
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        build().write.mode("overwrite").parquet(path)
+        df = spark.read.parquet(path)
+    _complete.add(path)
+    return df
+
+
+# Folders this process has finished writing; the path names the application.
+_complete: set[str] = set()
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under the work folder and read it back.
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ledgerline.operators.contract import MALFORMED
 from ledgerline.schemas import Contract
+from ledgerline.session import is_missing
 
 _RAW_LINE = "_raw_line"
 # A quoted cell, whose commas do not separate.
@@ -39,7 +40,7 @@ def read_drop(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     try:
         lines = spark.read.text(path)
     except AnalysisException as err:
-        if err.getCondition() != "PATH_NOT_FOUND":
+        if not is_missing(err):
             raise
         return _empty(spark, contract.required)
     options = {

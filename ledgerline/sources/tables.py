@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ledgerline import schemas
 from ledgerline.operators.merge import replace_keys
 from ledgerline.operators.skew import hot_keys, spread_join
-from ledgerline.session import materialize
+from ledgerline.session import is_missing, materialize
 
 # Declared source tables: name -> schema.
 CATALOG: dict[str, T.StructType] = {
@@ -48,7 +48,7 @@ class Tables:
         try:
             return reader.parquet(self.path(name))
         except AnalysisException as err:
-            if schema is None or err.getCondition() != "PATH_NOT_FOUND":
+            if schema is None or not is_missing(err):
                 raise
             return self.spark.createDataFrame([], schema)
 
@@ -56,7 +56,7 @@ class Tables:
         try:
             self.spark.read.schema("_ string").parquet(self.path(name))
         except AnalysisException as err:
-            if err.getCondition() != "PATH_NOT_FOUND":
+            if not is_missing(err):
                 raise
             return False
         return True
@@ -78,19 +78,20 @@ class Tables:
     def replace_day(self, name: str, df: DataFrame, run_date: dt.date) -> None:
         self.replace_partition(name, df, run_date=run_date)
 
-    def write_by_day(self, name: str, df: DataFrame) -> None:
-        """Write the days present in ``df``, leaving other days alone.
-
-        Rebalancing lets AQE size the files: small days share a task, a large day is split.
-        """
+    def _write_by_day(self, name: str, df: DataFrame, mode: str) -> None:
+        # Rebalancing lets AQE size the files: small days share a task, a large day is split.
         (
             df.hint("rebalance", F.col(ORDER_DAY))
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .option("partitionOverwriteMode", mode)
             .partitionBy(ORDER_DAY)
             .parquet(self.path(name))
         )
 
+    def rewrite_by_day(self, name: str, df: DataFrame) -> None:
+        """Full rebuild of a fact stored by ``order_day``, which ``df`` does not read."""
+        self._write_by_day(name, df, "static")
+
     def replace_orders(self, name: str, batch: DataFrame) -> None:
         """Replace the batch's orders in a fact stored by ``order_day``.
 
@@ -115,7 +116,7 @@ class Tables:
         affected_days = target.where(F.col(ORDER_DAY).isin(days))
         renewed = materialize(replace_keys(affected_days, batch, "order_id", "txn_id", hot), "days")
         filled = {r[0] for r in renewed.select(ORDER_DAY).distinct().collect()}
-        self.write_by_day(name, renewed)
+        self._write_by_day(name, renewed, "dynamic")
         for day in set(days) - filled:
             self.replace_partition(name, renewed.limit(0), **{ORDER_DAY: day})
 
