@@ -14,23 +14,33 @@ from ledgerline.session import shuffle_width
 
 HOT_SHARE = 0.002
 HOT_MIN_ROWS = 1000
-_TRACKED = 10_000
+# Sketches per table and items each one follows and reports. A key with HOT_SHARE of all rows
+# has a tenth of its bucket or more, far above what a sketch of this size can miss.
+_BUCKETS, _FOLLOWED, _REPORTED = 64, 256, 64
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
     """Keys holding at least ``share`` of the rows: never more than 1/share of them.
 
-    One frequent-items sketch per task, merged into one row; the keys themselves
-    are not shuffled. The estimate decides only how rows are spread, so its error
-    costs balance and never a result row.
+    Keys are hashed into buckets with one small frequent-items sketch each, so tasks
+    exchange sketches and not keys, and the sketches are merged by as many tasks as
+    there are buckets. The estimate decides only how rows are spread: its error costs
+    balance and never a result row.
     """
-    sketch = df.where(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k({key}, {round(1 / share)}, {_TRACKED})").alias("top"),
-        F.count(key).alias("total"),
+    bucket = F.pmod(F.xxhash64(key), F.lit(_BUCKETS))
+    per_bucket = (
+        df.where(F.col(key).isNotNull())
+        .groupBy(bucket.alias("bucket"))
+        .agg(
+            F.expr(f"approx_top_k({key}, {_REPORTED}, {_FOLLOWED})").alias("top"),
+            F.count("*").alias("rows"),
+        )
     )
-    top = sketch.select(F.explode("top").alias("top"), "total")
+    # One row with at most _BUCKETS * _REPORTED items, whatever the scale.
+    total = per_bucket.agg(F.flatten(F.collect_list("top")).alias("top"), F.sum("rows").alias("rows"))
+    top = total.select(F.explode("top").alias("top"), "rows")
     return top.where(
-        (F.col("top.count") >= F.col("total") * share) & (F.col("top.count") >= min_rows)
+        (F.col("top.count") >= F.col("rows") * share) & (F.col("top.count") >= min_rows)
     ).select(F.col("top.item").alias(key))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from ledgerline.operators import dimensions, faults, marts, merge, payments, qua
 from ledgerline.operators.skew import hot_keys
 from ledgerline.plans import fixtures
 from ledgerline.schemas import CONTRACTS
-from ledgerline.session import materialize, prepare, stored_once, work_folder
+from ledgerline.session import materialize, prepare, stored_once, together, work_folder
 from ledgerline.sources.extract import as_text, orders_incremental_pull
 from ledgerline.sources.tables import Tables
 
@@ -160,15 +160,20 @@ class Inputs:
     def all_checked(self) -> dict[str, DataFrame]:
         return {source: self.checked(source) for source in CONTRACTS}
 
+    def store(self, **frames: DataFrame) -> None:
+        """Write frames at the same time and continue from the stored copies."""
+        written = together(*[partial(materialize, df, name) for name, df in frames.items()])
+        for name, df in zip(frames, written):
+            setattr(self, name, df)
+
     def store_staging(self) -> None:
-        for name in ("orders", "gateway", "settlements"):
-            setattr(self, name, materialize(getattr(self, name), name))
+        self.store(orders=self.orders, gateway=self.gateway, settlements=self.settlements)
 
     def all_tables(self) -> dict[str, DataFrame]:
         """Every table by name; staging and facts are written first, as the daily job does."""
         self.store_staging()
-        self.payments = materialize(self.payments, "payments")
-        self.fact = materialize(reconcile.reconcile_payments(self.orders, self.payments), "fact")
+        self.store(payments=self.payments)
+        self.store(fact=reconcile.reconcile_payments(self.orders, self.payments))
         return {
             "raw_orders": self.raw_orders, "raw_gateway": self.raw_gateway,
             "raw_settlements": self.raw_settlements,
@@ -196,9 +201,9 @@ def _incremental(i: Inputs) -> DataFrame:
         staging.stg_settlements(i.raw_settlements.where(before)),
         i.hot_orders,
     )
-    i.store_staging()
+    i.store(target=earlier, orders=i.orders, gateway=i.gateway, settlements=i.settlements)
     return reconcile.reconcile_incremental(
-        materialize(earlier, "target"), i.orders, i.gateway, i.settlements, LAST, i.hot_orders
+        i.target, i.orders, i.gateway, i.settlements, LAST, i.hot_orders
     )
 
 
@@ -303,7 +308,7 @@ def _validated(name: str) -> Callable[[Inputs], DataFrame]:
 
 
 def _headline(i: Inputs) -> DataFrame:
-    i.fact = materialize(i.fact, "fact")
+    i.store(fact=i.fact)
     return marts.headline_metrics(i.fact, rules.run_log_by_day(list(i.all_checked().values())), i.accuracy)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,9 @@ from ledgerline.operators import contract as rules
 from ledgerline.operators import dimensions, marts, quality, reconcile, staging
 from ledgerline.operators.payments import payments
 from ledgerline.operators.skew import hot_keys, spread_join
-from ledgerline.schemas import CONTRACTS, RUN_LOG
-from ledgerline.session import materialize, prepare
-from ledgerline.sources.csv_files import read_drop
+from ledgerline.schemas import ANSWER_KEY, CONTRACTS, RUN_LOG
+from ledgerline.session import materialize, prepare, release, together
+from ledgerline.sources.csv_files import read_drop, read_seed
 from ledgerline.sources.extract import as_text, orders_incremental_pull
 from ledgerline.sources.tables import ORDER_DAY, Tables, with_order_day
 
@@ -67,25 +68,29 @@ def ingest_day(tables: Tables, run_date: dt.date, landing: str, now: dt.datetime
         "gateway": read_drop(spark, f"{landing}/{run_date}/gateway.csv", CONTRACTS["gateway"]),
         "settlement": read_drop(spark, f"{landing}/{run_date}/settlement.csv", CONTRACTS["settlement"]),
     }
-    checked = {
-        name: materialize(
-            rules.with_reason(rows.withColumn("run_date", F.lit(run_date)), CONTRACTS[name]), f"checked-{name}"
-        )
-        for name, rows in sources.items()
-    }
-    totals = [rules.counts(rows).first() for rows in checked.values()]
+    def judge(name: str) -> tuple[DataFrame, Row]:
+        rows = sources[name].withColumn("run_date", F.lit(run_date))
+        stored = materialize(rules.with_reason(rows, CONTRACTS[name]), f"checked-{name}")
+        return stored, rules.counts(stored).first()
+
+    judged = dict(zip(sources, together(*[partial(judge, name) for name in sources])))
+    totals = [total for _, total in judged.values()]
     seen = sum(t.rows_in for t in totals)
     passed = sum(t.rows_out for t in totals)
     log.step("extract", seen, seen)
 
-    for name, rows in checked.items():
-        dead = rules.rejects(rows, CONTRACTS[name]).withColumn("rejected_at", F.lit(now))
+    def reject(name: str) -> None:
+        dead = rules.rejects(judged[name][0], CONTRACTS[name]).withColumn("rejected_at", F.lit(now))
         tables.replace_partition("raw/rejected", dead, run_date=run_date, source=name)
+
+    together(*[partial(reject, name) for name in sources])
     log.step("validate", seen, passed, seen - passed)
 
-    for name, rows in checked.items():
-        loaded = rules.typed(rules.valid(rows), CONTRACTS[name]).withColumn("ingested_at", F.lit(now))
-        tables.replace_day(RAW[name], loaded, run_date)
+    def load(name: str) -> None:
+        good = rules.typed(rules.valid(judged[name][0]), CONTRACTS[name])
+        tables.replace_day(RAW[name], good.withColumn("ingested_at", F.lit(now)), run_date)
+
+    together(*[partial(load, name) for name in sources])
     log.step("load", passed, passed)
 
 
@@ -104,15 +109,26 @@ def snapshot_merchants(tables: Tables, run_date: dt.date) -> DataFrame:
     return tables.read(name).where(F.col("as_of") == F.lit(run_date)).drop("as_of")
 
 
+def staging_views(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The deduplicated loads by name, not computed until read."""
+    return {
+        "stg_orders": staging.stg_orders(raw["orders"]),
+        "stg_gateway_events": staging.stg_gateway_events(raw["gateway"]),
+        "stg_settlements": staging.stg_settlements(raw["settlement"]),
+    }
+
+
+def _write_marts(tables: Tables, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    written = together(*[partial(tables.overwrite, f"marts/{name}", df) for name, df in frames.items()])
+    return dict(zip(frames, written))
+
+
 def build_marts(tables: Tables, run_date: dt.date, full_refresh: bool = False) -> dict[str, DataFrame]:
     """Snapshot, staging, facts and summaries; returns every table by name."""
     spark = tables.spark
     raw = {name: tables.read(path) for name, path in RAW.items()}
-    stg = {
-        "stg_orders": materialize(staging.stg_orders(raw["orders"]), "stg_orders"),
-        "stg_gateway_events": materialize(staging.stg_gateway_events(raw["gateway"]), "stg_gateway"),
-        "stg_settlements": materialize(staging.stg_settlements(raw["settlement"]), "stg_settlements"),
-    }
+    views = staging_views(raw)
+    stg = dict(zip(views, together(*[partial(materialize, df, name) for name, df in views.items()])))
     orders, gateway, settlements = stg.values()
     hot = hot_keys(gateway, "order_id")
     payments_fact = tables.overwrite("marts/fact_payments", payments(orders, gateway, settlements, hot))
@@ -129,17 +145,16 @@ def build_marts(tables: Tables, run_date: dt.date, full_refresh: bool = False) -
 
     log = tables.read("raw/pipeline_runs")
     key = tables.read("staging/answer_key")
-    built = {
+    dims = {
         "dim_merchants": dimensions.dim_merchants(snapshot_merchants(tables, run_date)),
         "dim_date": dimensions.dim_date(spark),
     }
-    out = {name: tables.overwrite(f"marts/{name}", df) for name, df in built.items()}
-    summaries = {
+    out = _write_marts(tables, dims)
+    out |= _write_marts(tables, {
         "daily_summary": marts.daily_summary(fact, log),
         "merchant_summary": marts.merchant_summary(fact, out["dim_merchants"]),
         "accuracy_by_error_type": marts.accuracy(fact, key, log),
-    }
-    out |= {name: tables.overwrite(f"marts/{name}", df) for name, df in summaries.items()}
+    })
     return out | stg | {
         "fact_reconciliation": fact, "fact_payments": payments_fact, "run_log": log, "answer_key": key,
         "raw_orders": raw["orders"], "raw_gateway": raw["gateway"], "raw_settlements": raw["settlement"],
@@ -153,13 +168,17 @@ def run_day(
     """Process one day under ``root`` and return its quality report.
 
     Raises ``QualityError`` after the report is stored if a check of severity error
-    fails. Days must run one at a time: the keyed replace assumes a single writer.
+    fails. Days must run one at a time: the keyed replace assumes a single writer. The
+    temporary tables of the application are deleted at the end.
     """
     prepare(spark)
     tables = Tables(spark, root)
-    ingest_day(tables, run_date, landing or tables.path("data"), now or dt.datetime.now(dt.timezone.utc))
-    built = build_marts(tables, run_date, full_refresh)
-    tables.replace_day("marts/quality_report", quality.run_checks(built).coalesce(1), run_date)
+    try:
+        ingest_day(tables, run_date, landing or tables.path("data"), now or dt.datetime.now(dt.timezone.utc))
+        built = build_marts(tables, run_date, full_refresh)
+        tables.replace_day("marts/quality_report", quality.run_checks(built).coalesce(1), run_date)
+    finally:
+        release(spark)
     report = spark.read.parquet(tables.path("marts/quality_report")).where(F.col("run_date") == F.lit(run_date))
     quality.raise_on_errors(report)
     return report
@@ -169,3 +188,31 @@ def backfill(spark: SparkSession, root: str, start: dt.date, end: dt.date, **opt
     """Run every day from ``start`` to ``end`` in order; the first failing day stops it."""
     for offset in range((end - start).days + 1):
         run_day(spark, root, start + dt.timedelta(days=offset), **options)
+
+
+def load_answer_key(spark: SparkSession, root: str, csv_path: str) -> None:
+    """Replace the labelled results that the detectors are scored against."""
+    Tables(spark, root).overwrite("staging/answer_key", read_seed(spark, csv_path, ANSWER_KEY))
+
+
+# Marts a SQL user reads, besides the staging views.
+MARTS = (
+    "fact_reconciliation", "fact_payments", "dim_merchants", "dim_date",
+    "daily_summary", "merchant_summary", "accuracy_by_error_type", "quality_report",
+)
+
+
+def register_views(spark: SparkSession, root: str) -> list[str]:
+    """Make the tables under ``root`` available to Spark SQL by name; returns the names."""
+    prepare(spark)
+    tables = Tables(spark, root)
+    frames = {name: spark.read.parquet(tables.path(f"marts/{name}")) for name in MARTS}
+    frames |= staging_views({name: tables.read(path) for name, path in RAW.items()})
+    frames |= {
+        "rejected": tables.read("raw/rejected"),
+        "pipeline_runs": tables.read("raw/pipeline_runs"),
+        "answer_key": tables.read("staging/answer_key"),
+    }
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    return list(frames)

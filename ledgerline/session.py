@@ -5,9 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -32,6 +36,11 @@ def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+# Folders this process has finished writing, with their schemas; the path names the application.
+_complete: dict[str, T.StructType] = {}
+_building = Lock()
+
+
 def stored_once(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
     """The table kept under ``label`` for this application, built by its first reader.
 
@@ -39,34 +48,50 @@ def stored_once(spark: SparkSession, label: str, build: Callable[[], DataFrame])
     built again.
     """
     path = f"{work_folder(spark)}/{label}"
-    if path not in _complete:
-        build().write.mode("overwrite").parquet(path)
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        build().write.mode("overwrite").parquet(path)
-        df = spark.read.parquet(path)
-    _complete.add(path)
-    return df
+    with _building:
+        if path in _complete:
+            try:
+                return spark.read.schema(_complete[path]).parquet(path)
+            except AnalysisException as error:
+                if not is_missing(error):
+                    raise
+        df = build()
+        df.write.mode("overwrite").parquet(path)
+        _complete[path] = df.schema
+        return spark.read.schema(df.schema).parquet(path)
 
 
-# Folders this process has finished writing; the path names the application.
-_complete: set[str] = set()
+def together(*steps: Callable[[], Any]) -> list[Any]:
+    """Run independent jobs at the same time; short ones then fill the gaps of long ones."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [future.result() for future in [pool.submit(step) for step in steps]]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under the work folder and read it back.
 
     Cuts the lineage for frames used more than once. The copy sits in shared
-    storage, so a lost executor costs a re-read and not a recomputation.
+    storage, so a lost executor costs a re-read and not a recomputation. It stays
+    until ``release`` is called.
     """
     spark = df.sparkSession
-    path = f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/{_TEMPORARY}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_TEMPORARY = "temporary"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything ``materialize`` has written in this application.
+
+    For the end of a job, when its results are stored elsewhere: frames read from
+    the copies cannot be read afterwards.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{work_folder(spark)}/{_TEMPORARY}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

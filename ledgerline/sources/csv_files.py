@@ -24,9 +24,13 @@ def _empty(spark: SparkSession, names: list[str]) -> DataFrame:
 
 
 def _has_open_quote(lines: DataFrame) -> bool:
-    """Whether some line leaves a quote open, so that a record runs over several lines."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not lines.where(quotes % 2 == 1).limit(1).isEmpty()
+    """Whether some line may leave a quote open, so that a record could run over several lines.
+
+    A line is whole by itself if nothing of it but complete quoted cells holds a quote.
+    """
+    unquoted = F.regexp_replace("value", rf"(^|,){_QUOTED}(?=,|$)", "$1")
+    suspect = F.col("value").contains('"') & unquoted.contains('"')
+    return not lines.where(suspect).limit(1).isEmpty()
 
 
 def read_drop(spark: SparkSession, path: str, contract: Contract) -> DataFrame:

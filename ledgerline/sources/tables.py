@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schemas
-from ledgerline.operators.merge import replace_keys
+from ledgerline.operators.merge import replace_keys, upsert
 from ledgerline.operators.skew import hot_keys, spread_join
 from ledgerline.session import is_missing, materialize
 
@@ -66,6 +66,14 @@ class Tables:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.read(name, df.schema)
 
+    def upsert(self, name: str, source: DataFrame, key: str, update_cols: list[str]) -> None:
+        """Insert the new keys of ``source`` and overwrite ``update_cols`` of the known ones.
+
+        The merged table is written aside first: the table is read to make it.
+        """
+        merged = upsert(self.read(name, source.schema), source, key, update_cols)
+        self.overwrite(name, materialize(merged, "upsert"))
+
     def replace_partition(self, name: str, df: DataFrame, **keys) -> None:
         """Replace one partition by ``df``, however often it is repeated.
 

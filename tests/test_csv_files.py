@@ -59,3 +59,8 @@ def test_seed_round_trip(spark, tmp_path):
                      " 'paid' order_status, 'clean' error_type, 'match' expected_result")
     write_seed(rows, path)
     assert read_seed(spark, path, ANSWER_KEY).collect() == rows.collect()
+
+
+def test_stray_quote_does_not_hide_an_open_one(spark, tmp_path):
+    df = drop(spark, tmp_path, HEADER + 'T"2,O2,success,5.00,2026-09-01,"two\nlines"\n' + GOOD)
+    assert {r.txn_id: r.event_type for r in df.collect()} == {'T"2': "two\nlines", "T1": "payment"}
