@@ -170,23 +170,50 @@ class Check:
     severity: str = "error"
 
 
-def declared_counts(tables: dict[str, DataFrame], declared: dict[str, list[tuple[str, Column]]]) -> DataFrame:
-    """(table_name, column_name, failures) for row-level rules, one aggregate per table."""
+@dataclass(frozen=True)
+class RowRule:
+    """A rule judged row by row; ``broken`` is true where a row fails it."""
+
+    kind: str
+    column: str
+    broken: Column
+
+
+def not_null_rules(declared: dict[str, list[str]] = NOT_NULL) -> dict[str, list[RowRule]]:
+    return {t: [RowRule("not_null", c, F.col(c).isNull()) for c in cols] for t, cols in declared.items()}
+
+
+def accepted_value_rules(
+    declared: dict[str, tuple[str, tuple[str, ...]]] = ACCEPTED_VALUES
+) -> dict[str, list[RowRule]]:
+    return {t: [RowRule("accepted_values", c, ~F.col(c).isin(*values))] for t, (c, values) in declared.items()}
+
+
+def row_rule_counts(tables: dict[str, DataFrame], rules: dict[str, list[RowRule]]) -> DataFrame:
+    """(kind, table_name, column_name, failures): one pass over each table for all of its rules."""
     parts = []
-    for table, rules in declared.items():
-        counted = tables[table].agg(*[F.count_if(rule).alias(col) for col, rule in rules])
+    for table, table_rules in rules.items():
+        names = [f"{r.kind}.{r.column}" for r in table_rules]
+        counted = tables[table].agg(*[F.count_if(r.broken).alias(n) for r, n in zip(table_rules, names)])
         cells = [
-            F.struct(F.lit(table).alias("table_name"), F.lit(col).alias("column_name"), F.col(col).alias("failures"))
-            for col, _ in rules
+            F.struct(
+                F.lit(r.kind).alias("kind"), F.lit(table).alias("table_name"),
+                F.lit(r.column).alias("column_name"), F.col(f"`{n}`").alias("failures"),
+            )
+            for r, n in zip(table_rules, names)
         ]
         parts.append(counted.select(F.inline(F.array(*cells))))
     return reduce(DataFrame.unionByName, parts)
 
 
 def not_null_counts(tables: dict[str, DataFrame], declared: dict[str, list[str]] = NOT_NULL) -> DataFrame:
-    return declared_counts(
-        tables, {t: [(c, F.col(c).isNull()) for c in cols] for t, cols in declared.items() if t in tables}
-    )
+    return row_rule_counts(tables, not_null_rules(declared)).drop("kind")
+
+
+def accepted_value_counts(
+    tables: dict[str, DataFrame], declared: dict[str, tuple[str, tuple[str, ...]]] = ACCEPTED_VALUES
+) -> DataFrame:
+    return row_rule_counts(tables, accepted_value_rules(declared)).drop("kind")
 
 
 def unique_counts(tables: dict[str, DataFrame], declared: dict[str, str] = UNIQUE) -> DataFrame:
@@ -194,24 +221,11 @@ def unique_counts(tables: dict[str, DataFrame], declared: dict[str, str] = UNIQU
         unique(tables[t], c).agg(F.count("*").alias("failures")).select(
             F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "failures"
         )
-        for t, c in declared.items() if t in tables
+        for t, c in declared.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def accepted_value_counts(
-    tables: dict[str, DataFrame], declared: dict[str, tuple[str, tuple[str, ...]]] = ACCEPTED_VALUES
-) -> DataFrame:
-    return declared_counts(
-        tables, {t: [(c, ~F.col(c).isin(*values))] for t, (c, values) in declared.items() if t in tables}
-    )
-
-
-def _named(kind: str, counts: DataFrame) -> DataFrame:
-    name = F.concat_ws(".", F.lit(kind), "table_name", "column_name")
-    return counts.select(name.alias("check_name"), F.lit("error").alias("severity"), "failures")
-
-
 def singular_checks(tables: dict[str, DataFrame]) -> list[Check]:
     """The checks that span tables."""
     fact = tables["fact_reconciliation"]
@@ -244,12 +258,17 @@ def count_failures(checks: list[Check]) -> DataFrame:
 
 def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Every declared and cross-table check. ``tables`` should be stored tables: each is read repeatedly."""
-    return (
-        _named("not_null", not_null_counts(tables))
-        .unionByName(_named("unique", unique_counts(tables)))
-        .unionByName(_named("accepted_values", accepted_value_counts(tables)))
-        .unionByName(count_failures(singular_checks(tables)))
+    rules = not_null_rules()
+    for table, extra in accepted_value_rules().items():
+        rules[table] = [*rules.get(table, []), *extra]
+    declared = row_rule_counts(tables, rules).unionByName(
+        unique_counts(tables).withColumn("kind", F.lit("unique"))
+    )
+    named = declared.select(
+        F.concat_ws(".", "kind", "table_name", "column_name").alias("check_name"),
+        F.lit("error").alias("severity"), "failures",
     )
+    return named.unionByName(count_failures(singular_checks(tables)))
 
 
 class QualityError(RuntimeError):

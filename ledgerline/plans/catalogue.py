@@ -172,8 +172,9 @@ class Inputs:
     def all_tables(self) -> dict[str, DataFrame]:
         """Every table by name; staging and facts are written first, as the daily job does."""
         self.store_staging()
-        self.store(payments=self.payments)
+        self.store(payments=self.payments, dim_merchants=self.dim_merchants, answer_key=self.answer_key)
         self.store(fact=reconcile.reconcile_payments(self.orders, self.payments))
+        self.store(daily=self.daily, merchant_summary=self.merchant_summary, accuracy=self.accuracy)
         return {
             "raw_orders": self.raw_orders, "raw_gateway": self.raw_gateway,
             "raw_settlements": self.raw_settlements,

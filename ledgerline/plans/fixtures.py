@@ -73,7 +73,7 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("ORD-"), k).alias("order_id"),
         F.concat(F.lit("TXN-"), k).alias("txn_id"),
         (F.col("o_custkey") % suppliers).alias("merchant"),
-        F.concat(F.lit("c"), "o_custkey", F.lit("@upi")).alias("customer_vpa"),
+        F.concat(F.lit("c"), "o_custkey", F.lit("@bank")).alias("customer_vpa"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
         (k % 10).alias("d"),
         ((k * 7919) % 86400).alias("s"),

@@ -28,7 +28,7 @@ _TABLES = {
         FROM merchant_states""",
     "rolls": """
         SELECT o_orderkey AS k, 'ORD-' || o_orderkey AS order_id, 'TXN-' || o_orderkey AS txn_id,
-          'M' || (o_custkey % n_sup) AS merchant_id, 'c' || o_custkey || '@upi' AS customer_vpa,
+          'M' || (o_custkey % n_sup) AS merchant_id, 'c' || o_custkey || '@bank' AS customer_vpa,
           CAST(o_totalprice AS DECIMAL(12,2)) AS amount,
           o_orderkey % 10 AS d, o_orderkey * 7919 % 86400 AS s,
           o_orderkey * 31 % 997 AS r_st, o_orderkey * 37 % 1009 AS r_sm, o_orderkey * 41 % 1013 AS r_dup,
