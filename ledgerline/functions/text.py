@@ -29,7 +29,10 @@ def _digits(text: Column) -> Column:
 
 def parse_money(text: Column) -> Column:
     """DECIMAL(12,2), rounded half away from zero; NULL if not a number or too large."""
-    return _digits(text).try_cast("decimal(12,2)")
+    digits = _digits(text)
+    # The decimal cast refuses a far exponent even of zero.
+    tiny = F.when(digits.try_cast("double") == 0, F.lit(0).cast("decimal(12,2)"))
+    return F.coalesce(digits.try_cast("decimal(12,2)"), tiny)
 
 
 def is_below_zero(text: Column) -> Column:

@@ -84,7 +84,8 @@ def typed(valid_rows: DataFrame, contract: Contract) -> DataFrame:
         if name in contract.numeric:
             return parse_money(text)
         if name in contract.timestamps:
-            return parse_time(text).cast(kind)
+            # A date column takes the date as written, whatever offset follows it.
+            return parse_time(text) if kind == T.TimestampType() else F.substring(text, 1, 10).cast(kind)
         return text
 
     kept = [convert(f.name, f.dataType).alias(f.name) for f in contract.schema.fields]

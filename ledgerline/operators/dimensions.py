@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import fee_split
-from ledgerline.operators.skew import copy_to_salts, hot_keys, salt_rows
-from ledgerline.session import shuffle_width
+from ledgerline.operators.skew import copy_to_salts, default_salts, hot_keys, salt_rows
 
 
 def chain_versions(history: DataFrame, key: str, updated_at: str) -> DataFrame:
@@ -89,7 +88,7 @@ def fee_as_of(
     a merchant holding a large share are spread over salts, with its versions copied to
     each. Orders without a valid version keep a NULL rate.
     """
-    salts = salts or shuffle_width(orders.sparkSession)
+    salts = salts or default_salts(orders)
     hot = hot_keys(orders, "merchant_id") if hot is None else hot
     placed = salt_rows(orders, "merchant_id", hot, "order_id", salts).withColumns({
         "_at": F.col("created_at"), "_is_order": F.lit(1),

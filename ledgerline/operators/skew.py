@@ -78,13 +78,18 @@ def spread_join(
 
     Only the right rows of hot keys are copied, one per salt.
     """
-    salts = salts or shuffle_width(left.sparkSession)
+    salts = salts or default_salts(left)
     hot = hot_keys(left, key) if hot is None else hot
     salted = salt_rows(left, key, hot, spread_by, salts)
     copies = copy_to_salts(right, key, hot, salts)
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
+def default_salts(df: DataFrame) -> int:
+    """A few salts per shuffle partition, so that partitions get about equally many of them."""
+    return 4 * shuffle_width(df.sparkSession)
+
+
 def nulls_last(column: str) -> list[Column]:
     """Ascending order with NULLs at the end, as fields for a comparison struct."""
     return [F.col(column).isNull(), F.col(column)]

@@ -104,7 +104,7 @@ class Tables:
         """Replace the batch's orders in a fact stored by ``order_day``.
 
         Only days that hold an affected row, before or after, are rewritten; where a
-        row sits now is looked up by reading two columns of the fact. The new days are
+        row sits now is looked up by reading three columns of the fact. The new days are
         written aside first, so a failure half way leaves what is needed to repeat it.
         """
         batch = materialize(with_order_day(batch), "batch")

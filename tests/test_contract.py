@@ -1,4 +1,7 @@
+import datetime as dt
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,3 +144,73 @@ def test_counts_and_reasons(spark):
     }
     log = {r.step: (r.rows_in, r.rows_out, r.rows_rejected) for r in contract.run_log_by_day([checked]).collect()}
     assert log == {"extract": (4, 4, 0), "validate": (4, 1, 3), "load": (1, 1, 0)}
+
+
+def test_settled_date_is_the_date_as_written(spark):
+    row = {**SETTLEMENT, "settled_date": "2026-09-01T00:30:00+05:30"}
+    assert contract.typed(rows(spark, "settlement", row), CONTRACTS["settlement"]).first().settled_date == day(1)
+
+
+def python_number(value: str):
+    """What Python reads as a number that DECIMAL(12,2) can hold, else None."""
+    try:
+        number = float(value)
+    except ValueError:
+        return None
+    return number if abs(number) < 9_999_999_999.99 else None
+
+
+def test_numbers_read_as_python_reads_them(spark):
+    rng = random.Random(7)
+    alphabet = "0123456789" * 2 + "..__--++eE  "
+    values = {"".join(rng.choices(alphabet, k=rng.randint(1, 7))) for _ in range(4000)}
+    df = spark.createDataFrame([[v] for v in values], "v string")
+    got = df.select("v", text.parse_money(F.col("v")).alias("n"), text.is_below_zero(F.col("v")).alias("neg")).collect()
+    wrong = [
+        (r.v, r.n, r.neg) for r in got
+        if (r.n is None) != (python_number(r.v) is None)
+        or (r.n is not None and (bool(r.neg) != (python_number(r.v) < 0) or abs(float(r.n) - python_number(r.v)) > 0.0051))
+    ]
+    assert wrong == []
+    assert sum(r.n is not None for r in got) > 500
+
+
+def python_time(value: str):
+    try:
+        t = dt.datetime.fromisoformat(value)
+    except ValueError:
+        return None
+    return (t if t.tzinfo else t.replace(tzinfo=dt.timezone.utc)).astimezone(dt.timezone.utc)
+
+
+# Accepted by Python only: basic dates and times, week dates, and offsets with seconds.
+PYTHON_ONLY = re.compile(r"^\d{8}|W|^.{11}\d{4}|[+-]\d{2}:?\d{2}:?\d{2}|[+-](1[89]|2\d)")
+
+
+def test_times_read_as_python_reads_them(spark):
+    rng = random.Random(11)
+    shapes = [v for v in TIMES if len(v) < 30] + ["2026-09-01T23:59:59.5-11:30", "2024-02-29 00:00"]
+    values = set()
+    for _ in range(4000):
+        chars = list(rng.choice(shapes))
+        for _ in range(rng.randint(0, 2)):
+            where = rng.randrange(len(chars))
+            edit = rng.choice(["swap", "drop", "add"])
+            new = rng.choice("0123456789:-+.TZ, ")
+            chars[where:where + (edit != "add")] = [] if edit == "drop" else [new]
+        values.add("".join(chars))
+    values = [v for v in values if v and not PYTHON_ONLY.search(v) and not v.startswith("0000")]
+    df = spark.createDataFrame([[v] for v in values], "v string")
+    seconds = F.unix_micros(text.parse_time(F.col("v")))
+    got = {r.v: r.s for r in df.select("v", seconds.alias("s")).collect()}
+    epoch = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
+    def micros(value):
+        t = python_time(value)
+        return None if t is None else (t - epoch) // dt.timedelta(microseconds=1)
+
+    wrong = [(v, got[v], micros(v)) for v in values if got[v] != micros(v)]
+    # Python lets some broken clock parts through, such as 10:00:009+05; those are refused here.
+    assert [w for w in wrong if w[1] is not None or re.match(text.TIME, w[0])] == []
+    assert len(wrong) < 40
+    assert sum(s is not None for s in got.values()) > 500

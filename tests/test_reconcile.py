@@ -8,10 +8,7 @@ from ledgerline.operators import skew, staging
 from ledgerline.plans import fixtures
 from ledgerline.plans.catalogue import Inputs
 from ledgerline.schemas import GATEWAY, ORDERS, RAW_ORDERS, SETTLEMENTS
-from pyspark.sql import types as T
-
-STG = [T.StructField("run_date", T.DateType())]
-
+from ledgerline.session import materialize
 
 def orders(spark, *rows):
     """(id, amount, status) triples."""
@@ -204,17 +201,17 @@ def test_affected_orders_and_incremental_match_a_rebuild_every_day(spark, inputs
         )
 
     target, sizes = None, []
-    for offset in (0, 1, 2, 3):
-        tables = staged(fixtures.day(offset))
-        full = rec.reconcile(*tables, inputs.hot_orders)
+    for offset in (0, 1, 2, 3, 4):
+        tables = [materialize(df, "stg") for df in staged(fixtures.day(offset))]
+        full = materialize(rec.reconcile(*tables, inputs.hot_orders), "full")
         if target is None:
             target = full
             continue
         sizes.append(rec.affected_orders(*tables, fixtures.day(offset)).count())
-        target = rec.reconcile_incremental(target, *tables, fixtures.day(offset), inputs.hot_orders)
-        again = rec.reconcile_incremental(target, *tables, fixtures.day(offset), inputs.hot_orders)
+        today = fixtures.day(offset), inputs.hot_orders
+        target = materialize(rec.reconcile_incremental(target, *tables, *today), "target")
         assert same(target, full), offset
-        assert same(again, full), offset
+        assert same(rec.reconcile_incremental(target, *tables, *today), full), offset
     assert all(200 < n < 300 for n in sizes)
 
 
