@@ -28,8 +28,8 @@ NOT_NULL = {
     "dim_merchants": ["merchant_id", "dbt_valid_from"],
     "fact_reconciliation": ["order_id"],
     "fact_payments": ["txn_id"],
-    "daily_summary": ["report_date"],
-    "merchant_summary": ["merchant_id"],
+    "daily_reconciliation_summary": ["report_date"],
+    "merchant_discrepancy_summary": ["merchant_id"],
     "accuracy_by_error_type": ["error_type"],
     "answer_key": ["order_id"],
 }
@@ -40,8 +40,8 @@ UNIQUE = {
     "dim_date": "date_day",
     "fact_reconciliation": "order_id",
     "fact_payments": "txn_id",
-    "daily_summary": "report_date",
-    "merchant_summary": "merchant_id",
+    "daily_reconciliation_summary": "report_date",
+    "merchant_discrepancy_summary": "merchant_id",
     "accuracy_by_error_type": "error_type",
 }
 ACCEPTED_VALUES = {
@@ -237,7 +237,7 @@ def singular_checks(tables: dict[str, DataFrame]) -> list[Check]:
             matured(fact, tables["run_log"]), tables["answer_key"],
         )),
         Check("no_negative_payment_amounts", negative_amounts(tables["stg_orders"], tables["stg_gateway_events"])),
-        Check("no_daily_row_count_anomaly", volume_anomalies(tables["daily_summary"]), "warn"),
+        Check("no_daily_row_count_anomaly", volume_anomalies(tables["daily_reconciliation_summary"]), "warn"),
         Check(
             "no_orphan_settlements",
             orphan_settlements(tables["stg_settlements"], tables["stg_gateway_events"]), "warn",

@@ -181,7 +181,7 @@ class Inputs:
             "stg_orders": self.orders, "stg_gateway_events": self.gateway, "stg_settlements": self.settlements,
             "dim_date": dimensions.dim_date(self.spark), "dim_merchants": self.dim_merchants,
             "fact_reconciliation": self.fact, "fact_payments": self.payments,
-            "daily_summary": self.daily, "merchant_summary": self.merchant_summary,
+            "daily_reconciliation_summary": self.daily, "merchant_discrepancy_summary": self.merchant_summary,
             "accuracy_by_error_type": self.accuracy, "answer_key": self.answer_key, "run_log": self.run_log,
         }
 

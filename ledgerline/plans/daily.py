@@ -124,7 +124,11 @@ def _write_marts(tables: Tables, frames: dict[str, DataFrame]) -> dict[str, Data
 
 
 def build_marts(tables: Tables, run_date: dt.date, full_refresh: bool = False) -> dict[str, DataFrame]:
-    """Snapshot, staging, facts and summaries; returns every table by name."""
+    """Snapshot, staging, facts and summaries; returns every table by name.
+
+    The reconciliation fact is brought forward by the orders touched on ``run_date``. It is
+    built anew on request, on the first day, and when an earlier run broke off rewriting it.
+    """
     spark = tables.spark
     raw = {name: tables.read(path) for name, path in RAW.items()}
     views = staging_views(raw)
@@ -133,14 +137,16 @@ def build_marts(tables: Tables, run_date: dt.date, full_refresh: bool = False) -
     hot = hot_keys(gateway, "order_id")
     payments_fact = tables.overwrite("marts/fact_payments", payments(orders, gateway, settlements, hot))
 
-    if full_refresh or not tables.exists(FACT):
+    if full_refresh or not tables.is_whole(FACT):
         fact = with_order_day(reconcile.reconcile_payments(orders, payments_fact))
-        tables.rewrite_by_day(FACT, fact)
+        with tables.rewriting(FACT):
+            tables.rewrite_by_day(FACT, fact)
     else:
         keys = materialize(reconcile.affected_orders(orders, gateway, settlements, run_date), "keys")
         changed = spread_join(payments_fact, keys, "order_id", "left_semi", spread_by="txn_id", hot=hot)
         touched = orders.join(keys, "order_id", "left_semi")
-        tables.replace_orders(FACT, reconcile.reconcile_payments(touched, changed))
+        with tables.rewriting(FACT):
+            tables.replace_orders(FACT, reconcile.reconcile_payments(touched, changed))
     fact = spark.read.parquet(tables.path(FACT)).select(*reconcile.FACT_COLS)
 
     log = tables.read("raw/pipeline_runs")
@@ -151,8 +157,8 @@ def build_marts(tables: Tables, run_date: dt.date, full_refresh: bool = False) -
     }
     out = _write_marts(tables, dims)
     out |= _write_marts(tables, {
-        "daily_summary": marts.daily_summary(fact, log),
-        "merchant_summary": marts.merchant_summary(fact, out["dim_merchants"]),
+        "daily_reconciliation_summary": marts.daily_summary(fact, log),
+        "merchant_discrepancy_summary": marts.merchant_summary(fact, out["dim_merchants"]),
         "accuracy_by_error_type": marts.accuracy(fact, key, log),
     })
     return out | stg | {
@@ -198,7 +204,7 @@ def load_answer_key(spark: SparkSession, root: str, csv_path: str) -> None:
 # Marts a SQL user reads, besides the staging views.
 MARTS = (
     "fact_reconciliation", "fact_payments", "dim_merchants", "dim_date",
-    "daily_summary", "merchant_summary", "accuracy_by_error_type", "quality_report",
+    "daily_reconciliation_summary", "merchant_discrepancy_summary", "accuracy_by_error_type", "quality_report",
 )
 
 
@@ -209,6 +215,9 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
     frames = {name: spark.read.parquet(tables.path(f"marts/{name}")) for name in MARTS}
     frames |= staging_views({name: tables.read(path) for name, path in RAW.items()})
     frames |= {
+        "raw_orders": tables.read("raw/orders"),
+        "raw_gateway_events": tables.read("raw/gateway_events"),
+        "raw_settlements": tables.read("raw/settlements"),
         "rejected": tables.read("raw/rejected"),
         "pipeline_runs": tables.read("raw/pipeline_runs"),
         "answer_key": tables.read("staging/answer_key"),

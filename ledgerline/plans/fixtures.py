@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import fee_split
-from ledgerline.session import shuffle_width
 
 # First day, last loaded day, and the codes per nation remainder.
 DAY0 = dt.date(2026, 9, 1)
@@ -51,8 +50,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _spread(df: DataFrame, key: str) -> DataFrame:
     """A table of a few small files would be fanned out by as few tasks; large ones pass as they are."""
-    width = shuffle_width(df.sparkSession)
-    return df.repartition(width, key) if df.rdd.getNumPartitions() < width else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def _rate(merchant: Column, version: Column) -> Column:

@@ -389,8 +389,8 @@ def _null_counts() -> str:
         "stg_settlements": ("ss", ["settlement_id", "txn_id"]),
         "fact_reconciliation": ("fact", ["order_id", "merchant_id", "txn_id", "settlement_id"]),
         "fact_payments": ("payments", ["txn_id"]),
-        "daily_summary": ("daily", ["report_date"]),
-        "merchant_summary": ("merchant_board", ["merchant_id"]),
+        "daily_reconciliation_summary": ("daily", ["report_date"]),
+        "merchant_discrepancy_summary": ("merchant_board", ["merchant_id"]),
         "accuracy_by_error_type": ("scores", ["error_type"]),
         "answer_key": ("answers", ["order_id"]),
     }
@@ -414,7 +414,8 @@ def _unique_counts() -> str:
         "stg_orders": ("so", "order_id"), "stg_gateway_events": ("sg", "txn_id"),
         "stg_settlements": ("ss", "settlement_id"), "dim_date": (f"({_CALENDAR}) AS c", "date_day"),
         "fact_reconciliation": ("fact", "order_id"), "fact_payments": ("payments", "txn_id"),
-        "daily_summary": ("daily", "report_date"), "merchant_summary": ("merchant_board", "merchant_id"),
+        "daily_reconciliation_summary": ("daily", "report_date"),
+        "merchant_discrepancy_summary": ("merchant_board", "merchant_id"),
         "accuracy_by_error_type": ("scores", "error_type"),
         "raw_orders": ("raw_o", "order_id"), "raw_gateway": ("raw_g", "txn_id"),
     }

@@ -89,7 +89,12 @@ def release(spark: SparkSession) -> None:
     For the end of a job, when its results are stored elsewhere: frames read from
     the copies cannot be read afterwards.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{work_folder(spark)}/{_TEMPORARY}")
+    delete_folder(spark, f"{work_folder(spark)}/{_TEMPORARY}")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is on; one that is absent is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 

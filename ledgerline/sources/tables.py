@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql import types as T
 from ledgerline import schemas
 from ledgerline.operators.merge import replace_keys, upsert
 from ledgerline.operators.skew import hot_keys, spread_join
-from ledgerline.session import is_missing, materialize
+from ledgerline.session import delete_folder, is_missing, materialize
 
 # Declared source tables: name -> schema.
 CATALOG: dict[str, T.StructType] = {
@@ -61,6 +63,18 @@ class Tables:
             return False
         return True
 
+    @contextmanager
+    def rewriting(self, name: str) -> Iterator[None]:
+        """Mark a table as being rewritten; the mark stays if the rewrite does not finish."""
+        mark = f"unfinished/{name}"
+        self.spark.range(1).coalesce(1).write.mode("overwrite").parquet(self.path(mark))
+        yield
+        delete_folder(self.spark, self.path(mark))
+
+    def is_whole(self, name: str) -> bool:
+        """Whether the table exists and its last rewrite came to an end."""
+        return self.exists(name) and not self.exists(f"unfinished/{name}")
+
     def overwrite(self, name: str, df: DataFrame) -> DataFrame:
         """Full rebuild of a table that ``df`` does not read."""
         df.write.mode("overwrite").parquet(self.path(name))
@@ -105,7 +119,8 @@ class Tables:
 
         Only days that hold an affected row, before or after, are rewritten; where a
         row sits now is looked up by reading three columns of the fact. The new days are
-        written aside first, so a failure half way leaves what is needed to repeat it.
+        written aside before the old ones go. Call it within ``rewriting``: days are swapped
+        one after the other, and a fact left half swapped has to be rebuilt.
         """
         batch = materialize(with_order_day(batch), "batch")
         target = self.read(name, batch.schema)

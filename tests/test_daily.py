@@ -104,7 +104,7 @@ def test_days_in_order(spark, root):
 
 def test_tables_answer_sql(spark, root):
     names = daily.register_views(spark, str(root))
-    assert len(names) == 14
+    assert len(names) == 17
     totals = spark.sql(
         "select reconciliation_status, count(*) n from fact_reconciliation group by 1"
     ).collect()
@@ -147,6 +147,19 @@ def test_missing_drop_empties_the_day_and_full_refresh_follows(spark, root, tmp_
     assert same(fact_of(spark, tables), rebuilt(tables))
 
 
+def test_broken_off_rewrite_is_made_good(spark, root, tmp_path):
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy)
+    tables = Tables(spark, str(copy))
+    with pytest.raises(RuntimeError), tables.rewriting(daily.FACT):
+        # The driver dies after a day has been dropped and before its new rows are in place.
+        shutil.rmtree(copy / daily.FACT / "order_day=2026-09-01")
+        raise RuntimeError
+    assert not tables.is_whole(daily.FACT)
+    daily.run_day(spark, str(copy), DAYS[-1], now=at(9))
+    assert tables.is_whole(daily.FACT) and same(fact_of(spark, tables), rebuilt(tables))
+
+
 def test_failed_check_stops_the_run_after_the_report(spark, root, tmp_path):
     copy = tmp_path / "copy"
     shutil.copytree(root, copy)
