@@ -225,15 +225,15 @@ def reconcile_keys(
     orders: DataFrame, gateway: DataFrame, settlements: DataFrame, keys: DataFrame,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Reconcile only the given order_ids, cutting all three inputs down first."""
+    """Reconcile only the given order_ids.
+
+    Orders and events are cut down first; the events left are read several times and
+    so are written to the work folder. Settlements are not cut down by a join of their
+    own: grouping them per transaction takes one shuffle, the join would add another.
+    """
     hot = hot_keys(gateway, "order_id") if hot is None else hot
     events = spread_join(gateway, keys, "order_id", "left_semi", spread_by="txn_id", hot=hot)
-    return reconcile(
-        orders.join(keys, "order_id", "left_semi"),
-        events,
-        spread_join(settlements, events.select("txn_id"), "txn_id", "left_semi", spread_by="settlement_id"),
-        hot,
-    )
+    return reconcile(orders.join(keys, "order_id", "left_semi"), materialize(events, "events"), settlements, hot)
 
 
 def reconcile_incremental(

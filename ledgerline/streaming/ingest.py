@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators import contract as rules
 from ledgerline.schemas import CONTRACTS
-from ledgerline.session import materialize
 from ledgerline.sources.tables import Tables
 
 
@@ -37,12 +36,14 @@ def ingest_new_files(
     )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        checked = materialize(rules.with_reason(batch, contract), f"stream-{source}")
+        # Read for two writes; a part lost with its executor is read again from the files.
+        checked = rules.with_reason(batch, contract).persist()
         now = F.lit(dt.datetime.now(dt.timezone.utc))
         good = rules.typed(rules.valid(checked), contract).withColumn("ingested_at", now)
         bad = rules.rejects(checked, contract).withColumn("rejected_at", now)
         tables.replace_partition(f"stream/{source}", good, batch_id=batch_id)
         tables.replace_partition(f"stream/rejected_{source}", bad, batch_id=batch_id)
+        checked.unpersist()
 
     return (
         rows.writeStream.foreachBatch(store)
