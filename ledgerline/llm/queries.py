@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontaminate
+from ledgerline.llm import bpe, decontaminate, minhash
 from ledgerline.llm.common import table
 from ledgerline.session import prepare
 
@@ -25,9 +25,14 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(ids, vocab), "doc_id")
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op8_bpe": op8_bpe,
+    "op9_minhash": op9_minhash,
 }
 
 
