@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontaminate, linededup, minhash
+from ledgerline.llm import bpe, decontaminate, fingerprint, linededup, minhash
 from ledgerline.llm.common import table
 from ledgerline.session import prepare
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     return linededup.dedup(docs, note="n_blocks", drop_empty=False)
@@ -35,6 +39,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op8_bpe": op8_bpe,
