@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontaminate, fingerprint, linededup, minhash
-from ledgerline.llm.common import table
+from ledgerline.llm import bpe, decontaminate, fingerprint, langid, linededup, minhash
+from ledgerline.llm.common import held_out, table
 from ledgerline.session import prepare
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -28,6 +28,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(decontaminate.match(docs, items))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs)
+    return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = bpe.vocabulary(spark, BPE_RANKS, public_tokenizers.PATTERN)
     ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocab).drop("text")
@@ -42,6 +48,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontamination": op6_decontamination,
+    "op7_language": op7_language,
     "op8_bpe": op8_bpe,
     "op9_minhash": op9_minhash,
 }
