@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontaminate, fingerprint, langid, linededup, minhash
+from ledgerline.llm import bpe, decontaminate, fingerprint, langid, linededup, minhash, quality
 from ledgerline.llm.common import held_out, table
 from ledgerline.session import prepare
 
@@ -18,6 +18,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.rate(docs, table(spark, sf_dir, "labels"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     return linededup.dedup(docs, note="n_blocks", drop_empty=False)
@@ -46,6 +51,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_quality": op2_quality,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_language": op7_language,
