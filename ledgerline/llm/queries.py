@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontaminate, fingerprint, langid, linededup, minhash, quality
+from ledgerline.llm import bpe, decontaminate, fingerprint, langid, linededup, minhash, pii, quality
 from ledgerline.llm.common import held_out, table
 from ledgerline.session import prepare
 
@@ -23,6 +23,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(docs, table(spark, sf_dir, "labels"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     return linededup.dedup(docs, note="n_blocks", drop_empty=False)
@@ -52,6 +56,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_quality": op2_quality,
+    "op3_pii": op3_pii,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_language": op7_language,
