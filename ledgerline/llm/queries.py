@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontaminate, fingerprint, langid, linededup, minhash, pii, quality
+from ledgerline.llm import bpe, decontaminate, fingerprint, fixity, langid, linededup, linkgraph, minhash, pii, quality
 from ledgerline.llm.common import held_out, table
 from ledgerline.session import prepare
 
@@ -27,6 +27,12 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op4_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as an archive against a replica of it that is damaged at known places."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return fixity.audit(pages, fixity.damaged_replica(pages))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     return linededup.dedup(docs, note="n_blocks", drop_empty=False)
@@ -53,15 +59,21 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkgraph.verdicts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_quality": op2_quality,
     "op3_pii": op3_pii,
+    "op4_fixity": op4_fixity,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_language": op7_language,
     "op8_bpe": op8_bpe,
     "op9_minhash": op9_minhash,
+    "op10_urls": op10_urls,
 }
 
 
@@ -70,7 +82,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return lambda spark, sf_dir: query(prepare(spark), sf_dir)
 
     return {name: named(query) for name, query in _QUERIES.items()}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
