@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import mix, small_batches, word_hash_tables
+from ledgerline.llm.common import map_positions, mix, word_hash_tables
 
 _KEYS_A_BUCKET = 4
 _STEP = np.uint64(0xD1B54A32D192ED03)
@@ -223,24 +223,18 @@ class _Encoder:
 
 def encode(df: DataFrame, vocab: Broadcast, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the token ids of ``text`` as an array column ``ids``."""
-    small_batches(df.sparkSession)
+    place = df.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         encoder = _Encoder(vocab.value)
         for batch in batches:
-            rows = list(encoder.encode(batch.column(batch.schema.names.index(text)).to_pylist()))
+            rows = list(encoder.encode(batch.column(place).to_pylist()))
             offsets = np.zeros(len(rows) + 1, np.int32)
             np.cumsum([len(r) for r in rows], out=offsets[1:])
             flat = np.concatenate([np.frombuffer(r, np.int32) for r in rows]) if rows else np.empty(0, np.int32)
-            column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
-            kind = pa.list_(pa.field("element", pa.int32(), False))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, column.cast(kind)],
-                schema=pa.schema([*batch.schema, pa.field(ids, kind, False)]),
-            )
+            yield [*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))]
 
-    schema = T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
-    return df.mapInArrow(run, schema)
+    return map_positions(df, run, [*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
 
 
 def _slices(column: pa.Array) -> Iterator[np.ndarray]:
@@ -251,18 +245,15 @@ def _slices(column: pa.Array) -> Iterator[np.ndarray]:
 
 def decode(df: DataFrame, vocab: Broadcast, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with the bytes that ``ids`` stand for as a binary column; they need not be UTF-8."""
-    small_batches(df.sparkSession)
+    place = df.columns.index(ids)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         tokens = vocab.value["tokens"]
         for batch in batches:
-            rows = _slices(batch.column(batch.schema.names.index(ids)))
-            column = pa.array([b"".join(map(tokens.__getitem__, r.tolist())) for r in rows], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, column], schema=pa.schema([*batch.schema, pa.field(decoded, pa.binary(), False)])
-            )
+            rows = _slices(batch.column(place))
+            yield [*batch.columns, pa.array([b"".join(map(tokens.__getitem__, r.tolist())) for r in rows], pa.binary())]
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(decoded, T.BinaryType(), False)]))
+    return map_positions(df, run, [*df.schema.fields, T.StructField(decoded, T.BinaryType(), False)])
 
 
 def digests(df: DataFrame, key: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

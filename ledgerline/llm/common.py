@@ -27,10 +27,6 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
-    return batch.column(batch.schema.names.index(name))
-
-
 def map_rows(df: DataFrame, each: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, Any]]], schema: str) -> DataFrame:
     """Run ``each`` over a partition's batches, given and returned as columns by name."""
     small_batches(df.sparkSession)
@@ -44,30 +40,42 @@ def map_rows(df: DataFrame, each: Callable[[Iterator[dict[str, list]]], Iterator
     return df.mapInArrow(run, schema)
 
 
+def map_positions(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[list[pa.Array]]], fields: list[T.StructField]) -> DataFrame:
+    """``df`` mapped batch by batch to the columns ``fields``; columns go by place, so any names will do."""
+    small_batches(df.sparkSession)
+    out = T.StructType([T.StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(fields)])
+    arrow = to_arrow_schema(out)
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for arrays in run(batches):
+            yield pa.RecordBatch.from_arrays([a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, arrow)], schema=arrow)
+
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(mapped, out).toDF(*[f.name for f in fields])
+
+
 def with_notes(df: DataFrame, inputs: list[str], schema: str, each: Callable[[Iterator[list[list]]], Iterator[list[list]]]) -> DataFrame:
     """``df`` and the columns of ``schema`` that ``each`` makes of the batches of ``inputs``.
 
     All other columns pass as they are, whatever their names and types. The new names must
     not be taken (see ``fresh``).
     """
-    small_batches(df.sparkSession)
     new = T._parse_datatype_string(schema)
-    arrow = to_arrow_schema(new)
+    kinds = [f.type for f in to_arrow_schema(new)]
+    places = [df.columns.index(n) for n in inputs]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         waiting: list[pa.RecordBatch] = []
 
         def columns() -> Iterator[list[list]]:
             for batch in batches:
                 waiting.append(batch)
-                yield [_column(batch, n).to_pylist() for n in inputs]
+                yield [batch.column(i).to_pylist() for i in places]
 
         for out in each(columns()):
-            batch = waiting.pop()
-            made = [pa.array(values, f.type) for values, f in zip(out, arrow)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema=pa.schema([*batch.schema, *arrow]))
+            yield [*waiting.pop().columns, *[pa.array(values, kind) for values, kind in zip(out, kinds)]]
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *new.fields]))
+    return map_positions(df, run, [*df.schema.fields, *new.fields])
 
 
 def rewrite_text(df: DataFrame, notes: list[str], rewrite: Callable[..., str | None], drop_none: bool = False) -> DataFrame:
@@ -77,28 +85,29 @@ def rewrite_text(df: DataFrame, notes: list[str], rewrite: Callable[..., str | N
     All other columns pass as they are. Null texts stay; with ``drop_none``, other rows for
     which the rewrite returns None go.
     """
-    small_batches(df.sparkSession)
-    names = [c for c in df.columns if c not in notes]
+    names = df.columns
+    kept = [i for i, n in enumerate(names) if n not in notes]
+    note_places = [names.index(n) for n in notes]
+    text_place = names.index("text")
+    count_place = names.index("n_chars") if "n_chars" in names else None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
-            old = _column(batch, "text").to_pylist()
-            given = [_column(batch, n).to_pylist() for n in notes]
+            old = batch.column(text_place).to_pylist()
+            given = [batch.column(i).to_pylist() for i in note_places]
             new = [None if t is None else rewrite(t, *row) for t, *row in zip(old, *given)]
-            fields = [batch.schema.field(batch.schema.names.index(n)) for n in names]
-            arrays = [_column(batch, n) for n in names]
-            at = names.index("text")
-            arrays[at] = pa.array(new, fields[at].type)
-            at = names.index("n_chars") if "n_chars" in names else at
-            if pa.types.is_integer(fields[at].type):
-                counts = [c if n is None or n == o else len(n) for c, o, n in zip(arrays[at].to_pylist(), old, new)]
-                arrays[at] = pa.array(counts, fields[at].type)
-            out = pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
+            arrays = {i: batch.column(i) for i in kept}
+            arrays[text_place] = pa.array(new, pa.string())
+            if count_place is not None and pa.types.is_integer(arrays[count_place].type):
+                before = arrays[count_place]
+                counts = [c if n is None or n == o else len(n) for c, o, n in zip(before.to_pylist(), old, new)]
+                arrays[count_place] = pa.array(counts, before.type)
             if drop_none:
-                out = out.filter(pa.array([n is not None or o is None for o, n in zip(old, new)], pa.bool_()))
-            yield out
+                stay = pa.array([n is not None or o is None for o, n in zip(old, new)], pa.bool_())
+                arrays = {i: a.filter(stay) for i, a in arrays.items()}
+            yield [arrays[i] for i in kept]
 
-    return df.mapInArrow(run, df.select(*[quoted(n) for n in names]).schema)
+    return map_positions(df, run, [df.schema.fields[i] for i in kept])
 
 
 def quoted(name: str) -> Column:
