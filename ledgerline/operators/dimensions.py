@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import fee_split
-from ledgerline.operators.skew import copy_to_salts, default_salts, hot_keys, salt_rows
+from ledgerline.operators.skew import copy_to_salts, hot_keys, salt_rows
 
 
 def chain_versions(history: DataFrame, key: str, updated_at: str) -> DataFrame:
@@ -78,22 +78,19 @@ def dim_merchants(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def fee_as_of(
-    orders: DataFrame, snapshot: DataFrame, hot: DataFrame | None = None, salts: int | None = None
-) -> DataFrame:
+def fee_as_of(orders: DataFrame, snapshot: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Orders with the merchant's fee rate valid when they were placed.
 
     Versions and orders of a merchant are laid on one time line and the last version
     seen is carried forward, so no order meets every version of its merchant. Orders of
-    a merchant holding a large share are spread over salts, with its versions copied to
-    each. Orders without a valid version keep a NULL rate.
+    a merchant holding a large share are spread over salts by that share, with its versions
+    copied to each. Orders without a valid version keep a NULL rate.
     """
-    salts = salts or default_salts(orders)
     hot = hot_keys(orders, "merchant_id") if hot is None else hot
-    placed = salt_rows(orders, "merchant_id", hot, "order_id", salts).withColumns({
+    placed = salt_rows(orders, "merchant_id", hot, "order_id").withColumns({
         "_at": F.col("created_at"), "_is_order": F.lit(1),
     })
-    versions = copy_to_salts(snapshot, "merchant_id", hot, salts).select(
+    versions = copy_to_salts(snapshot, "merchant_id", hot).select(
         "merchant_id", "_salt", F.col("valid_from").alias("_at"), F.lit(0).alias("_is_order"),
         F.struct("fee_rate", "valid_to").alias("_version"),
     )

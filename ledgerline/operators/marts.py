@@ -164,9 +164,9 @@ def discrepancy_aging(daily: DataFrame) -> DataFrame:
     return daily.select("report_date", "avg_discrepancy_age_days", "max_discrepancy_age_days")
 
 
-def merchant_leaderboard(summary: DataFrame, top: int = 20) -> DataFrame:
-    """Merchants with the highest discrepancy rate; equal rates by merchant_id."""
-    return summary.orderBy(F.desc("discrepancy_rate_pct"), "merchant_id").limit(top)
+def merchant_leaderboard(summary: DataFrame) -> DataFrame:
+    """All merchants, the highest discrepancy rate first; equal rates by merchant_id."""
+    return summary.orderBy(F.desc("discrepancy_rate_pct"), "merchant_id")
 
 
 def merchant_flag_breakdown(summary: DataFrame) -> DataFrame:
@@ -183,11 +183,15 @@ def drilldown(
     for name, value in (("order_id", order_id), ("merchant_id", merchant_id), ("reconciliation_status", status)):
         if value is not None:
             fact = fact.where(F.col(name) == value)
-    # Plain bounds on the column, so that they reach the scan.
+    # An orphan payment has no order time; it is dated by its payment, as it is in storage.
+    # Plain bounds on the columns, so that they reach the scan.
+    created, paid = F.col("order_created_at"), F.col("gateway_event_time")
     if start is not None:
-        fact = fact.where(F.col("order_created_at") >= F.lit(start).cast("timestamp"))
+        first = F.lit(start).cast("timestamp")
+        fact = fact.where((created >= first) | (created.isNull() & (paid >= first)))
     if end is not None:
-        fact = fact.where(F.col("order_created_at") < F.date_add(F.lit(end), 1).cast("timestamp"))
+        after = F.date_add(F.lit(end), 1).cast("timestamp")
+        fact = fact.where((created < after) | (created.isNull() & (paid < after)))
     return fact
 
 

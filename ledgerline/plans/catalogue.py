@@ -12,21 +12,15 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import parse_money
 from ledgerline.operators import contract as rules
-from ledgerline.operators import dimensions, faults, marts, merge, payments, quality, reconcile, staging
+from ledgerline.operators import dimensions, marts, merge, payments, quality, reconcile, staging
 from ledgerline.operators.skew import hot_keys
 from ledgerline.plans import fixtures
 from ledgerline.schemas import CONTRACTS
 from ledgerline.session import materialize, prepare, stored_once, together, work_folder
-from ledgerline.sources.extract import as_text, orders_incremental_pull
+from ledgerline.sources.extract import orders_incremental_pull
 from ledgerline.sources.tables import Tables
 
 LAST = fixtures.day(fixtures.LAST_DAY)
-SEED = 42
-ROW_FAULT_RATES = {"null_key": 0.01, "negative_amount": 0.01, "bad_date": 0.01}
-PAYMENT_FAULT_RATES = {
-    "missing_settlement": 0.02, "late_settlement": 0.03, "amount_mismatch": 0.015,
-    "duplicate_charge": 0.01, "status_mismatch": 0.01,
-}
 
 
 def publish(df: DataFrame) -> DataFrame:
@@ -143,7 +137,7 @@ class Inputs:
 
     @cached_property
     def answer_key(self) -> DataFrame:
-        return faults.answer_key(self.stored(fixtures.truth))
+        return fixtures.answer_key(self.stored(fixtures.truth))
 
     @cached_property
     def accuracy(self) -> DataFrame:
@@ -292,16 +286,10 @@ def _fee_check(i: Inputs) -> DataFrame:
     return quality.fee_disagreements(i.settlements, i.payments, fees, i.hot_txns, i.hot_orders)
 
 
-def _clean_text(i: Inputs) -> DataFrame:
-    return as_text(i.gateway.drop("run_date"))
-
-
-def _inject(i: Inputs) -> tuple[DataFrame, DataFrame]:
-    return faults.inject_errors(_clean_text(i), "txn_id", ROW_FAULT_RATES, SEED, ["amount"], ["event_time"])
-
-
-def _planted(i: Inputs) -> DataFrame:
-    return faults.inject_payment_faults(i.gateway, i.settlements, PAYMENT_FAULT_RATES, SEED)[2]
+def _misled(answer_key: DataFrame) -> DataFrame:
+    """The labels with every seventh one wrong, for a check that has to find something."""
+    wrong = F.substring("order_id", 5, 20).cast("long") % 7 == 3
+    return answer_key.withColumn("expected_result", F.when(wrong, "pending").otherwise(F.col("expected_result")))
 
 
 def _validated(name: str) -> Callable[[Inputs], DataFrame]:
@@ -358,7 +346,10 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "dq_unique": _unique,
     "dq_accepted_values": _accepted,
     "dq_relationships": _relationships,
-    "dq_answer_key": lambda i: quality.answer_key_disagreements(i.fact, i.answer_key),
+    "dq_answer_key": lambda i: quality.answer_key_disagreements(marts.matured(i.fact, i.run_log), i.answer_key),
+    "dq_answer_key_planted": lambda i: quality.answer_key_disagreements(
+        marts.matured(i.fact, i.run_log), _misled(i.answer_key)
+    ),
     "dq_negative_amounts": _negative,
     "dq_volume_anomaly": _volume,
     "dq_orphan_settlements": lambda i: quality.orphan_settlements(i.settlements, i.gateway, i.hot_txns),
@@ -366,9 +357,6 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "raw_day_replace": _day_replace,
     "orders_upsert": _upsert,
     "settlement_fee_check": _fee_check,
-    "inject_errors": lambda i: _inject(i)[0],
-    "inject_errors_labels": lambda i: _inject(i)[1],
-    "planted_faults": _planted,
     "answer_key": lambda i: i.answer_key,
     "run_log": lambda i: rules.run_log_by_day(list(i.all_checked().values())),
     "headline_metrics": _headline,

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.money import fee_split
 
-# First day, last loaded day, and the codes per nation remainder.
+# First day, last loaded day, and a category per nation remainder.
 DAY0 = dt.date(2026, 9, 1)
 LAST_DAY = 9
-CATEGORIES = ["grocery", "electronics", "fashion", "food_delivery"]
+CATEGORIES = ["bakery", "hardware", "travel", "books"]
 _EPOCH_DAY0 = int(dt.datetime(2026, 9, 1, tzinfo=dt.timezone.utc).timestamp())
 
 
@@ -321,3 +321,34 @@ def load_days(spark: SparkSession) -> DataFrame:
     return spark.range(LAST_DAY + 1).select(
         _date(F.col("id")).alias("run_date"), F.lit("load").alias("step")
     )
+
+
+# What was done to an order, the first that holds, and the result to expect of it.
+_LABELS = [
+    ("pending", "is_pending", "pending"),
+    ("missing_settlement", "succeeded AND missing_settlement", "discrepancy"),
+    ("status_mismatch", "status_mismatch", "discrepancy"),
+    ("invalid_row", "invalid_row", "discrepancy"),
+    ("duplicate_charge", "duplicate_charge", "discrepancy"),
+    ("none", "NOT succeeded", "match"),
+    ("late_settlement", "late_settlement", "discrepancy"),
+    ("amount_mismatch", "amount_mismatch", "discrepancy"),
+    ("refund", "refunded", "refunded"),
+    ("clean", "true", "match"),
+]
+
+
+def answer_key(truth: DataFrame) -> DataFrame:
+    """One label per order and the result it calls for, from ``truth``.
+
+    A missing settlement overrides every other label; faults of the settlement itself count
+    only where the payment succeeded.
+    """
+    holding = F.filter(F.array(*[
+        F.when(F.expr(condition), F.struct(F.lit(label).alias("label"), F.lit(result).alias("result")))
+        for label, condition, result in _LABELS
+    ]), lambda x: x.isNotNull())
+    return truth.withColumn("_first", holding[0]).select(
+        "order_id", "merchant_id", "amount", "order_status",
+        F.col("_first.label").alias("error_type"), F.col("_first.result").alias("expected_result"),
+    )

@@ -23,10 +23,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def work_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by spark.checkpoint.dir.
 
-    Only where the setting is absent (single-machine tests) is one made up.
+    Only on a single machine may the setting be absent; then a folder is made up. On a
+    cluster that would give every machine a folder of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="ledgerline-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/ledgerline/{spark.sparkContext.applicationId}"

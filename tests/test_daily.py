@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL, at, day, same
 from ledgerline.operators import reconcile as rec
 from ledgerline.operators import staging
-from ledgerline.operators.faults import answer_key
+from ledgerline.plans.fixtures import answer_key
 from ledgerline.operators.quality import QualityError
 from ledgerline.plans import daily, fixtures
 from ledgerline.plans.catalogue import Inputs

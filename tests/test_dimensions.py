@@ -73,9 +73,9 @@ def test_fee_as_of_matches_brute_force_with_a_hot_merchant(spark):
     orders = i.orders.withColumn(
         "merchant_id", F.when(F.pmod(F.xxhash64("order_id"), F.lit(3)) == 0, "M3").otherwise(F.col("merchant_id"))
     ).withColumn("merchant_id", F.when(F.col("order_id") == "ORD-5", None).otherwise(F.col("merchant_id")))
-    hot = skew.hot_keys(orders, "merchant_id", share=0.2, min_rows=100)
+    hot = skew.hot_keys(orders, "merchant_id", share=0.2)
     assert [r[0] for r in hot.collect()] == ["M3"]
-    got = dim.fee_as_of(orders, i.snapshot, hot, salts=5)
+    got = dim.fee_as_of(orders, i.snapshot, hot)
     v = i.snapshot.select("merchant_id", "valid_from", "valid_to", "fee_rate")
     brute = orders.join(v, "merchant_id", "left").where(
         "valid_from is null or (valid_from <= created_at and (valid_to is null or created_at < valid_to))"

@@ -1,3 +1,4 @@
+import math
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,7 +163,7 @@ def test_skewed_order_gives_the_same_result_through_salts(spark, inputs):
         "order_id",
         F.when(slot < 4, "ORD-GHOST-HOT").when(slot == 4, "ORD-7").when(slot == 5, None).otherwise(F.col("order_id")),
     )
-    hot = skew.hot_keys(g, "order_id", min_rows=50)
+    hot = skew.hot_keys(g, "order_id")
     assert {r[0] for r in hot.collect()} == {"ORD-GHOST-HOT", "ORD-7"}
     none = hot.limit(0)
     args = inputs.orders, g, inputs.settlements
@@ -175,19 +176,34 @@ def test_skewed_order_gives_the_same_result_through_salts(spark, inputs):
     assert salted.where("is_orphan_payment").count() == plain.count() > 300
 
 
-def test_hot_keys_are_spread_over_partitions(spark, inputs):
+def test_hot_keys_are_spread_by_their_share(spark, inputs):
     g = inputs.gateway.withColumn("order_id", F.when(F.length("txn_id") < 7, "HOT").otherwise(F.col("order_id")))
-    hot = skew.hot_keys(g, "order_id", min_rows=50)
-    salted = skew.salt_rows(g, "order_id", hot, "txn_id", 16)
-    per_salt = salted.where("order_id = 'HOT'").groupBy("_salt").count()
-    assert per_salt.count() == 16
-    copies = skew.copy_to_salts(inputs.orders.limit(5).withColumn("order_id", F.lit("HOT")), "order_id", hot, 16)
-    assert copies.count() == 5 * 16
+    hot = skew.hot_keys(g, "order_id", share=0.01)
+    rows = hot.where("order_id = 'HOT'").collect()
+    part = g.where("order_id = 'HOT'").count() / g.where("order_id is not null").count()
+    assert [r.salts for r in rows] == [math.ceil(part / 0.01)]
+    salted = skew.salt_rows(g, "order_id", hot, "txn_id")
+    assert salted.where("order_id = 'HOT'").select("_salt").distinct().count() == rows[0].salts
+    copies = skew.copy_to_salts(inputs.orders.limit(5).withColumn("order_id", F.lit("HOT")), "order_id", hot)
+    assert copies.count() == 5 * rows[0].salts
+
+
+def test_hot_keys_follow_the_number_of_partitions(spark):
+    """With 2,000 partitions a key of a thousandth of the rows fills two of them and is split."""
+    df = spark.range(200_000).select(F.when(F.col("id") % 1000 == 7, "HOT").otherwise(F.col("id").cast("string")).alias("k"))
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        hot = skew.hot_keys(df, "k")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert [(r.k, r.salts) for r in hot.collect()] == [("HOT", 4)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert skew.hot_keys(df, "k").count() == 0
 
 
 def test_hot_keys_are_bounded(spark):
     df = spark.range(5000).select((F.col("id") % 100).cast("string").alias("k"))
-    assert skew.hot_keys(df, "k", share=0.01, min_rows=1).count() <= 100
+    assert skew.hot_keys(df, "k", share=0.01).count() == 100
     assert skew.hot_keys(df.where("k is null"), "k").count() == 0
 
 
