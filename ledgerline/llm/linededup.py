@@ -99,6 +99,8 @@ def shared_lines(lines: DataFrame) -> DataFrame:
     (at, line, first, first_at, words, once), ``first`` being the first document with the line."""
     each = lines.select("id", F.explode("hashes").alias("line"))
     repeated = each.groupBy("line").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
+    # A stored side lets a join split the partition of a line that very many documents share.
+    repeated = materialize(repeated, "repeated")
     placed = lines.select("id", "notes", F.posexplode("hashes").alias("at", "line")).select(
         "id", "at", "line", F.expr("notes[at]").alias("note")
     )
@@ -106,7 +108,7 @@ def shared_lines(lines: DataFrame) -> DataFrame:
     origin = found.where("id = first").groupBy("line").agg(
         F.min("at").alias("first_at"), F.min(F.col("note") % 2).alias("once_there")
     )
-    later = found.where("id > first").join(origin, "line")
+    later = found.where("id > first").join(materialize(origin, "origins"), "line")
     link = F.struct(
         "at", "line", "first", "first_at", F.shiftright("note", 1).alias("words"), (F.col("note") % 2 * F.col("once_there")).alias("once")
     )
