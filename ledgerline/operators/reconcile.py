@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.merge import replace_keys
 from ledgerline.operators.skew import hot_keys, nulls_last, spread_join
 from ledgerline.session import materialize
 
@@ -227,24 +226,13 @@ def reconcile_keys(
 ) -> DataFrame:
     """Reconcile only the given order_ids.
 
-    Orders and events are cut down first; the events left are read several times and
-    so are written to the work folder. Settlements are not cut down by a join of their
-    own: grouping them per transaction takes one shuffle, the join would add another.
+    Orders and events are cut down first, and settlements to the transactions that are left,
+    so nothing of the history is grouped. The events are read several times and so are
+    written to the work folder.
     """
     hot = hot_keys(gateway, "order_id") if hot is None else hot
-    events = spread_join(gateway, keys, "order_id", "left_semi", spread_by="txn_id", hot=hot)
-    return reconcile(orders.join(keys, "order_id", "left_semi"), materialize(events, "events"), settlements, hot)
-
-
-def reconcile_incremental(
-    target: DataFrame, orders: DataFrame, gateway: DataFrame, settlements: DataFrame, run_date,
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """``target`` with the orders touched on ``run_date`` recomputed and replaced.
-
-    The touched keys and the new rows are each needed several times, so both are
-    written to the work folder. ``target`` and the staged inputs should be stored tables.
-    """
-    keys = materialize(affected_orders(orders, gateway, settlements, run_date), "keys")
-    batch = materialize(reconcile_keys(orders, gateway, settlements, keys, hot), "batch")
-    return replace_keys(target, batch, "order_id", spread_by="txn_id")
+    events = materialize(
+        spread_join(gateway, keys, "order_id", "left_semi", spread_by="txn_id", hot=hot), "events"
+    )
+    lines = settlements.join(events.select("txn_id"), "txn_id", "left_semi")
+    return reconcile(orders.join(keys, "order_id", "left_semi"), events, lines, hot)

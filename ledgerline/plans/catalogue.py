@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +14,11 @@ from ledgerline.functions.text import parse_money
 from ledgerline.operators import contract as rules
 from ledgerline.operators import dimensions, marts, merge, payments, quality, reconcile, staging
 from ledgerline.operators.skew import hot_keys
-from ledgerline.plans import fixtures
+from ledgerline.plans import daily, fixtures
 from ledgerline.schemas import CONTRACTS
-from ledgerline.session import materialize, prepare, stored_once, together, work_folder
+from ledgerline.session import materialize, prepare, stored_once, temporary_folder, together
 from ledgerline.sources.extract import orders_incremental_pull
-from ledgerline.sources.tables import Tables
+from ledgerline.sources.tables import Tables, with_order_day
 
 LAST = fixtures.day(fixtures.LAST_DAY)
 
@@ -109,12 +109,18 @@ class Inputs:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return reconcile.reconcile_settled(self.orders, self.settled, self.hot_orders)
+        # Orders and orphans both start from the settled events, which are computed once.
+        settled = materialize(self.settled, "settled")
+        return reconcile.reconcile_settled(self.orders, settled, self.hot_orders)
 
     @cached_property
     def payments(self) -> DataFrame:
         return payments.payments_settled(self.orders, self.settled, self.hot_orders)
 
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return dimensions.dim_date(self.spark)
+
     @cached_property
     def run_log(self) -> DataFrame:
         return fixtures.load_days(self.spark)
@@ -163,21 +169,53 @@ class Inputs:
     def store_staging(self) -> None:
         self.store(orders=self.orders, gateway=self.gateway, settlements=self.settlements)
 
-    def all_tables(self) -> dict[str, DataFrame]:
-        """Every table by name; staging and facts are written first, as the daily job does."""
-        self.store_staging()
-        self.store(payments=self.payments, dim_merchants=self.dim_merchants, answer_key=self.answer_key)
-        self.store(fact=reconcile.reconcile_payments(self.orders, self.payments))
-        self.store(daily=self.daily, merchant_summary=self.merchant_summary, accuracy=self.accuracy)
-        return {
-            "raw_orders": self.raw_orders, "raw_gateway": self.raw_gateway,
-            "raw_settlements": self.raw_settlements,
-            "stg_orders": self.orders, "stg_gateway_events": self.gateway, "stg_settlements": self.settlements,
-            "dim_date": dimensions.dim_date(self.spark), "dim_merchants": self.dim_merchants,
-            "fact_reconciliation": self.fact, "fact_payments": self.payments,
-            "daily_reconciliation_summary": self.daily, "merchant_discrepancy_summary": self.merchant_summary,
-            "accuracy_by_error_type": self.accuracy, "answer_key": self.answer_key, "run_log": self.run_log,
-        }
+    def scratch(self, label: str) -> Tables:
+        """Tables of this query's own, below the temporary copies."""
+        return Tables(self.spark, temporary_folder(self.spark, label))
+
+    def tables(self, names: Iterable[str]) -> dict[str, DataFrame]:
+        """The named tables. What several of them are made from is written first, as the daily
+        job does, and nothing else is."""
+        found = set(names)
+        for name in reversed(_TABLES):
+            if name in found:
+                found.update(_TABLES[name].made_from)
+        for stage in sorted({_TABLES[name].stage for name in found} - {0}):
+            self.store(**{
+                t.attribute: getattr(self, t.attribute) for name, t in _TABLES.items() if name in found and t.stage == stage
+            })
+            if stage == 2 and "fact_reconciliation" in found:
+                self.fact = reconcile.reconcile_payments(self.orders, self.payments)
+        return {name: getattr(self, _TABLES[name].attribute) for name in names}
+
+
+@dataclass(frozen=True)
+class Derived:
+    """A table by the attribute of Inputs that makes it, when it is stored (0: as it is), and what it is made from."""
+
+    attribute: str
+    stage: int = 0
+    made_from: tuple[str, ...] = ()
+
+
+_STAGED = ("stg_orders", "stg_gateway_events", "stg_settlements")
+_TABLES = {
+    "raw_orders": Derived("raw_orders"),
+    "raw_gateway": Derived("raw_gateway"),
+    "raw_settlements": Derived("raw_settlements"),
+    "run_log": Derived("run_log"),
+    "dim_date": Derived("dim_date"),
+    "stg_orders": Derived("orders", 1),
+    "stg_gateway_events": Derived("gateway", 1),
+    "stg_settlements": Derived("settlements", 1),
+    "dim_merchants": Derived("dim_merchants", 2),
+    "answer_key": Derived("answer_key", 2),
+    "fact_payments": Derived("payments", 2, _STAGED),
+    "fact_reconciliation": Derived("fact", 3, ("fact_payments", "stg_orders")),
+    "daily_reconciliation_summary": Derived("daily", 4, ("fact_reconciliation",)),
+    "merchant_discrepancy_summary": Derived("merchant_summary", 4, ("fact_reconciliation", "dim_merchants")),
+    "accuracy_by_error_type": Derived("accuracy", 4, ("fact_reconciliation", "answer_key")),
+}
 
 
 def _dead_letters(i: Inputs) -> DataFrame:
@@ -188,7 +226,7 @@ def _dead_letters(i: Inputs) -> DataFrame:
 
 
 def _incremental(i: Inputs) -> DataFrame:
-    """The fact as of the day before the last, brought forward by one incremental run."""
+    """The stored fact as of the day before the last, brought forward by the daily job's own step."""
     before = F.col("run_date") < F.lit(LAST)
     earlier = reconcile.reconcile(
         staging.stg_orders(i.raw_orders.where(before)),
@@ -196,10 +234,11 @@ def _incremental(i: Inputs) -> DataFrame:
         staging.stg_settlements(i.raw_settlements.where(before)),
         i.hot_orders,
     )
-    i.store(target=earlier, orders=i.orders, gateway=i.gateway, settlements=i.settlements)
-    return reconcile.reconcile_incremental(
-        i.target, i.orders, i.gateway, i.settlements, LAST, i.hot_orders
-    )
+    tables = i.scratch("incremental")
+    tables.rewrite_by_day(daily.FACT, with_order_day(earlier))
+    i.store_staging()
+    daily.refresh_fact(tables, i.orders, i.gateway, i.settlements, LAST, i.hot_orders)
+    return tables.read(daily.FACT, with_order_day(earlier).schema).select(*reconcile.FACT_COLS)
 
 
 def _scd2(i: Inputs) -> DataFrame:
@@ -222,15 +261,17 @@ def _order_days(i: Inputs) -> DataFrame:
 
 def _not_null(i: Inputs) -> DataFrame:
     optional = {"fact_reconciliation": ["order_id", "merchant_id", "txn_id", "settlement_id"]}
-    return quality.not_null_counts(i.all_tables(), quality.NOT_NULL | optional)
+    declared = quality.NOT_NULL | optional
+    return quality.not_null_counts(i.tables(declared), declared)
 
 
 def _unique(i: Inputs) -> DataFrame:
-    return quality.unique_counts(i.all_tables(), quality.UNIQUE | {"raw_orders": "order_id", "raw_gateway": "txn_id"})
+    declared = quality.UNIQUE | {"raw_orders": "order_id", "raw_gateway": "txn_id"}
+    return quality.unique_counts(i.tables(declared), declared)
 
 
 def _accepted(i: Inputs) -> DataFrame:
-    tables = i.all_tables() | {"staged_orders": i.checked("orders"), "staged_settlements": i.checked("settlement")}
+    tables = i.tables(quality.ACCEPTED_VALUES) | {"staged_orders": i.checked("orders"), "staged_settlements": i.checked("settlement")}
     raw = {
         "staged_orders": quality.ACCEPTED_VALUES["stg_orders"],
         "staged_settlements": quality.ACCEPTED_VALUES["stg_settlements"],
@@ -263,7 +304,7 @@ def _volume(i: Inputs) -> DataFrame:
 
 def _day_replace(i: Inputs) -> DataFrame:
     """Bronze gateway rows with one day loaded again from its judged rows."""
-    tables = Tables(i.spark, f"{work_folder(i.spark)}/day-replace-{uuid.uuid4().hex}")
+    tables = i.scratch("day-replace")
     name, day = "raw/gateway_events", fixtures.day(4)
     i.raw_gateway.write.partitionBy("run_date").parquet(tables.path(name))
     redone = i.checked("gateway").where(F.col("run_date") == F.lit(day))
@@ -353,7 +394,7 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "dq_negative_amounts": _negative,
     "dq_volume_anomaly": _volume,
     "dq_orphan_settlements": lambda i: quality.orphan_settlements(i.settlements, i.gateway, i.hot_txns),
-    "dq_report": lambda i: quality.run_checks(i.all_tables()),
+    "dq_report": lambda i: quality.run_checks(i.tables(_TABLES)),
     "raw_day_replace": _day_replace,
     "orders_upsert": _upsert,
     "settlement_fee_check": _fee_check,

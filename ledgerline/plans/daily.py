@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import contract as rules
 from ledgerline.operators import dimensions, marts, quality, reconcile, staging
 from ledgerline.operators.payments import payments
-from ledgerline.operators.skew import hot_keys, spread_join
+from ledgerline.operators.skew import hot_keys
 from ledgerline.schemas import ANSWER_KEY, CONTRACTS, RUN_LOG
 from ledgerline.session import materialize, prepare, release, together
 from ledgerline.sources.csv_files import read_drop, read_seed
@@ -123,6 +123,17 @@ def _write_marts(tables: Tables, frames: dict[str, DataFrame]) -> dict[str, Data
     return dict(zip(frames, written))
 
 
+def refresh_fact(
+    tables: Tables, orders: DataFrame, gateway: DataFrame, settlements: DataFrame, run_date: dt.date,
+    hot: DataFrame | None = None,
+) -> None:
+    """Recompute the orders touched on ``run_date`` and replace them in the stored fact."""
+    keys = materialize(reconcile.affected_orders(orders, gateway, settlements, run_date), "keys")
+    batch = reconcile.reconcile_keys(orders, gateway, settlements, keys, hot)
+    with tables.rewriting(FACT):
+        tables.replace_orders(FACT, batch)
+
+
 def build_marts(tables: Tables, run_date: dt.date, full_refresh: bool = False) -> dict[str, DataFrame]:
     """Snapshot, staging, facts and summaries; returns every table by name.
 
@@ -142,11 +153,7 @@ def build_marts(tables: Tables, run_date: dt.date, full_refresh: bool = False) -
         with tables.rewriting(FACT):
             tables.rewrite_by_day(FACT, fact)
     else:
-        keys = materialize(reconcile.affected_orders(orders, gateway, settlements, run_date), "keys")
-        changed = spread_join(payments_fact, keys, "order_id", "left_semi", spread_by="txn_id", hot=hot)
-        touched = orders.join(keys, "order_id", "left_semi")
-        with tables.rewriting(FACT):
-            tables.replace_orders(FACT, reconcile.reconcile_payments(touched, changed))
+        refresh_fact(tables, orders, gateway, settlements, run_date, hot)
     fact = spark.read.parquet(tables.path(FACT)).select(*reconcile.FACT_COLS)
 
     log = tables.read("raw/pipeline_runs")

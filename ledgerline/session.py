@@ -78,7 +78,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     until ``release`` is called.
     """
     spark = df.sparkSession
-    path = f"{work_folder(spark)}/{_TEMPORARY}/{label}-{uuid.uuid4().hex}"
+    path = temporary_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -86,6 +86,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 _TEMPORARY = "temporary"
 
 
+def temporary_folder(spark: SparkSession, label: str) -> str:
+    """A new folder's name among the temporary copies, which go with the application at the latest."""
+    top = f"{work_folder(spark)}/{_TEMPORARY}"
+    if top not in _leaving:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(top)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+        _leaving.add(top)
+    return f"{top}/{label}-{uuid.uuid4().hex}"
+
+
+_leaving: set[str] = set()
+
+
 def release(spark: SparkSession) -> None:
     """Delete everything ``materialize`` has written in this application.
 

@@ -67,7 +67,17 @@ def test_no_join_is_a_product_and_orders_are_not_broadcast_by_hint(spark):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     # The only broadcast left is that of the hot keys, on both sides of the orphan join.
     assert text.count("BroadcastHashJoin") == 2
-    assert text.count("SortMergeJoin") >= 4
+    assert text.count("SortMergeJoin") >= 2
+    # Events and settlements are not read again: orders and orphans start from the settled events.
+    assert "settlement_type" not in text
+
+
+def test_a_check_stores_only_what_it_reads(spark, monkeypatch):
+    stored = []
+    real = catalogue.materialize
+    monkeypatch.setattr(catalogue, "materialize", lambda df, label: stored.append(label) or real(df, label))
+    QUERIES["dq_accepted_values"](spark, SMALL)
+    assert not {"daily", "merchant_summary", "accuracy", "dim_merchants"} & set(stored)
 
 
 def test_incremental_pull_reaches_the_scan(spark):

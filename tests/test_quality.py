@@ -3,12 +3,13 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL, day
 from ledgerline.operators import quality as q
+from ledgerline.plans import catalogue
 from ledgerline.plans.catalogue import Inputs
 
 
 @pytest.fixture(scope="module")
 def tables(spark):
-    return Inputs(spark, SMALL).all_tables()
+    return Inputs(spark, SMALL).tables(catalogue._TABLES)
 
 
 def keyed(spark, *values):

@@ -1,4 +1,5 @@
 import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,10 +7,12 @@ from conftest import SMALL, at, by, day, same
 from ledgerline.operators import payments as pay
 from ledgerline.operators import reconcile as rec
 from ledgerline.operators import skew, staging
-from ledgerline.plans import fixtures
+from ledgerline.plans import daily, fixtures
 from ledgerline.plans.catalogue import Inputs
 from ledgerline.schemas import GATEWAY, ORDERS, RAW_ORDERS, SETTLEMENTS
 from ledgerline.session import materialize
+from ledgerline.sources.tables import Tables, with_order_day
+
 
 def orders(spark, *rows):
     """(id, amount, status) triples."""
@@ -207,7 +210,7 @@ def test_hot_keys_are_bounded(spark):
     assert skew.hot_keys(df.where("k is null"), "k").count() == 0
 
 
-def test_affected_orders_and_incremental_match_a_rebuild_every_day(spark, inputs):
+def test_affected_orders_and_incremental_match_a_rebuild_every_day(spark, inputs, tmp_path):
     def staged(until):
         upto = F.col("run_date") <= F.lit(until)
         return (
@@ -216,27 +219,37 @@ def test_affected_orders_and_incremental_match_a_rebuild_every_day(spark, inputs
             staging.stg_settlements(inputs.raw_settlements.where(upto)),
         )
 
-    target, sizes = None, []
-    for offset in (0, 1, 2, 3, 4):
-        tables = [materialize(df, "stg") for df in staged(fixtures.day(offset))]
-        full = materialize(rec.reconcile(*tables, inputs.hot_orders), "full")
-        if target is None:
-            target = full
+    tables, sizes = Tables(spark, str(tmp_path)), []
+    for offset in range(10):
+        stored = [materialize(df, "stg") for df in staged(fixtures.day(offset))]
+        full = materialize(rec.reconcile(*stored, inputs.hot_orders), "full")
+        if not offset:
+            tables.rewrite_by_day(daily.FACT, with_order_day(full))
             continue
-        sizes.append(rec.affected_orders(*tables, fixtures.day(offset)).count())
-        today = fixtures.day(offset), inputs.hot_orders
-        target = materialize(rec.reconcile_incremental(target, *tables, *today), "target")
-        assert same(target, full), offset
-        assert same(rec.reconcile_incremental(target, *tables, *today), full), offset
-    assert all(200 < n < 300 for n in sizes)
+        sizes.append(rec.affected_orders(*stored, fixtures.day(offset)).count())
+        for _ in range(2 if offset == 3 else 1):
+            daily.refresh_fact(tables, *stored, fixtures.day(offset), inputs.hot_orders)
+            assert same(tables.read(daily.FACT, with_order_day(full).schema).select(*full.columns), full), offset
+    assert all(200 < n < 300 for n in sizes[:4])
+
+
+def test_settlements_are_cut_down_before_they_are_grouped(spark, inputs):
+    keys = inputs.orders.limit(3).select("order_id")
+    plan = rec.reconcile_keys(inputs.orders, inputs.gateway, inputs.settlements, keys, inputs.hot_orders)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in text.splitlines() if "min_by" in line and "settlement_type" in line]
+    assert grouped and text.count("LeftSemi") >= len(grouped)
 
 
-def test_orphan_is_replaced_when_its_order_arrives(spark):
+def test_orphan_is_replaced_when_its_order_arrives(spark, tmp_path):
     g = gateway(spark, ("T1", "o1", "success", 10, 0), ("T2", "o2", "success", 10, 0))
     none = settlements(spark, ("S0", "X", 1, 2, "payment"))
     before = rec.reconcile(orders(spark, ("o2", 10, "paid")), g, none)
     assert before.where("is_orphan_payment").count() == 1
     o = orders(spark, ("o1", 10, "paid"), ("o2", 10, "paid"))
     late = o.withColumn("run_date", F.when(F.col("order_id") == "o1", F.lit(day(5))).otherwise(F.col("run_date")))
-    after = rec.reconcile_incremental(before, late, g, none, day(5))
+    tables = Tables(spark, str(tmp_path))
+    tables.rewrite_by_day(daily.FACT, with_order_day(before))
+    daily.refresh_fact(tables, late, g, none, day(5))
+    after = spark.read.parquet(tables.path(daily.FACT))
     assert [(r["order_id"], r["is_orphan_payment"]) for r in by(after, "order_id")] == [("o1", False), ("o2", False)]
