@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 from ledgerline.functions.text import is_below_zero, parse_money, parse_time, quoted
 from ledgerline.schemas import Contract
 
-# Set by the file reader on rows with more cells than the header has names.
+# Set by the file reader on rows that it could not read as the header has it.
 MALFORMED = "_malformed"
+SURPLUS = "more cells than header fields"
+UNCLOSED = "quote is never closed"
 
 
 def _message(text: str, shown: Column) -> Column:
@@ -50,7 +52,8 @@ def with_reason(df: DataFrame, contract: Contract) -> DataFrame:
     df = df.withColumns({name: F.lit(None).cast("string") for name in absent}) if absent else df
     checks = [F.when(broken, message) for broken, message in _rules(contract)]
     if MALFORMED in df.columns:
-        checks.append(F.when(F.col(MALFORMED), "more cells than header fields"))
+        # Cells of a row with an open quote mean nothing; otherwise the fields are judged first.
+        checks = [F.when(F.col(MALFORMED) == UNCLOSED, UNCLOSED), *checks, F.col(MALFORMED)]
     return df.withColumn("reason", F.coalesce(*checks))
 
 

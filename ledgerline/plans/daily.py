@@ -134,6 +134,15 @@ def refresh_fact(
         tables.replace_orders(FACT, batch)
 
 
+def rebuild_fact(
+    tables: Tables, orders: DataFrame, gateway: DataFrame, settlements: DataFrame, hot: DataFrame | None = None
+) -> None:
+    """Compute the whole stored fact."""
+    fact = with_order_day(reconcile.reconcile(orders, gateway, settlements, hot))
+    with tables.rewriting(FACT):
+        tables.rewrite_by_day(FACT, fact)
+
+
 def build_marts(tables: Tables, run_date: dt.date, full_refresh: bool = False) -> dict[str, DataFrame]:
     """Snapshot, staging, facts and summaries; returns every table by name.
 

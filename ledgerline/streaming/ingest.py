@@ -1,52 +1,76 @@
-"""File drops judged as they land, with Structured Streaming."""
+"""File drops judged and reconciled as they land, with Structured Streaming."""
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators import contract as rules
+from ledgerline.plans import daily
 from ledgerline.schemas import CONTRACTS
+from ledgerline.session import materialize
+from ledgerline.sources.csv_files import read_drop
 from ledgerline.sources.tables import Tables
 
+FILES_A_BATCH = 100
+_DAY = re.compile(r"(\d{4}-\d{2}-\d{2})/[^/]*$")
+
+
+def store_drop(tables: Tables, path: str, source: str, run_date: dt.date, now: dt.datetime) -> None:
+    """Judge one day's file of a source by the rules of the daily load and replace that day's rows by it."""
+    contract = CONTRACTS[source]
+    rows = read_drop(tables.spark, path, contract).withColumn("run_date", F.lit(run_date))
+    checked = materialize(rules.with_reason(rows, contract), f"checked-{source}")
+    dead = rules.rejects(checked, contract).withColumn("rejected_at", F.lit(now))
+    tables.replace_partition("raw/rejected", dead, run_date=run_date, source=source)
+    good = rules.typed(rules.valid(checked), contract).withColumn("ingested_at", F.lit(now))
+    tables.replace_day(daily.RAW[source], good, run_date)
+
+
+def refresh_days(tables: Tables, days: list[dt.date]) -> None:
+    """Recompute in the stored fact the orders that rows of ``days`` touch; the whole fact if it is not there yet."""
+    raw = {name: tables.read(path) for name, path in daily.RAW.items()}
+    staged = [materialize(df, name) for name, df in daily.staging_views(raw).items()]
+    if tables.is_whole(daily.FACT):
+        for day in days:
+            daily.refresh_fact(tables, *staged, day)
+    else:
+        daily.rebuild_fact(tables, *staged)
+
 
 def ingest_new_files(
     spark: SparkSession, landing: str, tables: Tables, source: str, checkpoint: str,
 ) -> StreamingQuery:
-    """Validate and store the files of one source that have not been seen, then stop.
+    """Load the files of one source that have not been seen, bring the fact forward, then stop.
 
-    Files lie in folders named by day, ``<landing>/<run_date>/<source>.csv``, with the
-    contract's columns in order. Each micro-batch writes folders of its own number, so a
-    batch repeated after a failure replaces itself and the outcome is exactly once. There
-    is no watermark: late rows are a matter of the keyed replace, which keeps orders open
-    for as long as something arrives for them.
+    Files lie in folders named by day, ``<landing>/<run_date>/<source>.csv``. The stream only
+    says which files are new; they are read by the batch reader, so columns go by each file's
+    header and what the daily load rejects is rejected here. A file replaces the rows of its day
+    and source, and the orders it touches are computed anew, so a micro-batch repeated after a
+    failure has the same outcome. There is no watermark: late rows are a matter of the keyed
+    replace, which keeps orders open for as long as something arrives for them.
     """
-    contract = CONTRACTS[source]
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in contract.required])
-    day = F.regexp_extract("_metadata.file_path", r"(\d{4}-\d{2}-\d{2})/[^/]*$", 1)
-    rows = (
-        spark.readStream.schema(schema)
-        .options(header=True, escape='"', multiLine=True, enforceSchema=False)
-        .csv(f"{landing}/*/{source}.csv")
-        .withColumn("run_date", day.cast("date"))
+    names = (
+        spark.readStream.format("text").option("maxFilesPerTrigger", FILES_A_BATCH)
+        .load(f"{landing}/*/{source}.csv").select(F.col("_metadata.file_path").alias("path"))
     )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        # Read for two writes; a part lost with its executor is read again from the files.
-        checked = rules.with_reason(batch, contract).persist()
-        now = F.lit(dt.datetime.now(dt.timezone.utc))
-        good = rules.typed(rules.valid(checked), contract).withColumn("ingested_at", now)
-        bad = rules.rejects(checked, contract).withColumn("rejected_at", now)
-        tables.replace_partition(f"stream/{source}", good, batch_id=batch_id)
-        tables.replace_partition(f"stream/rejected_{source}", bad, batch_id=batch_id)
-        checked.unpersist()
+        # At most FILES_A_BATCH names.
+        found = sorted(row.path for row in batch.distinct().collect())
+        days = {path: dt.date.fromisoformat(_DAY.search(path)[1]) for path in found}
+        now = dt.datetime.now(dt.timezone.utc)
+        for path, day in days.items():
+            store_drop(tables, path, source, day, now)
+        if days:
+            refresh_days(tables, sorted(set(days.values())))
 
     return (
-        rows.writeStream.foreachBatch(store)
+        names.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -64,3 +64,51 @@ def test_seed_round_trip(spark, tmp_path):
 def test_stray_quote_does_not_hide_an_open_one(spark, tmp_path):
     df = drop(spark, tmp_path, HEADER + 'T"2,O2,success,5.00,2026-09-01,"two\nlines"\n' + GOOD)
     assert {r.txn_id: r.event_type for r in df.collect()} == {'T"2': "two\nlines", "T1": "payment"}
+
+
+def test_a_quoted_newline_across_a_split(spark, tmp_path):
+    """Splits of a few bytes: records with newlines in them stay whole wherever they are cut."""
+    rows = [f'T{i},O{i},success,5.00,2026-09-01,"a {i}\nb ""{i}"", c"' if i % 3 == 0 else f"T{i},O{i},success,5.00,2026-09-01,p" for i in range(120)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = drop(spark, tmp_path, HEADER + "\n".join(rows) + "\n")
+        got = {r.txn_id: r.event_type for r in df.collect()}
+        assert spark.read.text(str(tmp_path / "gateway.csv")).rdd.getNumPartitions() > 30
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {f"T{i}": f'a {i}\nb "{i}", c' if i % 3 == 0 else "p" for i in range(120)}
+
+
+def test_an_unclosed_quote_costs_its_own_row(spark, tmp_path):
+    lines = [f"T{i},O{i},success,5.00,2026-09-01,payment" for i in range(50)]
+    lines[20] = 'T20,O20,success,5.00,2026-09-01,"payment'
+    got = reasons(drop(spark, tmp_path, HEADER + "\n".join(lines) + "\n"))
+    assert len(got) == 50 and {k: v for k, v in got.items() if v} == {"T20": "quote is never closed"}
+
+
+def test_files_with_headers_of_their_own(spark, tmp_path):
+    folder = tmp_path / "drop"
+    folder.mkdir()
+    (folder / "a.csv").write_text(HEADER + GOOD)
+    (folder / "b.csv").write_text("event_type,order_id,txn_id,amount,gateway_status,event_time,more\nr,O2,T2,5,success,2026-09-01,x\n")
+    (folder / "c.csv").write_text("")
+    df = read_drop(spark, str(folder), CONTRACTS["gateway"])
+    assert reasons(df) == {"T1": None, "T2": None} and {r.txn_id: r.event_type for r in df.collect()} == {"T1": "payment", "T2": "r"}
+
+
+def test_random_files_read_as_python_reads_them(spark, tmp_path):
+    import csv
+    import io
+    import random
+
+    rng = random.Random(5)
+    for n in range(6):
+        out = io.StringIO()
+        writer = csv.writer(out, lineterminator="\n")
+        cells = lambda: "".join(rng.choice('ab ,"\n') for _ in range(rng.randint(1, 6))).strip() or "z"
+        rows = [[f"T{i}", cells(), "success", "5", "2026-09-01", cells()] for i in range(40)]
+        writer.writerows(rows)
+        df = drop(spark, tmp_path, HEADER + out.getvalue())
+        assert sorted((r.txn_id, r.order_id, r.event_type) for r in df.collect()) == sorted((r[0], r[1], r[5]) for r in rows), n
