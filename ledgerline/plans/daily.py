@@ -195,6 +195,7 @@ def run_day(
     """
     prepare(spark)
     tables = Tables(spark, root)
+    tables.recover()
     try:
         ingest_day(tables, run_date, landing or tables.path("data"), now or dt.datetime.now(dt.timezone.utc))
         built = build_marts(tables, run_date, full_refresh)
@@ -228,7 +229,7 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
     """Make the tables under ``root`` available to Spark SQL by name; returns the names."""
     prepare(spark)
     tables = Tables(spark, root)
-    frames = {name: spark.read.parquet(tables.path(f"marts/{name}")) for name in MARTS}
+    frames = {name: spark.read.parquet(tables.location(f"marts/{name}")) for name in MARTS}
     frames |= staging_views({name: tables.read(path) for name, path in RAW.items()})
     frames |= {
         "raw_orders": tables.read("raw/orders"),

@@ -108,10 +108,63 @@ def release(spark: SparkSession) -> None:
     delete_folder(spark, f"{work_folder(spark)}/{_TEMPORARY}")
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and its file system, whatever that is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder on whatever file system it is on; one that is absent is fine."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    """Delete a folder; one that is absent is fine."""
+    place, fs = _place(spark, path)
+    fs.delete(place, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    place, fs = _place(spark, path)
+    return fs.exists(place)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is absent."""
+    place, fs = _place(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory()] if fs.exists(place) else []
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder; a source that is absent is left at that."""
+    old, fs = _place(spark, source)
+    new, _ = _place(spark, target)
+    if fs.exists(old):
+        fs.mkdirs(new.getParent())
+        if not fs.rename(old, new):
+            raise OSError(f"{source} could not be renamed to {target}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, None if it is absent."""
+    place, fs = _place(spark, path)
+    if not fs.exists(place):
+        return None
+    stream = fs.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place as a whole: readers find the old text or the new one."""
+    jvm = spark._jvm
+    place, fs = _place(spark, path)
+    aside, _ = _place(spark, f"{path}-{uuid.uuid4().hex}")
+    stream = fs.create(aside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    how = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(how, 1)
+    options[0] = how.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(aside, place, options)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -1,8 +1,16 @@
-"""Parquet tables under one root, written by partition so that days can be redone."""
+"""Parquet tables under one root, written by partition so that days can be redone.
+
+A table that is replaced as a whole keeps each version in a folder of its own, and a pointer
+file names the one that counts; moving the pointer is the only step that readers notice. A
+partition is written aside and swapped in by renaming, and ``recover`` puts the old one back
+where a run broke off in between.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -14,7 +22,9 @@ from pyspark.sql import types as T
 from ledgerline import schemas
 from ledgerline.operators.merge import replace_keys, upsert
 from ledgerline.operators.skew import hot_keys, spread_join
-from ledgerline.session import delete_folder, is_missing, materialize
+from ledgerline.session import (
+    delete_folder, folder_exists, folders, is_missing, materialize, read_text, rename, write_text,
+)
 
 # Declared source tables: name -> schema.
 CATALOG: dict[str, T.StructType] = {
@@ -31,6 +41,9 @@ CATALOG: dict[str, T.StructType] = {
     "staging/answer_key": schemas.ANSWER_KEY,
 }
 ORDER_DAY = "order_day"
+# Hidden from readers of the folder by its underscore.
+_POINTER = "_current"
+_SWAP = "_swap"
 
 
 class Tables:
@@ -43,6 +56,11 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def location(self, name: str) -> str:
+        """Where the table's files are: the version that its pointer names, or its own folder."""
+        version = read_text(self.spark, f"{self.path(name)}/{_POINTER}")
+        return f"{self.path(name)}/{version}" if version else self.path(name)
+
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         """The table; no rows if it has not been written yet and its schema is known.
 
@@ -52,7 +70,7 @@ class Tables:
         schema = schema or CATALOG.get(name)
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         try:
-            return reader.parquet(self.path(name))
+            return reader.parquet(self.location(name))
         except AnalysisException as err:
             if schema is None or name == "app/orders" or not is_missing(err):
                 raise
@@ -60,7 +78,7 @@ class Tables:
 
     def exists(self, name: str) -> bool:
         try:
-            self.spark.read.schema("_ string").parquet(self.path(name))
+            self.spark.read.schema("_ string").parquet(self.location(name))
         except AnalysisException as err:
             if not is_missing(err):
                 raise
@@ -80,26 +98,51 @@ class Tables:
         return self.exists(name) and not self.exists(f"unfinished/{name}")
 
     def overwrite(self, name: str, df: DataFrame) -> DataFrame:
-        """Full rebuild of a table that ``df`` does not read."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        """Full rebuild of a table, which ``df`` may read: readers see the old rows until the
+        new ones are all there. The version before the last is deleted."""
+        before = read_text(self.spark, f"{self.path(name)}/{_POINTER}")
+        version = f"version-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(f"{self.path(name)}/{version}")
+        self._point(name, version)
+        for old in folders(self.spark, self.path(name)):
+            if before and old not in (version, before):
+                delete_folder(self.spark, f"{self.path(name)}/{old}")
         return self.read(name, df.schema)
 
-    def upsert(self, name: str, source: DataFrame, key: str, update_cols: list[str]) -> None:
-        """Insert the new keys of ``source`` and overwrite ``update_cols`` of the known ones.
+    def _point(self, name: str, version: str) -> None:
+        write_text(self.spark, f"{self.path(name)}/{_POINTER}", version)
 
-        The merged table is written aside first: the table is read to make it.
-        """
-        merged = upsert(self.read(name, source.schema), source, key, update_cols)
-        self.overwrite(name, materialize(merged, "upsert"))
+    def upsert(self, name: str, source: DataFrame, key: str, update_cols: list[str]) -> None:
+        """Insert the new keys of ``source`` and overwrite ``update_cols`` of the known ones."""
+        known = self.read(name, source.schema) if self.exists(name) else source.limit(0)
+        self.overwrite(name, upsert(known, source, key, update_cols))
 
     def replace_partition(self, name: str, df: DataFrame, **keys) -> None:
         """Replace one partition by ``df``, however often it is repeated.
 
-        Writing to the partition's own folder also covers an empty ``df``, which
-        empties the partition; dynamic overwrite would leave the old rows.
+        Writing the partition's own folder also covers an empty ``df``, which empties the
+        partition; dynamic overwrite would leave the old rows.
         """
-        leaf = "/".join(f"{k}={v}" for k, v in keys.items())
-        df.drop(*keys).write.mode("overwrite").parquet(f"{self.path(name)}/{leaf}")
+        leaf = "/".join([name, *[f"{k}={v}" for k, v in keys.items()]])
+        aside = self.path(f"{_SWAP}/{uuid.uuid4().hex}")
+        df.drop(*keys).write.parquet(f"{aside}/new")
+        write_text(self.spark, f"{aside}/{_POINTER}", leaf)
+        self._swap(aside, self.path(leaf))
+        delete_folder(self.spark, aside)
+
+    def _swap(self, aside: str, leaf: str) -> None:
+        rename(self.spark, leaf, f"{aside}/old")
+        rename(self.spark, f"{aside}/new", leaf)
+
+    def recover(self) -> None:
+        """Put back partitions whose swap broke off. For the start of a run, before anything is written."""
+        for run in folders(self.spark, self.path(_SWAP)):
+            aside = self.path(f"{_SWAP}/{run}")
+            leaf = read_text(self.spark, f"{aside}/{_POINTER}")
+            # Without its own folder the old partition had been moved away; with it, this renames nothing.
+            if leaf and not folder_exists(self.spark, self.path(leaf)):
+                rename(self.spark, f"{aside}/old", self.path(leaf))
+            delete_folder(self.spark, aside)
 
     def replace_day(self, name: str, df: DataFrame, run_date: dt.date) -> None:
         self.replace_partition(name, df, run_date=run_date)

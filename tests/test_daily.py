@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 from conftest import SMALL, at, day, same
 from ledgerline.operators import reconcile as rec
 from ledgerline.operators import staging
-from ledgerline.plans.fixtures import answer_key
 from ledgerline.operators.quality import QualityError
 from ledgerline.plans import daily, fixtures
 from ledgerline.plans.catalogue import Inputs
+from ledgerline.plans.fixtures import answer_key
 from ledgerline.schemas import CONTRACTS
 from ledgerline.sources.csv_files import write_seed
 from ledgerline.sources.extract import as_text
+from ledgerline.sources import tables as tables_module
 from ledgerline.sources.tables import Tables
 
 DAYS = [fixtures.day(n) for n in range(3)]
@@ -98,7 +99,7 @@ def test_days_in_order(spark, root):
     expected = i.merchant_history.where(F.to_date("updated_at") <= F.lit(DAYS[-1]))
     assert snapshot.count() == expected.count()
     assert snapshot.where("valid_to is null").count() == 10
-    accuracy = spark.read.parquet(tables.path("marts/accuracy_by_error_type"))
+    accuracy = spark.read.parquet(tables.location("marts/accuracy_by_error_type"))
     assert accuracy.count() == 5
 
 
@@ -163,10 +164,8 @@ def test_broken_off_rewrite_is_made_good(spark, root, tmp_path):
 def test_failed_check_stops_the_run_after_the_report(spark, root, tmp_path):
     copy = tmp_path / "copy"
     shutil.copytree(root, copy)
-    key = spark.read.parquet(str(root / "staging/answer_key"))
-    key.withColumn("expected_result", F.lit("bogus")).write.mode("overwrite").parquet(
-        str(copy / "staging/answer_key")
-    )
+    key = Tables(spark, str(root)).read("staging/answer_key")
+    Tables(spark, str(copy)).overwrite("staging/answer_key", key.withColumn("expected_result", F.lit("bogus")))
     with pytest.raises(QualityError, match="accepted_values.answer_key.expected_result"):
         daily.backfill(spark, str(copy), DAYS[2], DAYS[2], now=at(9))
     assert spark.read.parquet(str(copy / "marts/quality_report")).where(
@@ -196,3 +195,62 @@ def test_replacing_a_day_by_nothing(spark, tmp_path):
     tables.replace_day("t", rows.limit(0), day(1))
     assert [tuple(r) for r in tables.read("t", rows.schema).collect()] == [("b", day(2))]
     assert tables.exists("t") and not tables.exists("u")
+
+
+class Broken(Exception):
+    pass
+
+
+def breaking(*_, **__):
+    raise Broken
+
+
+def test_a_write_that_breaks_off_before_the_swap_changes_nothing(spark, tmp_path, monkeypatch):
+    tables = Tables(spark, str(tmp_path))
+    old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    new = spark.createDataFrame([("a", 9), ("c", 9)], "k string, n int")
+    tables.overwrite("t", old)
+    tables.replace_day("days", old, day(1))
+    with monkeypatch.context() as m:
+        m.setattr(Tables, "_point", breaking)
+        for step in (lambda: tables.overwrite("t", new), lambda: tables.upsert("t", new, "k", ["n"])):
+            with pytest.raises(Broken):
+                step()
+            assert same(tables.read("t", old.schema), old)
+        m.setattr(Tables, "_swap", breaking)
+        with pytest.raises(Broken):
+            tables.replace_day("days", new, day(1))
+    assert same(spark.read.parquet(tables.path("days")).drop("run_date"), old)
+    tables.upsert("t", new, "k", ["n"])
+    assert sorted(map(tuple, tables.read("t", old.schema).collect())) == [("a", 9), ("b", 2), ("c", 9)]
+    for n in range(3):
+        tables.overwrite("t", old)
+    assert same(tables.read("t", old.schema), old) and len([p for p in (tmp_path / "t").iterdir() if p.is_dir()]) == 2
+
+
+def test_a_swap_that_breaks_off_half_way_is_undone(spark, tmp_path, monkeypatch):
+    tables = Tables(spark, str(tmp_path))
+    old = spark.createDataFrame([("a", 1)], "k string, n int")
+    tables.replace_day("days", old, day(1))
+    real, calls = tables_module.rename, []
+
+    def once(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise Broken
+        real(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(tables_module, "rename", once)
+        with pytest.raises(Broken):
+            tables.replace_day("days", old.limit(0), day(1))
+    tables.recover()
+    assert same(spark.read.parquet(tables.path("days")).drop("run_date"), old)
+    tables.replace_day("days", old.limit(0), day(1))
+    tables.recover()
+    assert spark.read.parquet(tables.path("days")).count() == 0 and not list((tmp_path / "_swap").iterdir())
+
+
+def test_missing_orders_are_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        Tables(spark, str(tmp_path / "typo")).read("app/orders")
