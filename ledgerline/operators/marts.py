@@ -196,7 +196,8 @@ def drilldown(
 
 
 def headline_metrics(fact: DataFrame, run_log: DataFrame, detectors: DataFrame) -> DataFrame:
-    """Totals per status, the share of rejected rows and mean detector quality, as metric rows."""
+    """Totals per status, the share of rejected rows, ingest seconds where the run log has them, and
+    mean detector quality, as metric rows."""
     statuses = fact.agg(
         F.count("*").alias("payments_reconciled"),
         *[F.count_if(_in_status(s)).alias(s) for s in RECONCILIATION_STATUSES],
@@ -204,6 +205,10 @@ def headline_metrics(fact: DataFrame, run_log: DataFrame, detectors: DataFrame)
     loads = run_log.where(F.col("step") == "validate").agg(
         F.sum("rows_in").alias("rows_in"), F.sum("rows_rejected").alias("rows_rejected"),
     ).withColumn("rejected_pct", percent(F.col("rows_rejected"), F.col("rows_in")))
+    if "duration_seconds" in run_log.columns:
+        steps = F.col("step").isin("extract", "validate", "load")
+        spent = run_log.where(steps).agg(F.sum("duration_seconds").alias("ingest_seconds"))
+        loads = loads.crossJoin(F.broadcast(spent))  # one row each
     quality = detectors.agg(
         F.round(F.avg("precision"), 2).alias("avg_precision"), F.round(F.avg("recall"), 2).alias("avg_recall"),
     )

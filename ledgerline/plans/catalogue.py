@@ -90,6 +90,11 @@ class Inputs:
     def settlements(self) -> DataFrame:
         return staging.stg_settlements(self.raw_settlements)
 
+    @cached_property
+    def redelivered(self) -> DataFrame:
+        """Staged settlements out of loads that repeat and lack things."""
+        return staging.stg_settlements(fixtures.redelivered_settlements(self.raw_settlements))
+
     @cached_property
     def hot_orders(self) -> DataFrame:
         # Looked for in the loads, ahead of the dedupe: one column and no shuffle.
@@ -353,15 +358,15 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "rejects_by_reason": lambda i: rules.by_reason(_dead_letters(i)),
     "stg_orders": lambda i: i.orders,
     "stg_gateway_events": lambda i: i.gateway,
-    "stg_settlements": lambda i: i.settlements,
+    "stg_settlements": lambda i: i.redelivered,
     "events_per_order": lambda i: reconcile.gateway_by_order(i.gateway).select(
         "order_id", "event_count", "success_event_count"
     ),
     "primary_gateway_event": lambda i: reconcile.gateway_by_order(i.gateway).select(
         "order_id", "txn_id", "gateway_status", "gateway_amount", "event_time"
     ),
-    "settlement_per_txn": lambda i: reconcile.settlement_by_txn(i.settlements, "payment"),
-    "refund_per_txn": lambda i: reconcile.settlement_by_txn(i.settlements, "refund"),
+    "settlement_per_txn": lambda i: reconcile.settlement_by_txn(i.redelivered, "payment"),
+    "refund_per_txn": lambda i: reconcile.settlement_by_txn(i.redelivered, "refund"),
     "orphan_payments": lambda i: reconcile.orphan_payments(i.settled, i.orders, i.hot_orders),
     "fact_reconciliation": lambda i: i.fact,
     "affected_orders": lambda i: reconcile.affected_orders(i.orders, i.gateway, i.settlements, LAST),

@@ -49,9 +49,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(df: DataFrame, key: str) -> DataFrame:
-    """A table of a few small files would be fanned out by as few tasks; large ones pass as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    """Dealt out by key, so that few files are not fanned out by as few tasks."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def _rate(merchant: Column, version: Column) -> Column:
@@ -238,6 +237,30 @@ def raw_settlements(base: DataFrame) -> DataFrame:
     )
 
 
+def redelivered_settlements(raw: DataFrame) -> DataFrame:
+    """Settlement rows as a bank sends them: some twice with another amount, some transactions
+    settled again later, earlier in name or without a date, some rows without a type."""
+    c, t = F.col, F.substring("txn_id", 5, 20).cast("long")
+    untyped = raw.withColumn(
+        "settlement_type", F.when((t % 19 != 0) | (c("settlement_type") != "payment"), c("settlement_type"))
+    )
+    first_try = raw.where(t % 11 == 0).withColumns({
+        "gross_amount": (c("gross_amount") + 1).cast("decimal(12,2)"),
+        "ingested_at": c("ingested_at") - F.expr("INTERVAL 1 HOUR"),
+    })
+
+    def again(which: Column, prefix: str, on: Column) -> DataFrame:
+        return raw.where(which).withColumns({
+            "settlement_id": F.concat(F.lit(prefix), "settlement_id"), "settled_date": on,
+            "net_settled": (c("net_settled") - 1).cast("decimal(12,2)"),
+        })
+
+    later = again(t % 13 == 0, "B", F.date_add("settled_date", 1))
+    tied = again(t % 17 == 0, "A", c("settled_date"))
+    undated = again(t % 23 == 0, "A", F.lit(None).cast("date"))
+    return untyped.unionByName(first_try).unionByName(later).unionByName(tied).unionByName(undated.where(t % 17 != 0))
+
+
 def _as_text(when: Column) -> Column:
     return F.concat(F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
 

@@ -108,6 +108,25 @@ _TABLES = {
         SELECT * EXCLUDE (ingested_at) FROM raw_g
         QUALIFY row_number() OVER (PARTITION BY txn_id ORDER BY ingested_at DESC) = 1""",
     "ss": "SELECT * FROM raw_s",
+    "sent_s": """
+        SELECT * EXCLUDE (load_d), load_d AS settled_d, load_d, 1 AS load_no, CAST(substr(txn_id, 5) AS BIGINT) AS t
+        FROM settlement_loads""",
+    "delivered_s": """
+        SELECT * REPLACE (CASE WHEN t % 19 = 0 AND settlement_type = 'payment' THEN NULL ELSE settlement_type END
+          AS settlement_type) FROM sent_s
+        UNION ALL SELECT * REPLACE (gross_amount + 1 AS gross_amount, 0 AS load_no) FROM sent_s WHERE t % 11 = 0
+        UNION ALL SELECT * REPLACE ('B' || settlement_id AS settlement_id, settled_d + 1 AS settled_d,
+          net_settled - 1 AS net_settled) FROM sent_s WHERE t % 13 = 0
+        UNION ALL SELECT * REPLACE ('A' || settlement_id AS settlement_id, net_settled - 1 AS net_settled)
+          FROM sent_s WHERE t % 17 = 0
+        UNION ALL SELECT * REPLACE ('A' || settlement_id AS settlement_id, CAST(NULL AS BIGINT) AS settled_d,
+          net_settled - 1 AS net_settled) FROM sent_s WHERE t % 23 = 0 AND t % 17 <> 0""",
+    "kept_s": """
+        SELECT settlement_id, txn_id, CAST(gross_amount AS DECIMAL(12,2)) AS gross_amount, mdr_fee, gst_on_fee,
+          CAST(net_settled AS DECIMAL(12,2)) AS net_settled, DATE '2026-09-01' + CAST(settled_d AS INTEGER) AS settled_date,
+          coalesce(settlement_type, 'payment') AS settlement_type, DATE '2026-09-01' + CAST(load_d AS INTEGER) AS run_date
+        FROM delivered_s
+        QUALIFY row_number() OVER (PARTITION BY settlement_id ORDER BY load_d DESC, load_no DESC) = 1""",
     "pay": """
         SELECT txn_id, settlement_id, gross_amount, mdr_fee, gst_on_fee, net_settled, settled_date
         FROM ss WHERE settlement_type = 'payment'
@@ -525,19 +544,22 @@ def oracle_sql() -> dict[str, str]:
         "stg_orders": _sql("SELECT * FROM so", "amount", "run_date"),
         "stg_gateway_events": _sql("SELECT * FROM sg", "amount", "run_date"),
         "stg_settlements": _sql(
-            "SELECT * FROM ss", "gross_amount mdr_fee gst_on_fee net_settled", "settled_date run_date"),
+            "SELECT * FROM kept_s", "gross_amount mdr_fee gst_on_fee net_settled", "settled_date run_date"),
         "events_per_order": _sql("""
             SELECT order_id, event_count, CAST(success_event_count AS BIGINT) AS success_event_count
             FROM first_event"""),
         "primary_gateway_event": _sql("""
             SELECT order_id, txn_id, gateway_status, gateway_amount, gateway_event_time AS event_time
             FROM first_event""", "gateway_amount"),
-        "settlement_per_txn": _sql(
-            "SELECT * FROM pay", "gross_amount mdr_fee gst_on_fee net_settled", "settled_date"),
+        "settlement_per_txn": _sql("""
+            SELECT txn_id, settlement_id, gross_amount, mdr_fee, gst_on_fee, net_settled, settled_date
+            FROM kept_s WHERE settlement_type = 'payment'
+            QUALIFY row_number() OVER (PARTITION BY txn_id ORDER BY settled_date NULLS LAST, settlement_id) = 1
+            """, "gross_amount mdr_fee gst_on_fee net_settled", "settled_date"),
         "refund_per_txn": _sql("""
             SELECT txn_id, settlement_id, gross_amount, mdr_fee, gst_on_fee, net_settled, settled_date
-            FROM ss WHERE settlement_type = 'refund'
-            QUALIFY row_number() OVER (PARTITION BY txn_id ORDER BY settled_date, settlement_id) = 1
+            FROM kept_s WHERE settlement_type = 'refund'
+            QUALIFY row_number() OVER (PARTITION BY txn_id ORDER BY settled_date NULLS LAST, settlement_id) = 1
             """, "gross_amount mdr_fee gst_on_fee net_settled", "settled_date"),
         "orphan_payments": _sql("SELECT * FROM lost", "gateway_amount gross_amount net_settled", "settled_date"),
         "fact_reconciliation": _sql("SELECT * FROM fact", _FACT_MONEY, _FACT_DATES),

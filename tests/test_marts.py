@@ -99,3 +99,13 @@ def test_incremental_pull_takes_the_day_and_its_text_reads_back(spark):
     assert sorted(r.order_id for r in pulled.collect()) == ["a", "b"]
     text = {r.order_id: r for r in as_text(pulled).collect()}
     assert text["b"].updated_at.startswith("2026-09-02T23:59:00") and text["b"].amount == "1.00"
+
+
+def test_headline_metrics_hold_the_ingest_seconds(spark):
+    i = Inputs(spark, SMALL)
+    log = spark.createDataFrame(
+        [("extract", 10, 0, 0.5), ("validate", 10, 1, 0.25), ("load", 9, 0, 1.0), ("marts", 0, 0, 60.0)],
+        "step string, rows_in long, rows_rejected long, duration_seconds double",
+    )
+    found = {r.metric: r.value for r in marts.headline_metrics(i.fact, log, i.accuracy).collect()}
+    assert found["ingest_seconds"] == 1.75 and found["rejected_pct"] == 10.0
