@@ -53,7 +53,8 @@ def ngrams(text: str | None, letters: np.ndarray) -> np.ndarray:
         return np.empty(0, np.int64)
     keep = is_letter.copy()
     keep[1:] |= is_letter[:-1]
-    line = np.concatenate(([_SPACE], np.where(is_letter, points, _SPACE)[keep], [_SPACE])).astype(np.uint64)
+    body = np.where(is_letter, points, _SPACE)[keep]
+    line = np.concatenate(([_SPACE], body, [] if body[-1] == _SPACE else [_SPACE])).astype(np.uint64)
     here = np.zeros(1 << FEATURES_LOG2, np.bool_)
     code = line
     shift = np.uint64(64 - FEATURES_LOG2)

@@ -60,7 +60,7 @@ def test_pipeline_against_the_operators_one_by_one(spark):
     docs = decontaminate.remove(docs, spark.read.parquet(f"{SMALL}/benchmark.parquet"))
     wanted = {r.doc_id: r.text for r in docs.collect()}
     rows = corpus_pipeline.run(spark, SMALL).collect()
-    assert Counter(r.doc_id for r in rows) == Counter(wanted) and all(r.round_trip for r in rows)
+    assert Counter(r.doc_id for r in rows) == Counter(list(wanted)) and all(r.round_trip for r in rows)
     encoder = bpe._Encoder(bpe.vocabulary(spark, queries.BPE_RANKS, corpus_pipeline.public_tokenizers.PATTERN).value)
     for r in rows:
         assert list(r.ids) == list(next(encoder.encode([wanted[r.doc_id]]))) and r.n_tokens == len(r.ids)
