@@ -12,6 +12,11 @@ sequence, neighbours extend it, what is left is aligned again. Aligned lines tha
 other in both documents are a block; blocks of BLOCK_WORDS words or more are deleted from the
 later document, so the earliest occurrence always stays.
 
+The lines of a passage may have their first places in many documents, none of which has the
+passage. So the shortest sequences of repeated lines that have BLOCK_WORDS words, from every line
+on and up to every line, are linked to the first document with the sequence as well: together
+they cover every passage of that length, and what an earlier document has of them goes too.
+
 Defined results: documents are ordered by id; a document without an id or text is left alone;
 rows with the same id are not compared with each other and get the same cuts where their lines
 are the same; an empty text or table stays empty. Other columns pass as they are.
@@ -95,14 +100,15 @@ def line_hashes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 
 def shared_lines(lines: DataFrame) -> DataFrame:
-    """(id, links): for every document that has lines of earlier ones, those lines as
-    (at, line, first, first_at, words, once), ``first`` being the first document with the line."""
+    """(id, links, passages): for every document that has lines of earlier ones, those lines as
+    (at, line, first, first_at, words, once), ``first`` being the first document with the line,
+    and the (start, end) of sequences of lines that an earlier document has."""
     each = lines.select("id", F.explode("hashes").alias("line"))
     repeated = each.groupBy("line").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
     # A stored side lets a join split the partition of a line that very many documents share.
     repeated = materialize(repeated, "repeated")
-    placed = lines.select("id", "notes", F.posexplode("hashes").alias("at", "line")).select(
-        "id", "at", "line", F.expr("notes[at]").alias("note")
+    placed = lines.select("id", "row", "notes", F.posexplode("hashes").alias("at", "line")).select(
+        "id", "row", "at", "line", F.expr("notes[at]").alias("note")
     )
     found = materialize(placed.join(repeated, "line"), "repeated-lines")
     origin = found.where("id = first").groupBy("line").agg(
@@ -112,7 +118,58 @@ def shared_lines(lines: DataFrame) -> DataFrame:
     link = F.struct(
         "at", "line", "first", "first_at", F.shiftright("note", 1).alias("words"), (F.col("note") % 2 * F.col("once_there")).alias("once")
     )
-    return later.groupBy("id").agg(F.collect_list(link).alias("links"))
+    links = later.groupBy("id").agg(F.collect_list(link).alias("links"))
+    return links.join(earlier_passages(found), "id", "left")
+
+
+def sequences(lines: list[dict[str, int]]) -> Iterator[tuple[int, int, int]]:
+    """(start, end, hash) of the shortest sequences of neighbouring lines with BLOCK_WORDS words that
+    begin or end with each line. Any longer sequence of lines is covered by those inside it."""
+    at = 0
+    while at < len(lines):
+        end = at + 1
+        while end < len(lines) and lines[end]["at"] == lines[end - 1]["at"] + 1:
+            end += 1
+        spans, j, n = set(), at, 0
+        for i in range(at, end):
+            while j < end and n < BLOCK_WORDS:
+                n += lines[j]["words"]
+                j += 1
+            if n < BLOCK_WORDS:
+                break
+            spans.add((i, j))
+            n -= lines[i]["words"]
+        i, n = at, 0
+        for j in range(at, end):
+            n += lines[j]["words"]
+            while n - lines[i]["words"] >= BLOCK_WORDS:
+                n -= lines[i]["words"]
+                i += 1
+            if n >= BLOCK_WORDS:
+                spans.add((i, j + 1))
+        hashes = np.array([x["line"] for x in lines[at:end]], np.int64)
+        for i, j in spans:
+            digest = xxhash.xxh3_64_intdigest(hashes[i - at : j - at].tobytes())
+            yield lines[i]["at"], lines[j - 1]["at"] + 1, digest - (1 << 63)
+        at = end
+
+
+def earlier_passages(found: DataFrame) -> DataFrame:
+    """(id, passages): the sequences of repeated lines that a document with a lower id has as well."""
+
+    def each(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, Any]]:
+        for batch in batches:
+            rows = [(doc, *x) for doc, lines in zip(batch["id"], batch["lines"]) for x in sequences(lines)]
+            yield {n: [x[i] for x in rows] for i, n in enumerate(("id", "start", "end", "passage"))}
+
+    # By row: rows with the same id are texts of their own.
+    line = F.struct("at", "line", F.shiftright("note", 1).alias("words"))
+    by_row = found.groupBy("row", "id").agg(F.sort_array(F.collect_list(line)).alias("lines")).drop("row")
+    kind = found.schema["id"].dataType.simpleString()
+    placed = materialize(map_rows(by_row, each, f"id {kind}, start int, end int, passage long"), "passages")
+    repeated = placed.groupBy("passage").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
+    later = placed.join(materialize(repeated, "repeated-passages"), "passage").where("id > first")
+    return later.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("passages"))
 
 
 def longest_increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -136,7 +193,7 @@ def longest_increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def blocks(links: list[dict[str, Any]]) -> list[list[int]]:
+def blocks(links: list[dict[str, Any]], passages: list[dict[str, int]] | None = None) -> list[list[int]]:
     """Positions of the lines to delete, a list for each block."""
     words, by_first, common = {}, {}, {}
     for x in links:
@@ -167,9 +224,30 @@ def blocks(links: list[dict[str, Any]]) -> list[list[int]]:
                     gone.update(block)
             for a in aligned:
                 left.pop(a, None)
+    _add_passages(out, sorted((x["start"], x["end"]) for x in passages or ()))
     return out
 
 
+def _add_passages(out: list[list[int]], spans: list[tuple[int, int]]) -> None:
+    """Add the lines of the spans to the blocks that they overlap, or as blocks of their own."""
+    owner = {a: block for block in out for a in block}
+    merged: list[list[int]] = []
+    for start, end in spans:
+        if merged and start < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    for start, end in merged:
+        new = [a for a in range(start, end) if a not in owner]
+        if new:
+            block = next((owner[a] for a in range(start, end) if a in owner), None)
+            if block is None:
+                out.append(new)
+            else:
+                block.extend(new)
+                block.sort()
+
+
 def _runs(aligned: list[tuple[int, int]], words: dict[int, int]) -> Iterator[list[int]]:
     run: list[int] = []
     before = (-2, -2)
@@ -189,16 +267,17 @@ def _runs(aligned: list[tuple[int, int]], words: dict[int, int]) -> Iterator[lis
 
 def cuts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, blocks): the lines to delete by document, as arrays of (at, line)."""
-    linked = shared_lines(materialize(line_hashes(docs, key, text), "lines"))
+    lines = line_hashes(docs, key, text).withColumn("row", F.monotonically_increasing_id())
+    linked = shared_lines(materialize(lines, "lines"))
 
     def each(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, Any]]:
         for batch in batches:
             ids, found = [], []
-            for doc, links in zip(batch["id"], batch["links"]):
+            for doc, links, passages in zip(batch["id"], batch["links"], batch["passages"]):
                 line = {x["at"]: x["line"] for x in links}
-                if got := blocks(links):
+                if got := blocks(links, passages):
                     ids.append(doc)
-                    found.append([[{"at": a, "line": line[a]} for a in block] for block in got])
+                    found.append([[{"at": a, "line": line[a]} for a in block if a in line] for block in got])
             yield {"id": ids, "blocks": found}
 
     kind = docs.schema[key].dataType.simpleString()

@@ -51,6 +51,27 @@ def test_swapped_passages_are_both_found(spark):
     assert got[1].strip() == ""
 
 
+def test_a_passage_whose_lines_first_stand_apart(spark):
+    rnd = random.Random(7)
+    s = [sentences(rnd, 1, 12) for _ in range(5)]
+    own = [sentences(rnd, 3) for _ in range(6)]
+    texts = [f"{own[i]} {s[i]}" for i in range(4)] + [f"{own[4]} {' '.join(s)}", f"{own[5]} {' '.join(s)}"]
+    got = left(spark, texts)
+    assert all(got[i] == texts[i] for i in range(5))
+    assert got[5].strip() == own[5]
+
+
+def test_sequences_cover_every_shared_passage():
+    rnd = random.Random(8)
+    for _ in range(300):
+        lines = [{"at": i, "line": i, "words": rnd.randint(3, 20)} for i in range(rnd.randint(1, 9))]
+        found = {(a, b) for a, b, _ in L.sequences(lines)}
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                if sum(x["words"] for x in lines[a:b]) >= L.BLOCK_WORDS:
+                    assert set(range(a, b)) == {i for x, y in found if a <= x and y <= b for i in range(x, y)}
+
+
 def test_the_longest_increasing_sequence_by_brute_force():
     from itertools import combinations
 
