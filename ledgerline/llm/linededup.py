@@ -1,8 +1,12 @@
 """Line dedup by pairwise alignment: passages that a document shares with an earlier one go.
 
-A line is a sentence or the end of a line of text; one of many words is cut further at words
-whose hash says so, so that a passage gives the same lines wherever it stands. Lines of fewer
-than LINE_WORDS words are not compared; they go with the lines around them.
+A line ends where a sentence or a line of text does, and behind words whose hash says so. Of
+ends that are fewer than LINE_WORDS words apart only one counts, the end of a sentence before
+others and then the one with the lowest hash, so no line is shorter and what is cut depends on
+the words next to it alone: a passage gives the same lines wherever it stands, but for its edges.
+Lines tile the text from its first word on; only a text of fewer than LINE_WORDS words has none.
+A character of a script that is written without spaces counts as a word here, and as half a
+word in the length of a line.
 
 Every line that occurs in several documents links each later one to the first that has it, so
 there are as many links as occurrences, however many documents share the line, and none is
@@ -26,53 +30,107 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
 from typing import Any
-from zlib import crc32
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import fresh, map_rows, quoted, rewrite_text
+from ledgerline.llm.common import fresh, map_rows, mix, quoted, rewrite_text
 from ledgerline.session import materialize
 
 LINE_WORDS = 3
-LONG_LINE_WORDS = 24
 CUT_EVERY = 8
 BLOCK_WORDS = 16
 BRIDGE_LINES = 2
-_SEGMENT = re.compile(r"[^.!?\n]*[.!?\n]+[^\S\n]*|[^.!?\n]+")
-_WORD = re.compile(r"\S+")
+# Thai, Lao, Myanmar, Khmer, kana, Han and the scripts beside them.
+_UNSPACED = [
+    (0x0E01, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3001, 0x30FF), (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF),
+]
+_GAP = re.compile(r"\s+")
+_PIECE = 1 << 20
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def character_table() -> np.ndarray:
+    """By code point: 0 for white space, 2 for scripts that are written without spaces, 3 for the end of a sentence, else 1."""
+    table = np.ones(0x110000, np.uint8)
+    for first, last in _UNSPACED:
+        table[first : last + 1] = 2
+    table[[c for c in range(0x3001) if chr(c).isspace()]] = 0
+    table[[ord(c) for c in ".!?"]] = 3
+    return table
+
+
+def lines_of(text: str, table: np.ndarray | None = None) -> list[tuple[int, int, int, int]]:
+    """(start, end, words, hash) of the lines that are compared, in order."""
+    starts, words, hashes, ends = _lines(text, character_table() if table is None else table)
+    return list(zip(starts.tolist(), ends.tolist(), words.tolist(), hashes.tolist()))
+
+
+def _words(text: str, offset: int, table: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Start, hash, whether a line of text or a sentence ends behind it, and whether it is a
+    single character of an unspaced script, of every word of a piece of text."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = table[points]
+    single = kind == 2
+    inside = kind != 0
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1] | single[1:] | single[:-1]
+    starts = np.flatnonzero(begins)
+    if not len(starts):
+        return starts, np.empty(0, np.uint64), np.empty(0, np.bool_), np.empty(0, np.bool_)
+    # White space belongs to the word before it and counts for nothing.
+    place = np.arange(len(points), dtype=np.uint64)
+    first = np.repeat(starts, np.diff(starts, append=len(points)))
+    place[starts[0] :] -= first.astype(np.uint64)
+    each = mix((points.astype(np.uint64) + np.uint64(1)) * _ODD + place)
+    each[~inside] = 0
+    hashes = mix(np.add.reduceat(each, starts))
+    newline = np.add.reduceat(points == 10, starts, dtype=np.int64) > 0
+    lengths = np.add.reduceat(inside, starts, dtype=np.int64)
+    return starts + offset, hashes, newline | (kind[starts + lengths - 1] == 3), single[starts]
+
+
+def _pieces(text: str) -> Iterator[tuple[int, str]]:
+    """The text in pieces that end at white space, so that memory follows _PIECE and the words' number."""
+    at = 0
+    while at < len(text):
+        end = at + _PIECE
+        if end < len(text):
+            gap = _GAP.search(text, end)
+            end = gap.end() if gap else len(text)
+        yield at, text[at:end]
+        at = end
 
 
-def lines_of(text: str) -> list[tuple[int, int, int, int]]:
-    """(start, end, words, hash) of the lines that are compared, in order."""
-    found = []
-    digest = xxhash.xxh3_64_intdigest
-    for m in _SEGMENT.finditer(text):
-        words = m.group().split()
-        n = len(words)
-        if n > LONG_LINE_WORDS:
-            found.extend(_parts(m.start(), m.group()))
-        elif n >= LINE_WORDS:
-            found.append((m.start(), m.end(), n, digest(" ".join(words))))
-    return found
-
-
-def _parts(offset: int, segment: str) -> Iterator[tuple[int, int, int, int]]:
-    start, words = 0, []
-    for m in _WORD.finditer(segment):
-        words.append(m.group())
-        if crc32(m.group().encode()) % CUT_EVERY == 0:
-            end = min(m.end() + 1, len(segment))
-            if len(words) >= LINE_WORDS:
-                yield offset + start, offset + end, len(words), xxhash.xxh3_64_intdigest(" ".join(words))
-            start, words = end, []
-    if len(words) >= LINE_WORDS:
-        yield offset + start, offset + len(segment), len(words), xxhash.xxh3_64_intdigest(" ".join(words))
+def _lines(text: str, table: np.ndarray) -> tuple[np.ndarray, ...]:
+    parts = [_words(piece, at, table) for at, piece in _pieces(text)] or [_words("", 0, table)]
+    starts, hashes, stops, single = (np.concatenate(x) for x in zip(*parts))
+    n, reach = len(starts), LINE_WORDS - 1
+    if n < LINE_WORDS:
+        none = np.empty(0, np.int64)
+        return none, none, np.empty(0, np.uint64), none
+    half = np.uint64(1 << 63)
+    never = np.uint64(2**64 - 1)
+    key = np.where(stops, hashes >> np.uint64(1), np.where(hashes % np.uint64(CUT_EVERY) == 0, hashes >> np.uint64(1) | half, never))
+    cut = key != never
+    for k in range(1, reach + 1):
+        cut[k:] &= key[k:] < key[:-k]
+        cut[:-k] &= key[:-k] <= key[k:]
+    # The first and the last line are no shorter than others.
+    cut[:reach] = False
+    cut[n - LINE_WORDS :] = False
+    first = np.concatenate(([0], np.flatnonzero(cut) + 1))
+    sizes = np.diff(first, append=n)
+    place = np.arange(n, dtype=np.uint64) - np.repeat(first, sizes).astype(np.uint64)
+    found = mix(np.add.reduceat(mix(hashes + place * _ODD), first))
+    halves = np.add.reduceat(single, first, dtype=np.int64)
+    ends = np.append(starts[first[1:]], len(text))
+    return starts[first], sizes - halves + halves // 2, found, ends
 
 
 def line_hashes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -80,18 +138,14 @@ def line_hashes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     if the line occurs once in the document."""
 
     def each(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, Any]]:
+        table = character_table()
         for batch in batches:
             hashes, notes = [], []
             for doc in batch["text"]:
-                lines = lines_of(doc or "")
-                own = [h for _, _, _, h in lines]
-                if len(set(own)) == len(own):
-                    note = [2 * n + 1 for _, _, n, _ in lines]
-                else:
-                    counts = Counter(own)
-                    note = [2 * n + (counts[h] == 1) for _, _, n, h in lines]
-                hashes.append(np.array(own, np.uint64).view(np.int64))
-                notes.append(note)
+                _, sizes, own, _ = _lines(doc or "", table)
+                _, which, counts = np.unique(own, return_inverse=True, return_counts=True)
+                hashes.append(own.view(np.int64))
+                notes.append((2 * sizes + (counts[which] == 1)).astype(np.int32))
             yield {"id": batch["id"], "hashes": hashes, "notes": notes}
 
     kind = docs.schema[key].dataType.simpleString()
@@ -284,19 +338,16 @@ def cuts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return map_rows(linked, each, f"id {kind}, blocks array<array<struct<at: int, line: long>>>")
 
 
-def without_blocks(text: str, found: list[list[dict[str, int]]]) -> str:
+def without_blocks(text: str, found: list[list[dict[str, int]]], table: np.ndarray | None = None) -> str:
     """The text without the blocks, where its lines are still those that were found."""
-    lines = lines_of(text)
+    lines = lines_of(text, table)
     spans = []
     for block in found:
         here = [
             x["at"] for x in block
             if x["at"] < len(lines) and np.uint64(lines[x["at"]][3]) == np.int64(x["line"]).view(np.uint64)
         ]
-        for i, at in enumerate(here):
-            # What stands between two neighbouring lines, too short to be compared, goes with them.
-            joined = i and here[i - 1] == at - 1
-            spans.append((lines[at - 1][1] if joined else lines[at][0], lines[at][1]))
+        spans += [lines[at][:2] for at in here]
     kept, end = [], 0
     for a, b in sorted(spans):
         kept.append(text[end:a])
@@ -318,10 +369,14 @@ def dedup(docs: DataFrame, key: str = "doc_id", note: str | None = None, drop_em
         joined = joined.withColumn(note, F.coalesce(F.size(found), F.lit(0)))
         alone = alone.withColumn(note, F.lit(0))
 
+    held: list[np.ndarray] = []
+
     def rewrite(text: str, blocks_: list | None) -> str | None:
         if not blocks_:
             return text
-        left = without_blocks(text, blocks_)
+        if not held:
+            held.append(character_table())
+        left = without_blocks(text, blocks_, held[0])
         return left if left.strip() or not drop_empty else None
 
     return rewrite_text(joined, [found], rewrite, drop_none=drop_empty).unionByName(alone)

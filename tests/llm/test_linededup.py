@@ -61,6 +61,38 @@ def test_a_passage_whose_lines_first_stand_apart(spark):
     assert got[5].strip() == own[5]
 
 
+def test_short_lines_and_text_without_spaces(spark):
+    rnd = random.Random(9)
+    menu = "\n".join(words(rnd, 1) for _ in range(60))
+    chinese = "".join(chr(rnd.randrange(0x4E00, 0x9000)) for _ in range(120))
+    thai = "".join(chr(rnd.randrange(0x0E01, 0x0E2F)) for _ in range(120))
+    texts = [menu, f"{words(rnd, 7)}\n{menu}\n{words(rnd, 5)}", chinese, "漢字" + chinese + "文書", chinese, thai, thai]
+    got = left(spark, texts)
+    assert all(got[i] == texts[i] for i in (0, 2, 5))
+    assert len(got[1].split()) < 45 and len(got[3]) < 64 and got[4] == got[6] == ""
+
+
+def test_a_passage_on_sentence_ends_and_amid_sentences(spark):
+    rnd = random.Random(10)
+    texts = []
+    for _ in range(20):
+        passage = ". ".join(words(rnd, n) for n in (22, 12, 20))
+        texts += [f"{sentences(rnd, 2)} {passage}. {sentences(rnd, 2)}", f"{words(rnd, 9)} {passage} {words(rnd, 9)}."]
+    got = left(spark, texts)
+    assert all(got[i] == texts[i] for i in range(0, 40, 2))
+    assert sum(len(got[i].split()) for i in range(1, 40, 2)) < 0.65 * 20 * 72
+
+
+def test_lines_depend_on_their_neighbourhood_only(monkeypatch):
+    rnd = random.Random(11)
+    text = "\n".join(words(rnd, rnd.randint(1, 30)) for _ in range(60))
+    whole = L.lines_of(text)
+    later = {h for _, _, _, h in L.lines_of("Something else. " + text)}
+    assert sum(h not in later for _, _, _, h in whole) <= 2
+    monkeypatch.setattr(L, "_PIECE", 50)
+    assert L.lines_of(text) == whole
+
+
 def test_sequences_cover_every_shared_passage():
     rnd = random.Random(8)
     for _ in range(300):
