@@ -186,7 +186,6 @@ _DIGIT_WORDS = {
 _TIMES = {"double": 2, "triple": 3}
 _PLUS = {"plus", "más"}
 _DOTS = {"dot", "point", "period", "punkt", "punto"}
-_SPOKEN_REACH = 12
 _WORD_OR_NUMBER = re.compile(r"[^\W\d_]+|[0-9]+")
 _BETWEEN = re.compile(r"[\s,./()\-]{1,4}")
 _AS_DIGIT = {"o": "0", "O": "0", "l": "1", "I": "1", "i": "1", "|": "1", "S": "5", "B": "8"}
@@ -194,16 +193,22 @@ _MIXED_NUMBER = re.compile(r"(?<![A-Za-z0-9])(?:(?=[OolIi|SB]{0,24}[0-9])[0-9Ool
 
 # Endings of names that plain "dot" may lead to.
 _ENDINGS = "com|org|net|edu|gov|mil|int|info|biz|io|co|ai|app|dev|me|de|fr|es|uk|us|eu|ch|at|it|nl|be|ca|au|mx|ar|example|test"
-_BRACKETED_AT = r"\s*[\[({<]\s*(?:at|arroba|@)\s*[\])}>]\s*"
-_BRACKETED_DOT = r"\s*[\[({<]\s*(?:dot|punto|punkt|point|\.)\s*[\])}>]\s*"
+# A run of white space is entered at its first character only, which keeps the time in proportion.
+_GAP = r"(?:(?<!\s)\s++)?"
+_BRACKETED_AT = rf"{_GAP}[\[({{<]\s*(?:at|arroba|@)\s*[\])}}>]\s*"
+_BRACKETED_DOT = rf"{_GAP}[\[({{<]\s*(?:dot|punto|punkt|point|\.)\s*[\])}}>]\s*"
 _BRACKETED = re.compile(rf"(?P<at>{_BRACKETED_AT})|(?P<dot>{_BRACKETED_DOT})", re.IGNORECASE)
 _JOIN_DOT = r"(?:\.|\s+\.\s+|[\s_-]+(?:dot|punto|punkt|point)[\s_-]+)"
-_JOIN_AT = re.compile(r"\s*@\s*|[\s_-]+(?:at|arroba)[\s_-]+", re.IGNORECASE)
+_JOIN_AT = re.compile(rf"{_GAP}@\s*|(?:(?<![\s_-])|(?<=\s)(?=[_-]))[\s_-]++(?:at|arroba)[\s_-]+", re.IGNORECASE)
 _NAME_BEFORE = re.compile(rf"(?<![A-Za-z0-9%+.])[A-Za-z0-9._%+-]{{1,64}}?(?:{_JOIN_DOT}[A-Za-z0-9%+-]{{1,64}}?){{0,3}}?\Z", re.IGNORECASE)
 _HOST_AFTER = re.compile(rf"[A-Za-z0-9-]{{1,63}}?(?:{_JOIN_DOT}[A-Za-z0-9-]{{1,63}}?){{0,4}}{_JOIN_DOT}(?:{_ENDINGS})(?![A-Za-z0-9])", re.IGNORECASE)
 _NAME_REACH = 120
 _SPOKEN_DOT = re.compile(r"\s+\.\s+|[\s_-]+(?:dot|punto|punkt|point)[\s_-]+", re.IGNORECASE)
-_HINTS = ("at]", "at)", "at}", "at>", "@]", "@)", "@}", "@ ", " @", "arroba", "dot", "[.", "(.", "{.", "punkt", "punto", "point")
+# What the address transducers cannot do without: a word or sign of _JOIN_DOT or _JOIN_AT, a lone full stop, an "at" that is
+# not in small letters, or a bracketed "at" (a bracketed dot has one of the words or is found here).
+_HINTS = ("@", "arroba", "dot", "punkt", "punto", "point")
+_HINT = re.compile(r"[\[({<]\s*(?:[Aa][Tt]|\.)\s*[\])}>]|\s\.\s|[\s_-](?:A[Tt]|aT)[\s_-]")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def _spoken_numbers(text: str) -> Iterator[tuple[int, int, str]]:
@@ -273,10 +278,12 @@ def _plain_addresses(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 def _is_spoken(lower: str) -> bool:
-    """Whether three digit words stand close together."""
-    words = lower.replace("-", " ").replace(",", " ").replace(".", " ").split()
-    at = [i for i, w in enumerate(words) if w in _DIGIT_WORDS]
-    return any(c - a <= _SPOKEN_REACH for a, c in zip(at, at[2:]))
+    """Whether there are three digit words, without which no run counts."""
+    return sum(map(_DIGIT_WORDS.__contains__, _LETTERS.findall(lower))) >= 3
+
+
+def _is_address(text: str, lower: str) -> bool:
+    return any(hint in lower for hint in _HINTS) or _HINT.search(text) is not None
 
 
 class Normaliser:
@@ -302,12 +309,11 @@ class Normaliser:
 
         if not text.isascii():
             step((m.start(), m.end(), "") for m in self.invisible.finditer(text))
-        lower = text.lower()
-        if _is_spoken(lower):
+        if _is_spoken(text.lower()):
             step(_spoken_numbers(text))
         if any(c in text for c in "0123456789"):
             step(_mixed_numbers(text))
-        if any(hint in lower for hint in _HINTS) or " AT " in text:
+        if _is_address(text, text.lower()):
             step((m.start(), m.end(), "@" if m.group("at") else ".") for m in _BRACKETED.finditer(text))
             step(_plain_addresses(text))
         return text, found, changed

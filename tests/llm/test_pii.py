@@ -80,6 +80,27 @@ def test_base_finds_stay_beside_wider_ones():
     assert base["email"] == [(9, 24)] and added["email"] == [(0, 24)]
 
 
+@pytest.mark.parametrize(("kind", "text"), [
+    ("email", "jane [ at ] example.com"), ("email", "jane ( at ) example.com"), ("email", "jane < at > example.com"),
+    ("email", "jane@example [ . ] com"), ("email", "jane_AT_example.com"), ("email", "jane@example . com"),
+    ("phone", "plus four/nine/one/five/one/two/three/four/five/six"),
+    ("phone", "plus (four)(nine)(one)(five)(one)(two)(three)(four)(five)(six)"),
+])
+def test_no_disguise_needs_another_hint(kind, text):
+    assert P.spans_of(text, NORMAL)[1][kind] == [(0, len(text) - text.endswith(")"))]
+
+
+def test_gates_leave_out_nothing(monkeypatch):
+    rnd = random.Random(12)
+    parts = ["jane", "example", "com", "at", "AT", "At", "dot", "DOT", "punkt", "arroba", "plus", "four", "nine", "one", "oh", "double", "7", "15"]
+    marks = [" ", " ", " ", "  ", "\n", ".", " . ", "@", " @ ", "-", "_", "/", "(", ")", "[ ", " ]", "<", ">", ", "]
+    texts = ["".join(rnd.choice(parts) + rnd.choice(marks) for _ in range(rnd.randint(2, 14))) for _ in range(20_000)]
+    gated = [P.spans_of(t, NORMAL) for t in texts]
+    monkeypatch.setattr(P, "_is_spoken", lambda lower: True)
+    monkeypatch.setattr(P, "_is_address", lambda text, lower: True)
+    assert gated == [P.spans_of(t, NORMAL) for t in texts]
+
+
 def test_time_follows_length():
     for text in ["a" * 200_000, "1." * 100_000, "a@" * 100_000, "+1" * 100_000, "one " * 50_000, " at " * 50_000, "a dot " * 30_000, "x at " + "b dot " * 30_000, "а" * 100_000]:
         start = time.time()
