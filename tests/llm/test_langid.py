@@ -81,3 +81,18 @@ def test_without_labels(spark):
     docs = edge.simple(spark, ["some text", None])
     assert [(r.lang_pred, r.score) for r in K.predict(docs.select("text"), K.fit(docs)).collect()] == [("und", 0.0)] * 2
     assert K.predict(edge.empty(spark).select("text"), K.fit(edge.empty(spark))).collect() == []
+
+
+def test_very_long_texts_keep_label_and_score(spark):
+    rnd = random.Random(13)
+    texts, langs = corpus()
+    model = K.fit(edge.simple(spark, texts, langs))
+    # Letters that no landmark has fill the n-grams, as those of a long text of a large script do.
+    rare = "".join(chr(rnd.randrange(0x4E00, 0x9FFF)) for _ in range(60_000))
+    long = [text(rnd, lang, 60_000) for lang in ("en", "de", "fr")]
+    asked = [long[0], long[1], long[2], long[0][:2000], long[1] + " " + rare]
+    rows = sorted(K.predict(edge.simple(spark, asked).select("doc_id", "text"), model).collect(), key=lambda r: r.doc_id)
+    assert [r.lang_pred for r in rows] == ["en", "de", "fr", "en", "de"]
+    assert all(r.score > 0.5 for r in rows[:4]) and rows[4].score > K.MIN_SCORE
+    letters = K.letter_table()
+    assert len(K.ngrams(rare, letters)) > 150_000
