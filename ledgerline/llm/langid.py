@@ -9,8 +9,8 @@ languages. A text of more than PIECE characters has the mean kernel of its piece
 by its n-grams, so label and score do not depend on length; a landmark is a text's first piece with letters.
 
 Learning takes a bounded sample of labelled rows: at most LANDMARKS landmarks and TRAINING
-texts in all, dealt evenly over the languages, chosen by a hash of the id. Beyond MAX_LANGUAGES labels,
-the rarest are not learnt.
+texts in all, dealt evenly over the languages, chosen by a hash of the id. Every label with a text is
+learnt: where there are many, each still gets LANDMARKS_EACH and TRAINING_EACH, and the sample grows.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; without any
 labelled text every document is ``und``; ties go to the label first in the alphabet; a null id
@@ -33,7 +33,8 @@ SPECTRUM = 4
 PIECE = 1 << 14
 LANDMARKS = 128
 TRAINING = 2400
-MAX_LANGUAGES = 64
+LANDMARKS_EACH = 2
+TRAINING_EACH = 37
 RIDGE = 1e-3
 BATCH = 64
 UNKNOWN = "und"
@@ -125,7 +126,7 @@ def kernel_of(texts: list[str | None], letters: np.ndarray, landmarks: tuple, si
 def _labelled(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out())
     rows = rows.select("doc_id", "text", "lang")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     return rows, sorted((r.lang, r.n) for r in counts)
 
 
@@ -134,11 +135,10 @@ def _sample(rows: DataFrame, counts: list[tuple[str, int]], most: int, seed: int
     share = max(1, most // len(counts))
     order = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(2**32))
     # Most rows fall out before any shuffle; the window then cuts to the exact bound.
-    few = F.lit(False)
-    for lang, n in counts:
-        few = few | ((F.col("lang") == lang) & (order < min(2**32, int(2**32 * (2 * share + 64) / n))))
+    limits = [(lang, min(2**32, int(2**32 * (2 * share + 64) / n))) for lang, n in counts]
+    limit = F.broadcast(rows.sparkSession.createDataFrame(limits, "lang string, most long"))
     first = Window.partitionBy("lang").orderBy(order, "doc_id")
-    return rows.where(few).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= share).drop("rank")
+    return rows.join(limit, "lang").where(order < F.col("most")).drop("most").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= share).drop("rank")
 
 
 def fit(docs: DataFrame) -> Broadcast:
@@ -154,7 +154,7 @@ def fit(docs: DataFrame) -> Broadcast:
         for batch in batches:
             yield {"lang": batch["lang"], "grams": [next(pieces(t, letters), np.empty(0, np.int64)) for t in batch["text"]]}
 
-    drawn = map_rows(_sample(rows, counts, LANDMARKS, 1).select("lang", "text"), places, "lang string, grams array<long>")
+    drawn = map_rows(_sample(rows, counts, max(LANDMARKS, LANDMARKS_EACH * len(counts)), 1).select("lang", "text"), places, "lang string, grams array<long>")
     marks = [np.array(r.grams, np.int64) for r in drawn.orderBy("lang", F.hash("grams")).collect()]
     index, sizes = postings(presence(marks).T), np.array([max(1, len(g)) for g in marks], np.float32)
     held = sc.broadcast({"landmarks": index, "sizes": sizes})
@@ -164,7 +164,7 @@ def fit(docs: DataFrame) -> Broadcast:
         for batch in batches:
             yield {"lang": batch["lang"], "k": list(kernel_of(batch["text"], letters, held.value["landmarks"], held.value["sizes"])[0])}
 
-    taught = map_rows(_sample(rows, counts, TRAINING, 2).select("lang", "text"), rows_of_kernel, "lang string, k array<float>")
+    taught = map_rows(_sample(rows, counts, max(TRAINING, TRAINING_EACH * len(counts)), 2).select("lang", "text"), rows_of_kernel, "lang string, k array<float>")
     sample = taught.collect()
     k = np.array([r.k for r in sample], np.float64)
     own = kernel(marks, index, sizes).astype(np.float64)

@@ -96,3 +96,18 @@ def test_very_long_texts_keep_label_and_score(spark):
     assert all(r.score > 0.5 for r in rows[:4]) and rows[4].score > K.MIN_SCORE
     letters = K.letter_table()
     assert len(K.ngrams(rare, letters)) > 150_000
+
+
+def test_every_label_is_learnt(spark):
+    rnd = random.Random(14)
+    n = 70
+    script = {f"l{i:02}": [chr(0x4E00 + 20 * i + k) for k in range(20)] for i in range(n)}
+    texts, langs = [], []
+    for i, (lang, letters) in enumerate(sorted(script.items()) * 6):
+        texts.append("".join(rnd.choice(letters) for _ in range(80)))
+        langs.append(lang)
+    docs = edge.simple(spark, texts, langs)
+    model = K.fit(docs)
+    assert model.value["langs"] == sorted(script)
+    rows = K.predict(docs.select("doc_id", "text"), model).collect()
+    assert sum(r.lang_pred == langs[r.doc_id] for r in rows) >= 0.97 * len(rows)
