@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontaminate, fingerprint, fixity, langid, linededup, linkgraph, minhash, pii, quality
+from ledgerline.llm import bpe, decontaminate, fingerprint, fixity, hardneg, langid, linededup, linkgraph, minhash, pii, quality
 from ledgerline.llm.common import held_out, table
 from ledgerline.session import prepare
 
@@ -63,6 +63,10 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.verdicts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.mine(hardneg.relabelled(table(spark, sf_dir, "embeddings")))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_quality": op2_quality,
@@ -74,6 +78,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_minhash": op9_minhash,
     "op10_urls": op10_urls,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 
