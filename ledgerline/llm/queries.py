@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontaminate, fingerprint, fixity, hardneg, langid, linededup, linkgraph, minhash, pii, quality, structure
+from ledgerline.llm import bpe, decontaminate, fingerprint, fixity, hardneg, langid, linededup, linkgraph, maxent, minhash, pii, quality, structure
 from ledgerline.llm.common import held_out, table
 from ledgerline.session import prepare
 
@@ -67,6 +67,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hardneg.mine(hardneg.relabelled(table(spark, sf_dir, "embeddings")))
 
 
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return maxent.score(docs, maxent.train(docs))
+
+
 def op13_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return structure.repair(structure.damaged(talks), talks)
@@ -84,6 +89,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash": op9_minhash,
     "op10_urls": op10_urls,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_language_model": op12_language_model,
     "op13_structure": op13_structure,
 }
 
