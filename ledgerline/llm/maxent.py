@@ -44,6 +44,7 @@ CLASSES = 64
 ROWS = 1 << 14
 ROUNDS = 3
 STEP_TOKENS = 1024
+_FEW = 8
 RATE = (0.3, 0.2, 0.1)
 BLOCK = 256
 SMOOTH = 0.1
@@ -185,19 +186,45 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
+def _sums(wrong: np.ndarray, token: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of the rows ``token`` of ``wrong`` over neighbouring groups: small groups all at once, one
+    member of each at a time, and the few large ones each by itself."""
+    out = wrong[token[starts]]
+    few = sizes <= _FEW
+    for member in range(1, _FEW):
+        more = np.flatnonzero(few & (sizes > member))
+        if not len(more):
+            break
+        out[more] += wrong[token[starts[more] + member]]
+    for i in np.flatnonzero(~few):
+        out[i] = wrong[token[starts[i] : starts[i] + sizes[i]]].sum(0)
+    return out
+
+
+def _move(weights: np.ndarray, squares: np.ndarray, at, change: np.ndarray, rate: float) -> None:
+    squares[at] += np.einsum("ij,ij->i", change, change) / change.shape[1]
+    change *= (rate / np.sqrt(squares[at] * change.shape[1] + 1.0))[:, None]
+    weights[at] += change
+
+
 def step(weights: np.ndarray, squares: np.ndarray, met: np.ndarray, rows: np.ndarray, target: np.ndarray, rate: float) -> None:
     """One gradient step on some tokens; ``squares`` damps a row by its earlier gradients."""
-    wrong = -np.exp(log_softmax(logits(weights, rows)))
+    wrong = logits(weights, rows)
+    wrong -= wrong.max(1, keepdims=True)
+    np.exp(wrong, out=wrong)
+    wrong /= -wrong.sum(1, keepdims=True)
     wrong[np.arange(len(target)), target] += 1.0
-    flat = rows.ravel()
+    met[0] += len(rows)
+    _move(weights, squares, slice(0, 1), wrong.sum(0, keepdims=True), rate)
+    # Sixteen bits are sorted by counting.
+    flat = rows[:, 1:].astype(np.uint16).ravel()
     order = np.argsort(flat, kind="stable")
     ordered = flat[order]
     starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    change = np.add.reduceat(wrong[order // rows.shape[1]], starts, axis=0)
-    at = ordered[starts]
-    met[at] += np.diff(np.append(starts, len(flat)))
-    squares[at] += (change * change).mean(1)
-    weights[at] += rate * change / np.sqrt(squares[at] * change.shape[1] + 1.0)[:, None]
+    sizes = np.diff(starts, append=len(flat))
+    at = ordered[starts].astype(np.int64)
+    met[at] += sizes
+    _move(weights, squares, at, _sums(wrong, order // (rows.shape[1] - 1), starts, sizes), rate)
 
 
 def group_words(counts: np.ndarray, neighbours: np.ndarray, classes: int, first: int) -> np.ndarray:
