@@ -24,25 +24,53 @@ def latest_by(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     )
 
 
-_NEWEST_LOAD = ["ingested_at", "run_date"]
+NEWEST_LOAD = ["ingested_at", "run_date"]
 
 
-def stg_orders(raw: DataFrame) -> DataFrame:
-    return latest_by(raw, "order_id", _NEWEST_LOAD).select(
+def orders_view(latest: DataFrame) -> DataFrame:
+    return latest.select(
         "order_id", "merchant_id", "customer_vpa", "amount", "status",
         "created_at", "updated_at", "run_date",
     )
 
 
-def stg_gateway_events(raw: DataFrame) -> DataFrame:
-    return latest_by(raw, "txn_id", _NEWEST_LOAD).select(
+def gateway_view(latest: DataFrame) -> DataFrame:
+    return latest.select(
         "txn_id", "order_id", "gateway_status", "amount", "event_time", "event_type", "run_date",
     )
 
 
-def stg_settlements(raw: DataFrame) -> DataFrame:
-    return latest_by(raw, "settlement_id", _NEWEST_LOAD).select(
+def settlements_view(latest: DataFrame) -> DataFrame:
+    return latest.select(
         "settlement_id", "txn_id", "gross_amount", "mdr_fee", "gst_on_fee", "net_settled",
         "settled_date", F.coalesce("settlement_type", F.lit("payment")).alias("settlement_type"),
         "run_date",
     )
+
+
+def stg_orders(raw: DataFrame) -> DataFrame:
+    return orders_view(latest_by(raw, "order_id", NEWEST_LOAD))
+
+
+def stg_gateway_events(raw: DataFrame) -> DataFrame:
+    return gateway_view(latest_by(raw, "txn_id", NEWEST_LOAD))
+
+
+def stg_settlements(raw: DataFrame) -> DataFrame:
+    return settlements_view(latest_by(raw, "settlement_id", NEWEST_LOAD))
+
+
+def advance_latest(
+    held: DataFrame, today: DataFrame, earlier: DataFrame, keys: DataFrame, key: str, run_date
+) -> DataFrame:
+    """Newest row of each of ``keys``, brought forward by a day's load.
+
+    ``held`` has the newest rows so far. If the day replaces an earlier load of itself, rows that came
+    from that load do not count any more, and ``earlier``, the loads of all other days, says
+    what was newest before them; it is read only for keys whose row is lost that way.
+    """
+    mine = held.join(keys, key, "left_semi")
+    replaced = F.col("run_date").eqNullSafe(F.lit(run_date))
+    candidates = mine.where(~replaced).unionByName(today)
+    lost = mine.where(replaced).select(key)
+    return latest_by(candidates.unionByName(earlier.join(lost, key, "left_semi")), key, NEWEST_LOAD)

@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import parse_money
 from ledgerline.operators import contract as rules
-from ledgerline.operators import dimensions, marts, merge, payments, quality, reconcile, staging
+from ledgerline.operators import deltas, dimensions, marts, merge, payments, quality, reconcile, staging
 from ledgerline.operators.skew import hot_keys
-from ledgerline.plans import daily, fixtures
+from ledgerline.plans import fixtures, forward
 from ledgerline.schemas import CONTRACTS
-from ledgerline.session import materialize, prepare, stored_once, temporary_folder, together
+from ledgerline.session import built_once, materialize, prepare, stored_once, temporary_folder, together
 from ledgerline.sources.extract import orders_incremental_pull
-from ledgerline.sources.tables import Tables, with_order_day
+from ledgerline.sources.tables import Tables
 
 LAST = fixtures.day(fixtures.LAST_DAY)
 
@@ -230,20 +230,29 @@ def _dead_letters(i: Inputs) -> DataFrame:
     return first
 
 
-def _incremental(i: Inputs) -> DataFrame:
-    """The stored fact as of the day before the last, brought forward by the daily job's own step."""
-    before = F.col("run_date") < F.lit(LAST)
-    earlier = reconcile.reconcile(
-        staging.stg_orders(i.raw_orders.where(before)),
-        staging.stg_gateway_events(i.raw_gateway.where(before)),
-        staging.stg_settlements(i.raw_settlements.where(before)),
-        i.hot_orders,
-    )
-    tables = i.scratch("incremental")
-    tables.rewrite_by_day(daily.FACT, with_order_day(earlier))
-    i.store_staging()
-    daily.refresh_fact(tables, i.orders, i.gateway, i.settlements, LAST, i.hot_orders)
-    return tables.read(daily.FACT, with_order_day(earlier).schema).select(*reconcile.FACT_COLS)
+def _kept(i: Inputs) -> Tables:
+    """The kept tables as of the day before the last, and the last day's loads brought forward by the
+    daily job's own step; once per application and input folder."""
+
+    def build(root: str) -> None:
+        tables = Tables(i.spark, root)
+        loads = {forward.RAW["orders"]: i.raw_orders, forward.RAW["gateway"]: i.raw_gateway, forward.RAW["settlement"]: i.raw_settlements}
+        before = F.col("run_date") < F.lit(LAST)
+        with tables.commit():
+            together(
+                lambda: tables.overwrite(forward.ANSWER_KEY, i.answer_key),
+                *[partial(tables.load_days, name, df.where(before)) for name, df in loads.items()],
+            )
+            forward.rebuild(tables)
+        with tables.commit():
+            together(*[partial(tables.replace_day, name, df.where(~before), LAST) for name, df in loads.items()])
+            forward.advance(tables, LAST)
+
+    return Tables(i.spark, built_once(i.spark, f"inputs/{i.folder_id}/kept", build))
+
+
+def _kept_staging(i: Inputs, source: str) -> DataFrame:
+    return forward.staged(_kept(i))[source]
 
 
 def _scd2(i: Inputs) -> DataFrame:
@@ -311,7 +320,7 @@ def _day_replace(i: Inputs) -> DataFrame:
     """Bronze gateway rows with one day loaded again from its judged rows."""
     tables = i.scratch("day-replace")
     name, day = "raw/gateway_events", fixtures.day(4)
-    i.raw_gateway.write.partitionBy("run_date").parquet(tables.path(name))
+    tables.load_days(name, i.raw_gateway)
     redone = i.checked("gateway").where(F.col("run_date") == F.lit(day))
     loaded = rules.typed(rules.valid(redone), CONTRACTS["gateway"])
     stamped = loaded.withColumn("ingested_at", F.lit(fixtures.day(20)).cast("timestamp"))
@@ -370,7 +379,13 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "orphan_payments": lambda i: reconcile.orphan_payments(i.settled, i.orders, i.hot_orders),
     "fact_reconciliation": lambda i: i.fact,
     "affected_orders": lambda i: reconcile.affected_orders(i.orders, i.gateway, i.settlements, LAST),
-    "fact_reconciliation_incremental": _incremental,
+    "fact_reconciliation_incremental": lambda i: _kept(i).read(forward.FACT),
+    "fact_payments_incremental": lambda i: _kept(i).read(forward.PAYMENTS),
+    "stg_orders_incremental": lambda i: _kept_staging(i, "orders"),
+    "stg_gateway_events_incremental": lambda i: _kept_staging(i, "gateway"),
+    "daily_summary_incremental": lambda i: deltas.daily_from(_kept(i).read("sums/days"), i.run_log),
+    "merchant_summary_incremental": lambda i: deltas.merchants_from(_kept(i).read("sums/merchants"), i.dim_merchants),
+    "accuracy_incremental": lambda i: deltas.accuracy_from(_kept(i).read("sums/detectors"), i.run_log),
     "fact_payments": lambda i: i.payments,
     "payments_ledger": lambda i: payments.ledger(i.payments),
     "daily_summary": lambda i: i.daily,

@@ -10,17 +10,14 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import contract as rules
-from ledgerline.operators import dimensions, marts, quality, reconcile, staging
-from ledgerline.operators.payments import payments
-from ledgerline.operators.skew import hot_keys
+from ledgerline.operators import deltas, dimensions, quality
+from ledgerline.plans import forward
+from ledgerline.plans.forward import FACT, PAYMENTS, RAW
 from ledgerline.schemas import ANSWER_KEY, CONTRACTS, RUN_LOG
 from ledgerline.session import materialize, prepare, release, together
 from ledgerline.sources.csv_files import read_drop, read_seed
 from ledgerline.sources.extract import as_text, orders_incremental_pull
-from ledgerline.sources.tables import ORDER_DAY, Tables, with_order_day
-
-RAW = {"orders": "raw/orders", "gateway": "raw/gateway_events", "settlement": "raw/settlements"}
-FACT = "marts/fact_reconciliation"
+from ledgerline.sources.tables import Tables
 
 
 def run_log(
@@ -49,9 +46,7 @@ class _Log:
         row = run_log(
             self.tables.spark, self.run_date, name, rows_in, rows_out, rows_rejected, taken, self.now
         )
-        row.write.mode("append").partitionBy("run_date", "step").parquet(
-            self.tables.path("raw/pipeline_runs")
-        )
+        self.tables.append("raw/pipeline_runs", row)
         self.started = time.monotonic()
 
 
@@ -109,77 +104,42 @@ def snapshot_merchants(tables: Tables, run_date: dt.date) -> DataFrame:
     return tables.read(name).where(F.col("as_of") == F.lit(run_date)).drop("as_of")
 
 
-def staging_views(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The deduplicated loads by name, not computed until read."""
-    return {
-        "stg_orders": staging.stg_orders(raw["orders"]),
-        "stg_gateway_events": staging.stg_gateway_events(raw["gateway"]),
-        "stg_settlements": staging.stg_settlements(raw["settlement"]),
-    }
-
-
 def _write_marts(tables: Tables, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     written = together(*[partial(tables.overwrite, f"marts/{name}", df) for name, df in frames.items()])
     return dict(zip(frames, written))
 
 
-def refresh_fact(
-    tables: Tables, orders: DataFrame, gateway: DataFrame, settlements: DataFrame, run_date: dt.date,
-    hot: DataFrame | None = None,
-) -> None:
-    """Recompute the orders touched on ``run_date`` and replace them in the stored fact."""
-    keys = materialize(reconcile.affected_orders(orders, gateway, settlements, run_date), "keys")
-    batch = reconcile.reconcile_keys(orders, gateway, settlements, keys, hot)
-    with tables.rewriting(FACT):
-        tables.replace_orders(FACT, batch)
-
-
-def rebuild_fact(
-    tables: Tables, orders: DataFrame, gateway: DataFrame, settlements: DataFrame, hot: DataFrame | None = None
-) -> None:
-    """Compute the whole stored fact."""
-    fact = with_order_day(reconcile.reconcile(orders, gateway, settlements, hot))
-    with tables.rewriting(FACT):
-        tables.rewrite_by_day(FACT, fact)
+def bring_forward(tables: Tables, run_date: dt.date, full_refresh: bool = False) -> None:
+    """Staging, facts and sums with the loads of ``run_date``; built anew on request and on the first day."""
+    if full_refresh or not forward.is_kept(tables):
+        forward.rebuild(tables)
+    else:
+        forward.advance(tables, run_date)
+    forward.restore_sums(tables)
 
 
 def build_marts(tables: Tables, run_date: dt.date, full_refresh: bool = False) -> dict[str, DataFrame]:
-    """Snapshot, staging, facts and summaries; returns every table by name.
-
-    The reconciliation fact is brought forward by the orders touched on ``run_date``. It is
-    built anew on request, on the first day, and when an earlier run broke off rewriting it.
-    """
+    """Snapshot, staging, facts and summaries; returns every table by name."""
     spark = tables.spark
-    raw = {name: tables.read(path) for name, path in RAW.items()}
-    views = staging_views(raw)
-    stg = dict(zip(views, together(*[partial(materialize, df, name) for name, df in views.items()])))
-    orders, gateway, settlements = stg.values()
-    hot = hot_keys(gateway, "order_id")
-    payments_fact = tables.overwrite("marts/fact_payments", payments(orders, gateway, settlements, hot))
-
-    if full_refresh or not tables.is_whole(FACT):
-        fact = with_order_day(reconcile.reconcile_payments(orders, payments_fact))
-        with tables.rewriting(FACT):
-            tables.rewrite_by_day(FACT, fact)
-    else:
-        refresh_fact(tables, orders, gateway, settlements, run_date, hot)
-    fact = spark.read.parquet(tables.path(FACT)).select(*reconcile.FACT_COLS)
-
+    bring_forward(tables, run_date, full_refresh)
     log = tables.read("raw/pipeline_runs")
-    key = tables.read("staging/answer_key")
     dims = {
         "dim_merchants": dimensions.dim_merchants(snapshot_merchants(tables, run_date)),
         "dim_date": dimensions.dim_date(spark),
     }
     out = _write_marts(tables, dims)
     out |= _write_marts(tables, {
-        "daily_reconciliation_summary": marts.daily_summary(fact, log),
-        "merchant_discrepancy_summary": marts.merchant_summary(fact, out["dim_merchants"]),
-        "accuracy_by_error_type": marts.accuracy(fact, key, log),
+        "daily_reconciliation_summary": deltas.daily_from(tables.read("sums/days"), log),
+        "merchant_discrepancy_summary": deltas.merchants_from(tables.read("sums/merchants"), out["dim_merchants"]),
+        "accuracy_by_error_type": deltas.accuracy_from(tables.read("sums/detectors"), log),
     })
-    return out | stg | {
-        "fact_reconciliation": fact, "fact_payments": payments_fact, "run_log": log, "answer_key": key,
-        "raw_orders": raw["orders"], "raw_gateway": raw["gateway"], "raw_settlements": raw["settlement"],
+    staged = forward.staged(tables)
+    return out | {
+        "stg_orders": staged["orders"], "stg_gateway_events": staged["gateway"], "stg_settlements": staged["settlement"],
+        "fact_reconciliation": tables.read(FACT), "fact_payments": tables.read(PAYMENTS), "run_log": log,
+        "answer_key": tables.read("staging/answer_key"),
+        "raw_orders": tables.read(RAW["orders"]), "raw_gateway": tables.read(RAW["gateway"]),
+        "raw_settlements": tables.read(RAW["settlement"]),
     }
 
 
@@ -189,20 +149,23 @@ def run_day(
 ) -> DataFrame:
     """Process one day under ``root`` and return its quality report.
 
-    Raises ``QualityError`` after the report is stored if a check of severity error
-    fails. Days must run one at a time: the keyed replace assumes a single writer. The
-    temporary tables of the application are deleted at the end.
+    All tables change in one commit: readers see the day in all of them or in none, and a day
+    that breaks off can be run again. Raises ``QualityError`` after the commit if a check of severity
+    error fails. Days run one at a time; of two runs at once the one that ends last fails with
+    ``Conflict``. The temporary tables of the application are deleted at the end, and files that no
+    reader has needed for a week.
     """
     prepare(spark)
     tables = Tables(spark, root)
-    tables.recover()
     try:
-        ingest_day(tables, run_date, landing or tables.path("data"), now or dt.datetime.now(dt.timezone.utc))
-        built = build_marts(tables, run_date, full_refresh)
-        tables.replace_day("marts/quality_report", quality.run_checks(built).coalesce(1), run_date)
+        with tables.commit():
+            ingest_day(tables, run_date, landing or tables.path("data"), now or dt.datetime.now(dt.timezone.utc))
+            built = build_marts(tables, run_date, full_refresh)
+            tables.replace_day("marts/quality_report", quality.run_checks(built).coalesce(1), run_date)
+        tables.vacuum()
     finally:
         release(spark)
-    report = spark.read.parquet(tables.path("marts/quality_report")).where(F.col("run_date") == F.lit(run_date))
+    report = tables.read("marts/quality_report", parts=[str(run_date)])
     quality.raise_on_errors(report)
     return report
 
@@ -215,7 +178,10 @@ def backfill(spark: SparkSession, root: str, start: dt.date, end: dt.date, **opt
 
 def load_answer_key(spark: SparkSession, root: str, csv_path: str) -> None:
     """Replace the labelled results that the detectors are scored against."""
-    Tables(spark, root).overwrite("staging/answer_key", read_seed(spark, csv_path, ANSWER_KEY))
+    tables = Tables(spark, root)
+    with tables.commit():
+        tables.overwrite("staging/answer_key", read_seed(spark, csv_path, ANSWER_KEY))
+        tables.drop("sums/detectors")
 
 
 # Marts a SQL user reads, besides the staging views.
@@ -226,19 +192,24 @@ MARTS = (
 
 
 def register_views(spark: SparkSession, root: str) -> list[str]:
-    """Make the tables under ``root`` available to Spark SQL by name; returns the names."""
+    """Make the tables under ``root`` available to Spark SQL by name; returns the names.
+
+    All views are of one version of the tables, which stays readable for a week after it
+    was replaced; register again to see the days since.
+    """
     prepare(spark)
     tables = Tables(spark, root)
-    frames = {name: spark.read.parquet(tables.location(f"marts/{name}")) for name in MARTS}
-    frames |= staging_views({name: tables.read(path) for name, path in RAW.items()})
-    frames |= {
-        "raw_orders": tables.read("raw/orders"),
-        "raw_gateway_events": tables.read("raw/gateway_events"),
-        "raw_settlements": tables.read("raw/settlements"),
-        "rejected": tables.read("raw/rejected"),
-        "pipeline_runs": tables.read("raw/pipeline_runs"),
-        "answer_key": tables.read("staging/answer_key"),
-    }
+    with tables.commit():
+        frames = {name: tables.read(f"marts/{name}") for name in MARTS}
+        frames |= dict(zip(("stg_orders", "stg_gateway_events", "stg_settlements"), forward.staged(tables).values()))
+        frames |= {
+            "raw_orders": tables.read("raw/orders"),
+            "raw_gateway_events": tables.read("raw/gateway_events"),
+            "raw_settlements": tables.read("raw/settlements"),
+            "rejected": tables.read("raw/rejected"),
+            "pipeline_runs": tables.read("raw/pipeline_runs"),
+            "answer_key": tables.read("staging/answer_key"),
+        }
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
     return list(frames)

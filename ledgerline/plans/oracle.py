@@ -524,7 +524,20 @@ def _padded(fmt: str) -> str:
     return f"rpad(strftime(date_day, '{fmt}'), 9, ' ')"
 
 
+# Queries over tables that were brought forward by a day, and those that compute the same anew.
+_BROUGHT_FORWARD = {
+    "fact_payments_incremental": "fact_payments", "stg_orders_incremental": "stg_orders",
+    "stg_gateway_events_incremental": "stg_gateway_events", "daily_summary_incremental": "daily_summary",
+    "merchant_summary_incremental": "merchant_summary", "accuracy_incremental": "accuracy_by_error_type",
+}
+
+
 def oracle_sql() -> dict[str, str]:
+    anew = _anew()
+    return anew | {name: anew[other] for name, other in _BROUGHT_FORWARD.items()}
+
+
+def _anew() -> dict[str, str]:
     return {
         "orders_incremental_pull": _sql("""
             SELECT order_id, merchant_id, customer_vpa, amount,

@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -64,6 +65,23 @@ def stored_once(spark: SparkSession, label: str, build: Callable[[], DataFrame])
         return spark.read.schema(df.schema).parquet(path)
 
 
+_built: set[str] = set()
+# Not the lock of stored_once: a build may read its tables from several threads.
+_filling = Lock()
+
+
+def built_once(spark: SparkSession, label: str, build: Callable[[str], None]) -> str:
+    """The folder kept under ``label`` for this application, filled by its first user. A build that
+    fails leaves a folder that nobody is told of."""
+    path = f"{work_folder(spark)}/{label}"
+    with _filling:
+        if path not in _built or not folder_exists(spark, path):
+            delete_folder(spark, path)
+            build(path)
+            _built.add(path)
+    return path
+
+
 def together(*steps: Callable[[], Any]) -> list[Any]:
     """Run independent jobs at the same time; short ones then fill the gaps of long ones."""
     with ThreadPoolExecutor(len(steps)) as pool:
@@ -131,14 +149,10 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory()] if fs.exists(place) else []
 
 
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    """Move a folder; a source that is absent is left at that."""
-    old, fs = _place(spark, source)
-    new, _ = _place(spark, target)
-    if fs.exists(old):
-        fs.mkdirs(new.getParent())
-        if not fs.rename(old, new):
-            raise OSError(f"{source} could not be renamed to {target}")
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder; none if it is absent."""
+    place, fs = _place(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(place) if s.isFile()] if fs.exists(place) else []
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -153,18 +167,23 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Put a small file in place as a whole: readers find the old text or the new one."""
-    jvm = spark._jvm
+def place_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small new file in place as a whole; False if there is one of that name already."""
     place, fs = _place(spark, path)
     aside, _ = _place(spark, f"{path}-{uuid.uuid4().hex}")
     stream = fs.create(aside, True)
     stream.write(bytearray(text.encode()))
     stream.close()
-    how = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(how, 1)
-    options[0] = how.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(aside, place, options)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(aside, place, none)
+    except Py4JJavaError as error:
+        fs.delete(aside, False)
+        if not fs.exists(place):
+            raise error
+        return False
+    return True
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -1,30 +1,37 @@
-"""Parquet tables under one root, written by partition so that days can be redone.
-
-A table that is replaced as a whole keeps each version in a folder of its own, and a pointer
-file names the one that counts; moving the pointer is the only step that readers notice. A
-partition is written aside and swapped in by renaming, and ``recover`` puts the old one back
-where a run broke off in between.
+"""Parquet tables under one root, all of them named by one manifest.
+
+A table is a set of parts: the buckets of a key, the days of a load, or one part that is the whole. Files
+are never written over. A commit writes new folders for the parts it replaces and then one new
+manifest, which names the folder of every part of every table; putting that small file in
+place is the only step that readers notice. So a day that changes several tables is visible in
+all of them or in none, a run that breaks off leaves the last manifest as it was, and parts that a
+commit does not touch stay where they are. Manifests are numbered, and a number is taken once: of two
+writers the second is refused.
+
+Folders that no kept manifest names go with ``vacuum``, by age, so a reader that began earlier
+keeps its files.
 """
 
 from __future__ import annotations
 
+import copy
 import datetime as dt
+import json
 import time
+import urllib.parse
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from threading import RLock
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schemas
-from ledgerline.operators.merge import replace_keys, upsert
-from ledgerline.operators.skew import hot_keys, spread_join
-from ledgerline.session import (
-    delete_folder, folder_exists, folders, is_missing, materialize, read_text, rename, write_text,
-)
+from ledgerline.operators.merge import upsert
+from ledgerline.session import delete_folder, files, folders, is_missing, place_text, read_text
 
 # Declared source tables: name -> schema.
 CATALOG: dict[str, T.StructType] = {
@@ -40,77 +47,171 @@ CATALOG: dict[str, T.StructType] = {
     ),
     "staging/answer_key": schemas.ANSWER_KEY,
 }
-ORDER_DAY = "order_day"
-# Hidden from readers of the folder by its underscore.
-_POINTER = "_current"
-_SWAP = "_swap"
+# Buckets of a keyed table, unless it is made with another number. A bucket should be some hundred megabytes.
+BUCKETS = 32
+KEPT_SECONDS = 7 * 24 * 3600
+# Hidden from readers of the folder by their underscore.
+_MANIFESTS = "_manifests"
+_PART = "part"
+_WHOLE = "all"
+
+
+class Conflict(RuntimeError):
+    """Another writer has committed in between."""
 
 
 class Tables:
-    """Named tables below ``root``, a folder every executor can reach."""
+    """Named tables below ``root``, a folder every executor can reach.
 
-    def __init__(self, spark: SparkSession, root: str):
+    A name without a manifest entry is a plain Parquet folder that another system writes, such as
+    the application's orders.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
+        self._base: dict | None = None
+        self._staged: dict | None = None
+        self._lock = RLock()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def location(self, name: str) -> str:
-        """Where the table's files are: the version that its pointer names, or its own folder."""
-        version = read_text(self.spark, f"{self.path(name)}/{_POINTER}")
-        return f"{self.path(name)}/{version}" if version else self.path(name)
+    # ---- manifests ----
+
+    def _versions(self) -> list[int]:
+        return sorted(int(f.removesuffix(".json")) for f in files(self.spark, self.path(_MANIFESTS)) if f.endswith(".json") and f[0].isdigit())
+
+    def _manifest(self, version: int) -> dict:
+        return json.loads(read_text(self.spark, self.path(f"{_MANIFESTS}/{version:012d}.json")))
+
+    def _latest(self) -> dict:
+        versions = self._versions()
+        return self._manifest(versions[-1]) if versions else {"version": 0, "time": 0.0, "tables": {}}
+
+    def _current(self, before: bool = False) -> dict:
+        if self._staged is None:
+            return self._latest()
+        return self._base if before else self._staged
+
+    @contextmanager
+    def commit(self) -> Iterator[Tables]:
+        """Everything written inside becomes visible together, at the end; nothing does if it fails.
+
+        Reads inside see what was written inside, and with ``before`` what there was at the start.
+        """
+        if self._staged is not None:
+            yield self
+            return
+        self._base = self._latest()
+        self._staged = copy.deepcopy(self._base)
+        try:
+            yield self
+            if self._staged["tables"] != self._base["tables"]:
+                self._publish(self._staged | {"version": self._base["version"] + 1, "time": time.time()})
+        finally:
+            self._base = self._staged = None
+
+    def _publish(self, manifest: dict) -> None:
+        name = f"{_MANIFESTS}/{manifest['version']:012d}.json"
+        if not place_text(self.spark, self.path(name), json.dumps(manifest)):
+            raise Conflict(f"version {manifest['version']} of {self.root} was written by someone else")
+
+    def vacuum(self, older_than: float = KEPT_SECONDS) -> None:
+        """Delete manifests that were replaced more than so many seconds ago, and the folders that
+        only they name, or that a broken-off commit has left that long ago."""
+        versions = self._versions()
+        if not versions:
+            return
+        limit = time.time() - older_than
+        manifests = [self._manifest(v) for v in versions]
+        # A manifest is replaced when the next one is written.
+        kept = [m for m, after in zip(manifests, [*manifests[1:], None]) if after is None or after["time"] > limit]
+        for m in manifests[: len(manifests) - len(kept)]:
+            delete_folder(self.spark, self.path(f"{_MANIFESTS}/{m['version']:012d}.json"))
+        named = {"/".join(f.split("/")[:-1]) if f.rsplit("/", 1)[-1].startswith(f"{_PART}=") else f
+                 for m in kept for t in m["tables"].values() for f in t["parts"].values()}
+        for name in {n for m in manifests for n in m["tables"]}:
+            for folder in folders(self.spark, self.path(name)):
+                if folder.startswith("v-") and int(folder.split("-")[1]) / 1e9 < limit and f"{name}/{folder}" not in named:
+                    delete_folder(self.spark, self.path(f"{name}/{folder}"))
+
+    # ---- reading ----
+
+    def parts(self, name: str, before: bool = False) -> dict[str, str]:
+        """The folder of every part of a table."""
+        entry = self._current(before)["tables"].get(name)
+        return entry["parts"] if entry else {}
+
+    def exists(self, name: str) -> bool:
+        return name in self._current()["tables"]
 
-    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        """The table; no rows if it has not been written yet and its schema is known.
+    def read(
+        self, name: str, schema: T.StructType | None = None, parts: Iterable[str] | None = None, before: bool = False
+    ) -> DataFrame:
+        """The table, or some of its parts; no rows if it has not been written yet and its schema is known.
 
         The application's orders always exist: without them the root is wrong, and a day
         must not be replaced by nothing.
         """
-        schema = schema or CATALOG.get(name)
+        entry = self._current(before)["tables"].get(name)
+        if entry is None:
+            return self._plain(name, schema or CATALOG.get(name))
+        schema = T.StructType.fromJson(entry["schema"])
+        wanted = entry["parts"] if parts is None else {p: entry["parts"][p] for p in parts if p in entry["parts"]}
+        if not wanted:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[self.path(f) for f in wanted.values()])
+
+    def _plain(self, name: str, schema: T.StructType | None) -> DataFrame:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         try:
-            return reader.parquet(self.location(name))
+            return reader.parquet(self.path(name))
         except AnalysisException as err:
             if schema is None or name == "app/orders" or not is_missing(err):
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def exists(self, name: str) -> bool:
-        try:
-            self.spark.read.schema("_ string").parquet(self.location(name))
-        except AnalysisException as err:
-            if not is_missing(err):
-                raise
-            return False
-        return True
+    # ---- writing ----
 
-    @contextmanager
-    def rewriting(self, name: str) -> Iterator[None]:
-        """Mark a table as being rewritten; the mark stays if the rewrite does not finish."""
-        mark = f"unfinished/{name}"
-        self.spark.range(1).coalesce(1).write.mode("overwrite").parquet(self.path(mark))
-        yield
-        delete_folder(self.spark, self.path(mark))
+    def put(
+        self, name: str, df: DataFrame, part: Column | None = None, replaced: Iterable[str] | None = None
+    ) -> DataFrame:
+        """Replace the parts ``replaced`` of a table, or all of it, by ``df``, which may read the table.
 
-    def is_whole(self, name: str) -> bool:
-        """Whether the table exists and its last rewrite came to an end."""
-        return self.exists(name) and not self.exists(f"unfinished/{name}")
+        ``part`` names the part of each row. Parts of ``replaced`` that have no rows any more go.
+        """
+        folder = f"{name}/v-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        if part is None:
+            df.write.parquet(self.path(folder))
+            found = {_WHOLE: folder}
+        else:
+            # Rebalancing lets AQE size the files: small parts share a task, a large one is split.
+            named = df.withColumn(_PART, part.cast("string")).hint("rebalance", F.col(_PART))
+            named.write.partitionBy(_PART).parquet(self.path(folder))
+            found = {urllib.parse.unquote(f.split("=", 1)[1]): f"{folder}/{f}" for f in folders(self.spark, self.path(folder)) if f.startswith(f"{_PART}=")}
+        if replaced is not None and not set(found) <= set(replaced):
+            raise ValueError(f"{name}: rows of parts that are not replaced: {sorted(set(found) - set(replaced))}")
+        with self._lock, self.commit():
+            entry = self._staged["tables"].get(name, {"parts": {}})
+            kept = {} if replaced is None else {p: f for p, f in entry["parts"].items() if p not in set(replaced)}
+            self._staged["tables"][name] = {"schema": df.schema.jsonValue(), "parts": kept | found}
+        return self.read(name)
 
     def overwrite(self, name: str, df: DataFrame) -> DataFrame:
-        """Full rebuild of a table, which ``df`` may read: readers see the old rows until the
-        new ones are all there. The version before the last is deleted."""
-        before = read_text(self.spark, f"{self.path(name)}/{_POINTER}")
-        version = f"version-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(f"{self.path(name)}/{version}")
-        self._point(name, version)
-        for old in folders(self.spark, self.path(name)):
-            if before and old not in (version, before):
-                delete_folder(self.spark, f"{self.path(name)}/{old}")
-        return self.read(name, df.schema)
-
-    def _point(self, name: str, version: str) -> None:
-        write_text(self.spark, f"{self.path(name)}/{_POINTER}", version)
+        """Full rebuild of a table, which ``df`` may read."""
+        return self.put(name, df)
+
+    def drop(self, name: str) -> None:
+        """Take a table out of the manifest."""
+        with self._lock, self.commit():
+            self._staged["tables"].pop(name, None)
+
+    def append(self, name: str, df: DataFrame) -> None:
+        """Add a part of its own to a table."""
+        part = uuid.uuid4().hex
+        self.put(name, df, F.lit(part), [part])
 
     def upsert(self, name: str, source: DataFrame, key: str, update_cols: list[str]) -> None:
         """Insert the new keys of ``source`` and overwrite ``update_cols`` of the known ones."""
@@ -118,80 +219,25 @@ class Tables:
         self.overwrite(name, upsert(known, source, key, update_cols))
 
     def replace_partition(self, name: str, df: DataFrame, **keys) -> None:
-        """Replace one partition by ``df``, however often it is repeated.
-
-        Writing the partition's own folder also covers an empty ``df``, which empties the
-        partition; dynamic overwrite would leave the old rows.
-        """
-        leaf = "/".join([name, *[f"{k}={v}" for k, v in keys.items()]])
-        aside = self.path(f"{_SWAP}/{uuid.uuid4().hex}")
-        df.drop(*keys).write.parquet(f"{aside}/new")
-        write_text(self.spark, f"{aside}/{_POINTER}", leaf)
-        self._swap(aside, self.path(leaf))
-        delete_folder(self.spark, aside)
-
-    def _swap(self, aside: str, leaf: str) -> None:
-        rename(self.spark, leaf, f"{aside}/old")
-        rename(self.spark, f"{aside}/new", leaf)
-
-    def recover(self) -> None:
-        """Put back partitions whose swap broke off. For the start of a run, before anything is written."""
-        for run in folders(self.spark, self.path(_SWAP)):
-            aside = self.path(f"{_SWAP}/{run}")
-            leaf = read_text(self.spark, f"{aside}/{_POINTER}")
-            # Without its own folder the old partition had been moved away; with it, this renames nothing.
-            if leaf and not folder_exists(self.spark, self.path(leaf)):
-                rename(self.spark, f"{aside}/old", self.path(leaf))
-            delete_folder(self.spark, aside)
+        """Replace the rows with the values ``keys`` by ``df``, however often it is repeated."""
+        part = ".".join(str(v) for v in keys.values())
+        for column, value in keys.items():
+            if column not in df.columns:
+                df = df.withColumn(column, F.lit(value))
+        self.put(name, df, F.lit(part), [part])
 
     def replace_day(self, name: str, df: DataFrame, run_date: dt.date) -> None:
         self.replace_partition(name, df, run_date=run_date)
 
-    def _write_by_day(self, name: str, df: DataFrame, mode: str) -> None:
-        # Rebalancing lets AQE size the files: small days share a task, a large day is split.
-        (
-            df.hint("rebalance", F.col(ORDER_DAY))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", mode)
-            .partitionBy(ORDER_DAY)
-            .parquet(self.path(name))
-        )
-
-    def rewrite_by_day(self, name: str, df: DataFrame) -> None:
-        """Full rebuild of a fact stored by ``order_day``, which ``df`` does not read."""
-        self._write_by_day(name, df, "static")
-
-    def replace_orders(self, name: str, batch: DataFrame) -> None:
-        """Replace the batch's orders in a fact stored by ``order_day``.
-
-        Only days that hold an affected row, before or after, are rewritten; where a
-        row sits now is looked up by reading three columns of the fact. The new days are
-        written aside before the old ones go. Call it within ``rewriting``: days are swapped
-        one after the other, and a fact left half swapped has to be rebuilt.
-        """
-        batch = materialize(with_order_day(batch), "batch")
-        target = self.read(name, batch.schema)
-        keys = batch.select("order_id")
-        hot = hot_keys(target, "order_id")
-        held = spread_join(
-            target.select("order_id", "txn_id", ORDER_DAY), keys.distinct(), "order_id", "left_semi",
-            spread_by="txn_id", hot=hot,
-        )
-        # As many rows as there are days, however many orders changed.
-        days = [
-            r[0] for r in held.select(ORDER_DAY).union(batch.select(ORDER_DAY)).distinct().collect()
-        ]
-        if not days:
-            return
-        affected_days = target.where(F.col(ORDER_DAY).isin(days))
-        renewed = materialize(replace_keys(affected_days, batch, "order_id", "txn_id", hot), "days")
-        filled = {r[0] for r in renewed.select(ORDER_DAY).distinct().collect()}
-        self._write_by_day(name, renewed, "dynamic")
-        for day in set(days) - filled:
-            self.replace_partition(name, renewed.limit(0), **{ORDER_DAY: day})
-
-
-def with_order_day(fact: DataFrame) -> DataFrame:
-    """Add the storage day: of the order, or of the payment where there is no order."""
-    day = F.date_format(F.coalesce("order_created_at", "gateway_event_time"), "yyyy-MM-dd")
-    return fact.withColumn(ORDER_DAY, F.coalesce(day, F.lit("unknown")))
+    def load_days(self, name: str, df: DataFrame) -> None:
+        """Make ``df`` the whole of a table that is kept by day of load."""
+        self.put(name, df, F.col("run_date"))
+
+    # ---- tables kept in buckets of a key ----
+
+    def bucket(self, key: Column | str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("string")
+
+    def buckets_of(self, keys: DataFrame, key: Column | str) -> list[str]:
+        """The buckets that the keys are in; as many as there are buckets at most."""
+        return [r[0] for r in keys.select(self.bucket(key)).distinct().collect()]

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators import contract as rules
-from ledgerline.plans import daily
+from ledgerline.plans import forward
 from ledgerline.schemas import CONTRACTS
-from ledgerline.session import materialize
+from ledgerline.session import materialize, together
 from ledgerline.sources.csv_files import read_drop
 from ledgerline.sources.tables import Tables
 
@@ -28,18 +29,16 @@ def store_drop(tables: Tables, path: str, source: str, run_date: dt.date, now: d
     dead = rules.rejects(checked, contract).withColumn("rejected_at", F.lit(now))
     tables.replace_partition("raw/rejected", dead, run_date=run_date, source=source)
     good = rules.typed(rules.valid(checked), contract).withColumn("ingested_at", F.lit(now))
-    tables.replace_day(daily.RAW[source], good, run_date)
+    tables.replace_day(forward.RAW[source], good, run_date)
 
 
 def refresh_days(tables: Tables, days: list[dt.date]) -> None:
-    """Recompute in the stored fact the orders that rows of ``days`` touch; the whole fact if it is not there yet."""
-    raw = {name: tables.read(path) for name, path in daily.RAW.items()}
-    staged = [materialize(df, name) for name, df in daily.staging_views(raw).items()]
-    if tables.is_whole(daily.FACT):
+    """Bring the kept tables forward by the loads of ``days``; build them if they are not there yet."""
+    if forward.is_kept(tables):
         for day in days:
-            daily.refresh_fact(tables, *staged, day)
+            forward.advance(tables, day)
     else:
-        daily.rebuild_fact(tables, *staged)
+        forward.rebuild(tables)
 
 
 def ingest_new_files(
@@ -64,9 +63,11 @@ def ingest_new_files(
         found = sorted(row.path for row in batch.distinct().collect())
         days = {path: dt.date.fromisoformat(_DAY.search(path)[1]) for path in found}
         now = dt.datetime.now(dt.timezone.utc)
-        for path, day in days.items():
-            store_drop(tables, path, source, day, now)
-        if days:
+        if not days:
+            return
+        # The files of a micro-batch and what they change become visible together.
+        with tables.commit():
+            together(*[partial(store_drop, tables, path, source, day, now) for path, day in days.items()])
             refresh_days(tables, sorted(set(days.values())))
 
     return (

@@ -13,7 +13,6 @@ from ledgerline.plans.fixtures import answer_key
 from ledgerline.schemas import CONTRACTS
 from ledgerline.sources.csv_files import write_seed
 from ledgerline.sources.extract import as_text
-from ledgerline.sources import tables as tables_module
 from ledgerline.sources.tables import Tables
 
 DAYS = [fixtures.day(n) for n in range(3)]
@@ -69,7 +68,7 @@ def rebuilt(tables):
 
 
 def fact_of(spark, tables):
-    return spark.read.parquet(tables.path(daily.FACT)).select(*rec.FACT_COLS)
+    return tables.read(daily.FACT).select(*rec.FACT_COLS)
 
 
 def test_days_in_order(spark, root):
@@ -99,8 +98,7 @@ def test_days_in_order(spark, root):
     expected = i.merchant_history.where(F.to_date("updated_at") <= F.lit(DAYS[-1]))
     assert snapshot.count() == expected.count()
     assert snapshot.where("valid_to is null").count() == 10
-    accuracy = spark.read.parquet(tables.location("marts/accuracy_by_error_type"))
-    assert accuracy.count() == 5
+    assert tables.read("marts/accuracy_by_error_type").count() == 5
 
 
 def test_tables_answer_sql(spark, root):
@@ -148,17 +146,33 @@ def test_missing_drop_empties_the_day_and_full_refresh_follows(spark, root, tmp_
     assert same(fact_of(spark, tables), rebuilt(tables))
 
 
-def test_broken_off_rewrite_is_made_good(spark, root, tmp_path):
+class Broken(Exception):
+    pass
+
+
+def breaking(*_, **__):
+    raise Broken
+
+
+def rows_of(tables):
+    names = [*daily.RAW.values(), daily.FACT, daily.PAYMENTS, "sums/days", "marts/daily_reconciliation_summary", "raw/pipeline_runs"]
+    return {n: sorted(map(repr, tables.read(n).collect())) for n in names}
+
+
+@pytest.mark.parametrize("place", ["ledgerline.operators.deltas.add", "ledgerline.operators.quality.run_checks"])
+def test_a_day_that_breaks_off_is_in_no_table(spark, root, tmp_path, monkeypatch, place):
     copy = tmp_path / "copy"
     shutil.copytree(root, copy)
+    (copy / "data" / str(DAYS[2]) / "settlement.csv").unlink()
     tables = Tables(spark, str(copy))
-    with pytest.raises(RuntimeError), tables.rewriting(daily.FACT):
-        # The driver dies after a day has been dropped and before its new rows are in place.
-        shutil.rmtree(copy / daily.FACT / "order_day=2026-09-01")
-        raise RuntimeError
-    assert not tables.is_whole(daily.FACT)
+    before = rows_of(tables)
+    with monkeypatch.context() as m:
+        m.setattr(place, breaking)
+        with pytest.raises(Broken):
+            daily.run_day(spark, str(copy), DAYS[-1], now=at(9))
+    assert rows_of(tables) == before
     daily.run_day(spark, str(copy), DAYS[-1], now=at(9))
-    assert tables.is_whole(daily.FACT) and same(fact_of(spark, tables), rebuilt(tables))
+    assert rows_of(tables) != before and same(fact_of(spark, tables), rebuilt(tables))
 
 
 def test_failed_check_stops_the_run_after_the_report(spark, root, tmp_path):
@@ -168,25 +182,11 @@ def test_failed_check_stops_the_run_after_the_report(spark, root, tmp_path):
     Tables(spark, str(copy)).overwrite("staging/answer_key", key.withColumn("expected_result", F.lit("bogus")))
     with pytest.raises(QualityError, match="accepted_values.answer_key.expected_result"):
         daily.backfill(spark, str(copy), DAYS[2], DAYS[2], now=at(9))
-    assert spark.read.parquet(str(copy / "marts/quality_report")).where(
+    assert Tables(spark, str(copy)).read("marts/quality_report").where(
         F.col("run_date") == F.lit(DAYS[2])
     ).count() == 38
 
 
-def test_moved_row_leaves_no_copy_behind(spark, tmp_path):
-    """An orphan alone on its day moves to the order's day: its old day ends up empty."""
-    tables = Tables(spark, str(tmp_path))
-    columns = spark.sql(
-        "select 'T1' txn_id, 'o1' order_id, cast(null as timestamp) order_created_at,"
-        " timestamp'2026-09-04 10:00:00' gateway_event_time, 'discrepancy' reconciliation_status"
-    )
-    tables.replace_orders("fact", columns)
-    moved = columns.withColumn("order_created_at", F.lit(at(2)))
-    tables.replace_orders("fact", moved)
-    stored = spark.read.parquet(tables.path("fact"))
-    assert [str(r.order_day) for r in stored.collect()] == ["2026-09-02"]
-
-
 def test_replacing_a_day_by_nothing(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
     rows = spark.sql("select 'a' k, date'2026-09-01' run_date union all select 'b', date'2026-09-02'")
@@ -197,60 +197,21 @@ def test_replacing_a_day_by_nothing(spark, tmp_path):
     assert tables.exists("t") and not tables.exists("u")
 
 
-class Broken(Exception):
-    pass
-
-
-def breaking(*_, **__):
-    raise Broken
-
-
-def test_a_write_that_breaks_off_before_the_swap_changes_nothing(spark, tmp_path, monkeypatch):
-    tables = Tables(spark, str(tmp_path))
-    old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
-    new = spark.createDataFrame([("a", 9), ("c", 9)], "k string, n int")
-    tables.overwrite("t", old)
-    tables.replace_day("days", old, day(1))
-    with monkeypatch.context() as m:
-        m.setattr(Tables, "_point", breaking)
-        for step in (lambda: tables.overwrite("t", new), lambda: tables.upsert("t", new, "k", ["n"])):
-            with pytest.raises(Broken):
-                step()
-            assert same(tables.read("t", old.schema), old)
-        m.setattr(Tables, "_swap", breaking)
-        with pytest.raises(Broken):
-            tables.replace_day("days", new, day(1))
-    assert same(spark.read.parquet(tables.path("days")).drop("run_date"), old)
-    tables.upsert("t", new, "k", ["n"])
-    assert sorted(map(tuple, tables.read("t", old.schema).collect())) == [("a", 9), ("b", 2), ("c", 9)]
-    for n in range(3):
-        tables.overwrite("t", old)
-    assert same(tables.read("t", old.schema), old) and len([p for p in (tmp_path / "t").iterdir() if p.is_dir()]) == 2
-
-
-def test_a_swap_that_breaks_off_half_way_is_undone(spark, tmp_path, monkeypatch):
-    tables = Tables(spark, str(tmp_path))
-    old = spark.createDataFrame([("a", 1)], "k string, n int")
-    tables.replace_day("days", old, day(1))
-    real, calls = tables_module.rename, []
-
-    def once(*args):
-        calls.append(args)
-        if len(calls) == 2:
-            raise Broken
-        real(*args)
-
-    with monkeypatch.context() as m:
-        m.setattr(tables_module, "rename", once)
-        with pytest.raises(Broken):
-            tables.replace_day("days", old.limit(0), day(1))
-    tables.recover()
-    assert same(spark.read.parquet(tables.path("days")).drop("run_date"), old)
-    tables.replace_day("days", old.limit(0), day(1))
-    tables.recover()
-    assert spark.read.parquet(tables.path("days")).count() == 0 and not list((tmp_path / "_swap").iterdir())
-
-
 def test_missing_orders_are_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         Tables(spark, str(tmp_path / "typo")).read("app/orders")
+
+
+def test_views_outlive_later_versions(spark, root, tmp_path):
+    """A view registered before two more days still reads the rows it was registered on."""
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy)
+    daily.register_views(spark, str(copy))
+    before = spark.sql("select count(*) from daily_reconciliation_summary").first()[0]
+    tables = Tables(spark, str(copy))
+    for _ in range(3):
+        tables.overwrite("marts/daily_reconciliation_summary", tables.read("marts/daily_reconciliation_summary").limit(1))
+        tables.vacuum()
+    assert spark.sql("select count(*) from daily_reconciliation_summary").first()[0] == before
+    daily.register_views(spark, str(copy))
+    assert spark.sql("select count(*) from daily_reconciliation_summary").first()[0] == 1

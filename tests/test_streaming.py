@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL, day, same
 from ledgerline.operators import contract, reconcile, staging
-from ledgerline.plans import daily, fixtures
+from ledgerline.plans import fixtures, forward
 from ledgerline.plans.catalogue import Inputs
 from ledgerline.schemas import CONTRACTS
 from ledgerline.sources.csv_files import read_drop
@@ -49,7 +49,7 @@ def test_files_are_judged_by_the_rules_of_the_batch(spark, tmp_path):
 def test_the_streamed_fact_is_the_batch_fact(spark, tmp_path):
     i = Inputs(spark, SMALL)
     tables = Tables(spark, str(tmp_path / "out"))
-    i.raw_orders.write.partitionBy("run_date").parquet(tables.path("raw/orders"))
+    tables.load_days("raw/orders", i.raw_orders)
     kept = {"gateway": (i.raw_gateway, "gateway"), "settlement": (i.raw_settlements, "settlement")}
     until = F.lit(fixtures.day(3))
     for days in ([0, 1, 2], [3]):
@@ -68,5 +68,5 @@ def test_the_streamed_fact_is_the_batch_fact(spark, tmp_path):
         staging.stg_orders(i.raw_orders),
         staging.stg_gateway_events(i.raw_gateway.where(upto)), staging.stg_settlements(i.raw_settlements.where(upto)), i.hot_orders,
     )
-    got = spark.read.parquet(tables.path(daily.FACT)).select(*reconcile.FACT_COLS)
+    got = tables.read(forward.FACT).select(*reconcile.FACT_COLS)
     assert got.count() > 1000 and same(got, full)
