@@ -17,7 +17,7 @@ from ledgerline.schemas import ANSWER_KEY, CONTRACTS, RUN_LOG
 from ledgerline.session import materialize, prepare, release, together
 from ledgerline.sources.csv_files import read_drop, read_seed
 from ledgerline.sources.extract import as_text, orders_incremental_pull
-from ledgerline.sources.tables import Tables
+from ledgerline.sources.tables import BUCKETS, Tables
 
 
 def run_log(
@@ -145,9 +145,10 @@ def build_marts(tables: Tables, run_date: dt.date, full_refresh: bool = False) -
 
 def run_day(
     spark: SparkSession, root: str, run_date: dt.date, landing: str | None = None,
-    full_refresh: bool = False, now: dt.datetime | None = None,
+    full_refresh: bool = False, now: dt.datetime | None = None, buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Process one day under ``root`` and return its quality report.
+    """Process one day under ``root`` and return its quality report. The first day makes the keyed
+    tables with so many ``buckets``.
 
     All tables change in one commit: readers see the day in all of them or in none, and a day
     that breaks off can be run again. Raises ``QualityError`` after the commit if a check of severity
@@ -156,7 +157,7 @@ def run_day(
     reader has needed for a week.
     """
     prepare(spark)
-    tables = Tables(spark, root)
+    tables = Tables(spark, root, buckets)
     try:
         with tables.commit():
             ingest_day(tables, run_date, landing or tables.path("data"), now or dt.datetime.now(dt.timezone.utc))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import deltas, reconcile, staging
 from ledgerline.operators.payments import payments_settled
-from ledgerline.operators.skew import hot_keys, spread_join
+from ledgerline.operators.skew import hot_keys
 from ledgerline.session import materialize, together
 from ledgerline.sources.tables import Tables
 
@@ -91,7 +91,7 @@ def rebuild(tables: Tables) -> None:
 
         together(*[partial(newest, kept) for kept in LATEST.values()])
         now = staged(tables)
-        lines = now["settlement"].where(F.col("txn_id").isNotNull())
+        lines = now["settlement"].where(F.col("txn_id").isNotNull()).drop("run_date")
         hot = hot_keys(now["gateway"], "order_id")
         settled = reconcile.settled_gateway(now["gateway"], now["settlement"])
         paid = payments_settled(now["orders"], settled, hot)
@@ -104,8 +104,22 @@ def rebuild(tables: Tables) -> None:
         together(*[lambda s=s: tables.put(s.table, s.of(tables, fact).where(F.col(s.rows) != 0)) for s in SUMS])
 
 
-def _advance_latest(tables: Tables, kept: Latest, run_date: dt.date) -> DataFrame:
-    """Bring one table of newest rows forward; returns (key, old, new) of the staged rows that differ."""
+@dataclass(frozen=True)
+class Step:
+    """What a day does to one table of newest rows: its touched buckets, the keys, (key, old, new) rows of
+    all of them, and of those whose staged row differs."""
+
+    parts: list[str]
+    keys: DataFrame
+    rows: DataFrame
+    changed: DataFrame
+
+
+def _packed(df: DataFrame, key: str, name: str) -> DataFrame:
+    return df.select(key, F.struct(*df.columns).alias(name))
+
+
+def _step(tables: Tables, kept: Latest, run_date: dt.date) -> Step:
     day = str(run_date)
     now, then = (tables.parts(kept.raw, before).get(day) for before in (False, True))
     again = then is not None and then != now
@@ -114,29 +128,28 @@ def _advance_latest(tables: Tables, kept: Latest, run_date: dt.date) -> DataFram
     keys = today.select(kept.key)
     if again:
         keys = keys.union(tables.read(kept.raw, parts=[day], before=True).select(kept.key))
-    keys = materialize(keys.where(F.col(kept.key).isNotNull()).distinct(), "keys")
+    keys = keys.where(F.col(kept.key).isNotNull()).distinct()
     parts = tables.buckets_of(keys, kept.key)
     held = tables.read(kept.table, parts=parts)
     others = [p for p in tables.parts(kept.raw) if p != day] if again else []
-    earlier = tables.read(kept.raw, parts=others)
-    fresh = materialize(staging.advance_latest(held, today, earlier, keys, kept.key, run_date), "fresh")
-    old = _packed(kept.view(held.join(keys, kept.key, "left_semi")), kept.key, "old")
-    new = _packed(kept.view(fresh), kept.key, "new")
-    pairs = keys.join(old, kept.key, "left").join(new, kept.key, "left")
+    fresh = staging.advance_latest(held, today, tables.read(kept.raw, parts=others), keys, kept.key, run_date)
+    old = _packed(held.join(keys, kept.key, "left_semi"), kept.key, "old")
+    rows = materialize(keys.join(old, kept.key, "left").join(_packed(fresh, kept.key, "new"), kept.key, "left"), "rows")
     # The day of load is not part of what is published further on.
-    differ = ~F.col("old").dropFields("run_date").eqNullSafe(F.col("new").dropFields("run_date"))
-    changed = materialize(pairs.where(differ), "changed")
-    untouched = held.join(keys, kept.key, "left_anti")
-    tables.put(kept.table, untouched.unionByName(fresh), tables.bucket(kept.key), parts)
-    return changed
+    views = [_packed(kept.view(rows.where(F.col(n).isNotNull()).select(f"{n}.*")).drop("run_date"), kept.key, n) for n in ("old", "new")]
+    seen = rows.select(kept.key).join(views[0], kept.key, "left").join(views[1], kept.key, "left")
+    changed = materialize(seen.where(~F.col("old").eqNullSafe(F.col("new"))), "changed")
+    return Step(parts, rows.select(kept.key), rows, changed)
 
 
-def _packed(df: DataFrame, key: str, name: str) -> DataFrame:
-    return df.select(key, F.struct(*df.columns).alias(name))
+def _keep(tables: Tables, kept: Latest, step: Step) -> None:
+    untouched = tables.read(kept.table, parts=step.parts).join(step.keys, kept.key, "left_anti")
+    fresh = step.rows.where(F.col("new").isNotNull()).select("new.*")
+    tables.put(kept.table, untouched.unionByName(fresh), tables.bucket(kept.key), step.parts)
 
 
 def _of(changed: DataFrame, *columns: str) -> DataFrame:
-    """The distinct values of fields of the old and the new rows."""
+    """The values of fields of the old and the new rows."""
     frames = [changed.select(F.col(c).alias("value")) for c in columns]
     return reduce(DataFrame.union, frames).where(F.col("value").isNotNull())
 
@@ -144,16 +157,20 @@ def _of(changed: DataFrame, *columns: str) -> DataFrame:
 def advance(tables: Tables, run_date: dt.date) -> None:
     """Bring all kept tables forward by the loads of ``run_date``, which are in the same commit."""
     with tables.commit():
-        orders, gateway, settlement = together(*[
-            partial(_advance_latest, tables, kept, run_date) for kept in LATEST.values()
-        ])
+        steps = together(*[partial(_step, tables, kept, run_date) for kept in LATEST.values()])
+        orders, gateway, settlement = (step.changed for step in steps)
 
         # Settlement lines by transaction: those of changed settlements out, the new ones in.
-        line_txns = materialize(_of(settlement, "old.txn_id", "new.txn_id").distinct().withColumnRenamed("value", "txn_id"), "line-txns")
-        parts = tables.buckets_of(line_txns, "txn_id")
-        lines = tables.read(LINES, parts=parts)
-        renewed = settlement.where(F.col("new.txn_id").isNotNull()).select("new.*")
-        tables.put(LINES, lines.join(settlement.select("settlement_id"), "settlement_id", "left_anti").unionByName(renewed), tables.bucket("txn_id"), parts)
+        line_txns = _of(settlement, "old.txn_id", "new.txn_id").distinct().withColumnRenamed("value", "txn_id")
+
+        def keep_lines() -> None:
+            parts = tables.buckets_of(line_txns, "txn_id")
+            kept = tables.read(LINES, parts=parts).join(settlement.select("settlement_id"), "settlement_id", "left_anti")
+            renewed = steps[2].rows.join(settlement.select("settlement_id"), "settlement_id", "left_semi").where(F.col("new.txn_id").isNotNull())
+            renewed = staging.settlements_view(renewed.select("new.*")).drop("run_date")
+            tables.put(LINES, kept.unionByName(renewed), tables.bucket("txn_id"), parts)
+
+        together(keep_lines, *[partial(_keep, tables, kept, step) for kept, step in zip(LATEST.values(), steps)])
 
         # Transactions to compute anew: changed, settled anew, or of a changed order.
         order_ids = orders.select("order_id")
@@ -167,29 +184,36 @@ def advance(tables: Tables, run_date: dt.date) -> None:
         lines = tables.read(LINES, parts=txn_parts).join(txns, "txn_id", "left_semi")
         placed = events.select("order_id").where(F.col("order_id").isNotNull()).distinct()
         known = staging.orders_view(tables.read(LATEST["orders"].table, parts=tables.buckets_of(placed, "order_id")))
-        hot = hot_keys(events, "order_id")
         fresh = materialize(payments_settled(
-            known.join(placed, "order_id", "left_semi"), reconcile.settled_gateway(events, lines), hot
+            known.join(placed, "order_id", "left_semi"), reconcile.settled_gateway(events, lines), hot_keys(events, "order_id")
         ), "payments")
-        places = fresh.select("order_id", "txn_id").union(gateway.where(F.col("old").isNotNull()).select("old.order_id", "txn_id"))
-        parts = tables.buckets_of(places, _payment_key())
-        kept = tables.read(PAYMENTS, parts=parts).join(txns, "txn_id", "left_anti")
-        tables.put(PAYMENTS, kept.unionByName(fresh), tables.bucket(_payment_key()), parts)
+
+        def paid_now(parts: list[str]) -> DataFrame:
+            """The payments fact as it will be, in some buckets."""
+            kept = tables.read(PAYMENTS, parts=parts, before=True).join(txns, "txn_id", "left_anti")
+            return kept.unionByName(fresh.where(tables.bucket(_payment_key()).isin(parts)))
 
         # Orders to compute anew.
         touched = order_ids.union(placed).union(_of(gateway, "old.order_id", "new.order_id")).where(F.col("order_id").isNotNull())
         touched = materialize(touched.distinct(), "touched")
         parts = tables.buckets_of(touched, "order_id")
+        # Stored rows on one side and distinct keys on the other: a key that fills a partition is split by AQE.
         stored = tables.read(FACT, parts=parts)
-        # An order without a row in the orders may have very many payments.
-        hot = hot_keys(stored, "order_id")
-        cut = partial(spread_join, right=touched, key="order_id", spread_by="txn_id", hot=hot)
-        gone = materialize(cut(stored, how="left_semi"), "gone")
-        paid = cut(tables.read(PAYMENTS, parts=parts), how="left_semi")
         known = staging.orders_view(tables.read(LATEST["orders"].table, parts=parts)).join(touched, "order_id", "left_semi")
-        come = materialize(reconcile.reconcile_payments(known, materialize(paid, "paid")), "come")
+        gone, paid = together(
+            lambda: materialize(stored.join(touched, "order_id", "left_semi"), "gone"),
+            lambda: materialize(paid_now(parts).join(touched, "order_id", "left_semi"), "paid"),
+        )
+        come = materialize(reconcile.reconcile_payments(known, paid), "come")
+
+        def keep_payments() -> None:
+            places = fresh.select("order_id", "txn_id").union(gateway.where(F.col("old").isNotNull()).select("old.order_id", "txn_id"))
+            parts = tables.buckets_of(places, _payment_key())
+            tables.put(PAYMENTS, paid_now(parts), tables.bucket(_payment_key()), parts)
+
         together(
-            lambda: tables.put(FACT, cut(stored, how="left_anti").unionByName(come), tables.bucket("order_id"), parts),
+            keep_payments,
+            lambda: tables.put(FACT, stored.join(touched, "order_id", "left_anti").unionByName(come), tables.bucket("order_id"), parts),
             *[partial(_advance_sums, tables, sums, gone, come) for sums in SUMS],
         )
 

@@ -47,8 +47,8 @@ CATALOG: dict[str, T.StructType] = {
     ),
     "staging/answer_key": schemas.ANSWER_KEY,
 }
-# Buckets of a keyed table, unless it is made with another number. A bucket should be some hundred megabytes.
-BUCKETS = 32
+# Buckets of keyed tables unless a root is made with another number, so that each is some hundred megabytes.
+BUCKETS = 8
 KEPT_SECONDS = 7 * 24 * 3600
 # Hidden from readers of the folder by their underscore.
 _MANIFESTS = "_manifests"
@@ -70,7 +70,8 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
+        # The number a root was made with is kept in its manifest and holds from then on.
+        self.buckets = self._latest().get("buckets", buckets)
         self._base: dict | None = None
         self._staged: dict | None = None
         self._lock = RLock()
@@ -109,7 +110,7 @@ class Tables:
         try:
             yield self
             if self._staged["tables"] != self._base["tables"]:
-                self._publish(self._staged | {"version": self._base["version"] + 1, "time": time.time()})
+                self._publish(self._staged | {"version": self._base["version"] + 1, "time": time.time(), "buckets": self.buckets})
         finally:
             self._base = self._staged = None
 
