@@ -16,7 +16,7 @@ from __future__ import annotations
 import base64
 import heapq
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, islice
 from pathlib import Path
 from typing import Any
@@ -32,7 +32,9 @@ from ledgerline.llm.common import map_positions, mix, word_hash_tables
 
 _KEYS_A_BUCKET = 4
 _STEP = np.uint64(0xD1B54A32D192ED03)
-_REMEMBERED = 400_000
+# Bytes of a generation of remembered pre-tokens, with what Python needs to hold an entry.
+_REMEMBERED = 32 << 20
+_ENTRY = 160
 _GROUP_CHARS = 1 << 19
 _WHOLE_CHARS = 1 << 22
 _SLICE = 1 << 17
@@ -100,18 +102,24 @@ def slots_of(hashes: np.ndarray, shift: np.ndarray, n: int) -> np.ndarray:
     return np.where(own < 0, -own - 1, _slots(hashes, np.maximum(own, 0).astype(np.uint64), n))
 
 
+_sent: dict[tuple[str, str, str], Broadcast] = {}
+
+
 def vocabulary(spark: SparkSession, path: str, pattern: str) -> Broadcast:
-    """The vocabulary with its perfect hash, on every executor."""
-    tokens = read_ranks(path)
-    tables = word_hash_tables(b"")
-    known = np.array([i for i, t in enumerate(tokens) if t], np.int64)
-    hashes = np.concatenate([
-        bytes_hashes([tokens[i] for i in known[at : at + 4096]], tables) for at in range(0, len(known), 4096)
-    ])
-    shift = perfect_hash(hashes)
-    ids = np.zeros(len(known), np.int64)
-    ids[slots_of(hashes, shift, len(known))] = known
-    return spark.sparkContext.broadcast({"tokens": tokens, "shift": shift, "ids": ids, "pattern": pattern})
+    """The vocabulary with its perfect hash, on every executor; sent once per application."""
+    key = (spark.sparkContext.applicationId, path, pattern)
+    if key not in _sent:
+        tokens = read_ranks(path)
+        tables = word_hash_tables(b"")
+        known = np.array([i for i, t in enumerate(tokens) if t], np.int64)
+        hashes = np.concatenate([
+            bytes_hashes([tokens[i] for i in known[at : at + 4096]], tables) for at in range(0, len(known), 4096)
+        ])
+        shift = perfect_hash(hashes)
+        ids = np.zeros(len(known), np.int64)
+        ids[slots_of(hashes, shift, len(known))] = known
+        _sent[key] = spark.sparkContext.broadcast({"tokens": tokens, "shift": shift, "ids": ids, "pattern": pattern})
+    return _sent[key]
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
@@ -160,7 +168,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
 
 class _Encoder:
     """What one task needs to encode. Ids of pre-tokens are remembered in two generations of
-    bounded size; those met again move to the younger one, the rest are forgotten."""
+    bounded bytes; those met again move to the younger one, the rest are forgotten."""
 
     def __init__(self, vocab: dict[str, Any]):
         self.tokens, self.shift, self.ids = vocab["tokens"], vocab["shift"], vocab["ids"]
@@ -170,14 +178,16 @@ class _Encoder:
         self.longest = max(map(len, self.tokens))
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        self.held = 0
 
     def learn(self, pieces: set[str]) -> None:
-        if len(self.known) > _REMEMBERED:
-            self.known, self.older = {}, self.known
+        if self.held > _REMEMBERED:
+            self.known, self.older, self.held = {}, self.known, 0
         new = [p for p in pieces if p not in self.known]
         if self.older:
             again = [p for p in new if p in self.older]
             self.known.update(zip(again, map(self.older.__getitem__, again)))
+            self.held += sum(_ENTRY + len(p) + 8 * len(self.known[p]) for p in again)
             new = [p for p in new if p not in self.older]
         raw = [p.encode() for p in new]
         short = [i for i, p in enumerate(raw) if len(p) <= self.longest]
@@ -190,6 +200,7 @@ class _Encoder:
         for p, b in zip(new, raw):
             if p not in self.known:
                 self.known[p] = merge(b, self.ranks)
+            self.held += _ENTRY + len(b) + 8 * len(self.known[p])
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         if len(text) <= _WHOLE_CHARS:
@@ -221,20 +232,60 @@ class _Encoder:
             at = end
 
 
-def encode(df: DataFrame, vocab: Broadcast, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with the token ids of ``text`` as an array column ``ids``."""
+def _encoded(df: DataFrame, vocab: Broadcast, text: str, fields: list[T.StructField], made: Callable) -> DataFrame:
+    """``df`` and the columns that ``made`` makes of a batch's ids, texts and the vocabulary's bytes, in one pass."""
     place = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         encoder = _Encoder(vocab.value)
         for batch in batches:
-            rows = list(encoder.encode(batch.column(place).to_pylist()))
-            offsets = np.zeros(len(rows) + 1, np.int32)
-            np.cumsum([len(r) for r in rows], out=offsets[1:])
-            flat = np.concatenate([np.frombuffer(r, np.int32) for r in rows]) if rows else np.empty(0, np.int32)
-            yield [*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))]
+            texts = batch.column(place).to_pylist()
+            rows = [np.frombuffer(r, np.int32) for r in encoder.encode(texts)]
+            yield [*batch.columns, *made(rows, texts, encoder.tokens)]
+
+    return map_positions(df, run, [*df.schema.fields, *fields])
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    offsets = np.zeros(len(rows) + 1, np.int32)
+    np.cumsum([len(r) for r in rows], out=offsets[1:])
+    flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+
+
+def _bytes_of(ids: np.ndarray, tokens: list[bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids.tolist()))
+
+
+def encode(df: DataFrame, vocab: Broadcast, text: str = "text", ids: str = "ids") -> DataFrame:
+    """``df`` with the token ids of ``text`` as an array column ``ids``."""
+    return _encoded(df, vocab, text, [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)], lambda rows, texts, tokens: [_lists(rows)])
+
+
+def encode_checked(df: DataFrame, vocab: Broadcast, text: str = "text", ids: str = "ids", same: str = "round_trip") -> DataFrame:
+    """``df`` with the token ids of ``text``, and whether they decode to it; in one pass over the texts."""
+
+    def made(rows: list[np.ndarray], texts: list[str | None], tokens: list[bytes]) -> list[pa.Array]:
+        return [_lists(rows), pa.array([_bytes_of(r, tokens) == (t or "").encode() for r, t in zip(rows, texts)], pa.bool_())]
+
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False), T.StructField(same, T.BooleanType(), False)]
+    return _encoded(df, vocab, text, fields, made)
+
+
+def text_digests(df: DataFrame, vocab: Broadcast, text: str = "text") -> DataFrame:
+    """``df`` with n_tokens, and SHA-256 of the ids of ``text`` (little-endian, 32 bits each) and of
+    the bytes that they decode to; in one pass over the texts."""
+
+    def made(rows: list[np.ndarray], texts: list[str | None], tokens: list[bytes]) -> list[pa.Array]:
+        from hashlib import sha256
+
+        return [
+            pa.array([len(r) for r in rows], pa.int64()), pa.array([sha256(r.astype("<u4").tobytes()).hexdigest() for r in rows], pa.string()),
+            pa.array([sha256(_bytes_of(r, tokens)).hexdigest() for r in rows], pa.string()),
+        ]
 
-    return map_positions(df, run, [*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    return _encoded(df, vocab, text, fields, made)
 
 
 def _slices(column: pa.Array) -> Iterator[np.ndarray]:
@@ -251,7 +302,7 @@ def decode(df: DataFrame, vocab: Broadcast, ids: str = "ids", decoded: str = "de
         tokens = vocab.value["tokens"]
         for batch in batches:
             rows = _slices(batch.column(place))
-            yield [*batch.columns, pa.array([b"".join(map(tokens.__getitem__, r.tolist())) for r in rows], pa.binary())]
+            yield [*batch.columns, pa.array([_bytes_of(r, tokens) for r in rows], pa.binary())]
 
     return map_positions(df, run, [*df.schema.fields, T.StructField(decoded, T.BinaryType(), False)])
 

@@ -51,8 +51,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = bpe.vocabulary(spark, BPE_RANKS, public_tokenizers.PATTERN)
-    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocab).drop("text")
-    return bpe.digests(bpe.decode(ids, vocab), "doc_id")
+    return bpe.text_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), vocab).drop("text")
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

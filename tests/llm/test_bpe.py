@@ -69,7 +69,27 @@ def test_round_trip_over_awkward_documents(spark, vocab, reference):
     digests = bpe.digests(bpe.decode(bpe.encode(given, vocab), vocab), "doc_id").collect()
     wanted = {(r.doc_id, len(r.ids), sha256(np.array(r.ids, "<u4").tobytes()).hexdigest(), sha256(bytes(r.decoded)).hexdigest()) for r in rows}
     assert {tuple(r) for r in digests} == wanted
+    at_once = bpe.text_digests(given, vocab).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert {tuple(r) for r in at_once} == wanted
+    checked = bpe.encode_checked(given, vocab).collect()
+    assert sorted((str(r.doc_id), r.ids) for r in checked) == sorted((str(r.doc_id), r.ids) for r in rows)
+    assert all(r.round_trip for r in checked)
 
 
 def test_empty_table(spark, vocab):
     assert bpe.digests(bpe.decode(bpe.encode(edge.empty(spark).select("doc_id", "text"), vocab), vocab), "doc_id").collect() == []
+
+
+def test_remembered_pieces_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "_REMEMBERED", 2000)
+    tokens = [bytes([i]) for i in range(256)] + [b"ab"]
+    hashes = bpe.bytes_hashes(tokens, bpe.word_hash_tables(b""))
+    shift = bpe.perfect_hash(hashes)
+    ids = np.zeros(len(tokens), np.int64)
+    ids[bpe.slots_of(hashes, shift, len(tokens))] = np.arange(len(tokens))
+    encoder = bpe._Encoder({"tokens": tokens, "shift": shift, "ids": ids, "pattern": r"\S+|\s"})
+    for i in range(200):
+        text = f"ab{i} cd{i % 3} " + "x" * 300
+        assert list(next(encoder.encode([text]))) == [t for p in text.split(" ") for t in [*bpe.merge(p.encode(), encoder.ranks), 32]][:-1]
+        # A generation may pass the bound by the pieces of one text.
+        assert len(encoder.known) + len(encoder.older) < 30
