@@ -3,9 +3,17 @@
 Every URL is judged by the longest rule that fits its host (or a domain above it) and path.
 URLs without a rule get the verdict of their host. Trust is a personalised PageRank over host
 links from hosts with allowed pages; distrust is one over the reversed links from hosts with
-blocked pages, since who links to bad hosts is suspect, not who is linked from them. A host is
-seeded with the share of its pages that the rules allow or block, and it is blocked if its
-distrust exceeds its trust by MARGIN of what a host gets whose pages are all blocked.
+blocked pages, since who links to bad hosts is suspect, not who is linked from them.
+
+A score by itself says little: what a bad host passes back is shared by all that link to it. So each
+host has a threshold of its own, a part of what it would get if all ruled hosts were of one kind: the
+same walk is also seeded with the pages of ruled hosts that are allowed (or blocked) and with
+those no rule fits, and trust and distrust are the shares of a host's whole score. A host that links to
+nothing but a blocked one has distrust 1, however many others do so too. It is blocked if its
+distrust exceeds its trust by MARGIN. Hosts that no seed reaches have neither and are allowed.
+
+The iteration goes on until no host's score changes by more than TOLERANCE of itself; every step
+shrinks what is still to come by the damping, so it ends.
 
 Only DataFrame functions are used. Links are counted per host pair before any join, a step of
 the iteration joins scores with the link table and sums by target, and each step is written to
@@ -14,7 +22,7 @@ the shared folder, which cuts the lineage.
 Defined results: a null URL or one without "://" has an empty host and path, fits no rule and
 is allowed; null html has no links; links to hosts that have no page count, links of a host
 to itself and relative ones do not; repeated pages count like pages of their own; an empty
-table gives an empty result; other columns are ignored.
+table gives an empty result; other columns are ignored. Very long html is searched whole.
 """
 
 from __future__ import annotations
@@ -29,8 +37,10 @@ from ledgerline.session import materialize
 # The rules: (verdict, host, path).
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 DAMPING = 0.85
-STEPS = 12
+TOLERANCE = 1e-4
 MARGIN = 0.5
+DIGITS = 3
+SEEDS = ("allow", "block", "neither")
 LINK = "(?i)href\\s*=\\s*[\"']?\\s*((?:https?:)?//[^\"'>\\s]+)"
 
 
@@ -77,40 +87,46 @@ def _link_host(link: Column) -> Column:
 
 
 def seeds(pages: DataFrame) -> DataFrame:
-    """(kind, host, seed): the share of a host's pages that the rules allow (trust) or block (distrust)."""
-    shares = pages.where("host <> ''").groupBy("host").agg(
-        (F.count(F.when(F.col("by_rule") == "allow", 1)) / F.count("*")).alias("trust"),
-        (F.count(F.when(F.col("by_rule") == "block", 1)) / F.count("*")).alias("distrust"),
-    )
-    return shares.unpivot("host", ["trust", "distrust"], "kind", "seed").where("seed > 0")
+    """(kind, host, allow, block, neither): for both walks, the shares of a host's pages that the rules
+    allow, block or say nothing of, for hosts with a ruled page."""
+    share = lambda verdict: F.count_if(F.coalesce(F.col("by_rule"), F.lit("neither")) == verdict) / F.count("*")
+    shares = pages.where("host <> ''").groupBy("host").agg(*[share(v).alias(v) for v in SEEDS]).where("neither < 1")
+    return shares.select(F.explode(F.array(F.lit("trust"), F.lit("distrust"))).alias("kind"), "host", *SEEDS)
 
 
-def spread(start: DataFrame, links: DataFrame, damping: float = DAMPING, steps: int = STEPS) -> DataFrame:
-    """(kind, host, score): both PageRanks at once, trust along the links and distrust against them."""
+def spread(start: DataFrame, links: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """(kind, host, allow, block, neither): both PageRanks at once, trust along the links and distrust
+    against them, by the kind of seed that a score comes from."""
     ways = links.select(F.lit("trust").alias("kind"), F.col("source").alias("host"), F.col("target").alias("to")).unionByName(
         links.select(F.lit("distrust").alias("kind"), F.col("target").alias("host"), F.col("source").alias("to"))
     )
     degree = ways.groupBy("kind", "host").agg(F.count("*").alias("degree"))
     ways = materialize(ways.join(degree, ["kind", "host"]), "ways")
-    base = materialize(start.select("kind", "host", (F.col("seed") * (1 - damping)).alias("score")), "scores")
+    base = materialize(start.select("kind", "host", *[(F.col(c) * (1 - damping)).alias(c) for c in SEEDS], F.lit(0.0).alias("before")), "scores")
+    whole = sum(F.col(c) for c in SEEDS)
     scores = base
-    for _ in range(steps):
-        passed = scores.join(ways, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("score") * damping / F.col("degree")).alias("score"))
-        scores = materialize(base.unionByName(passed).groupBy("kind", "host").agg(F.sum("score").alias("score")), "scores")
-    return scores
+    while True:
+        part = [(F.col(c) * damping / F.col("degree")).alias(c) for c in SEEDS]
+        passed = scores.join(ways, ["kind", "host"]).select("kind", F.col("to").alias("host"), *part, F.lit(0.0).alias("before"))
+        # What a host had before, so that one pass tells how far scores still move.
+        known = scores.select("kind", "host", *[F.lit(0.0).alias(c) for c in SEEDS], whole.alias("before"))
+        sums = [F.sum(c).alias(c) for c in (*SEEDS, "before")]
+        scores = materialize(base.unionByName(passed).unionByName(known).groupBy("kind", "host").agg(*sums), "scores")
+        if scores.where(F.abs(whole - F.col("before")) > tolerance * whole).isEmpty():
+            return scores.drop("before")
 
 
 def verdicts(pages: DataFrame) -> DataFrame:
     """Per page: page_id, host, path, rule, verdict, and its host's trust and distrust."""
     marked = judged(pages)
     scores = spread(seeds(marked), host_links(marked))
+    whole = sum(F.col(c) for c in SEEDS)
     hosts = scores.groupBy("host").agg(
-        F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"),
-        F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"),
+        F.max(F.when(F.col("kind") == "trust", F.col("allow") / whole)).alias("trust"),
+        F.max(F.when(F.col("kind") == "distrust", F.col("block") / whole)).alias("distrust"),
     )
     known = marked.drop("html").join(hosts, "host", "left").withColumns(
-        {c: F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust")}
+        {c: F.round(F.coalesce(c, F.lit(0.0)), DIGITS) for c in ("trust", "distrust")}
     )
-    bad = F.col("distrust") - F.col("trust") >= MARGIN * (1 - DAMPING)
-    by_host = F.when(bad, "block").otherwise("allow")
-    return known.select("page_id", "host", "path", "rule", F.coalesce("by_rule", by_host).alias("verdict"), F.round("trust", 9).alias("trust"), F.round("distrust", 9).alias("distrust"))
+    by_host = F.when(F.col("distrust") - F.col("trust") >= MARGIN, "block").otherwise("allow")
+    return known.select("page_id", "host", "path", "rule", F.coalesce("by_rule", by_host).alias("verdict"), "trust", "distrust")

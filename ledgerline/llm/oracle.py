@@ -74,7 +74,7 @@ FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id, n.n
 
 
 def _urls() -> str:
-    """The host verdicts with one common table for each step of the iteration."""
+    """The host verdicts by the walks' series: what arrives after each number of links, added up."""
     rules = sorted(linkgraph.RULES, key=lambda r: (-len(r[1] + r[2]), r))
     fits = [(f"(host = '{h}' OR suffix(host, '.{h}')) AND prefix(path, '{p}')", h + p, says) for says, h, p in rules]
     rule = "CASE " + " ".join(f"WHEN {c} THEN '{name}'" for c, name, _ in fits) + " END"
@@ -83,15 +83,8 @@ def _urls() -> str:
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     link = r"""(?i)href\s*=\s*["'']?\s*((?:https?:)?//[^"''>\s]+)"""
     keep = linkgraph.DAMPING
-    steps = ["s0 AS MATERIALIZED (SELECT * FROM base)"] + [
-        f"""s{i} AS MATERIALIZED (SELECT kind, host, sum(score) AS score FROM (
-            SELECT * FROM base
-            UNION ALL SELECT kind, ways.dest AS host, score * {keep} / degree FROM s{i - 1} JOIN ways USING (kind, host)
-        ) GROUP BY kind, host)"""
-        for i in range(1, linkgraph.STEPS + 1)
-    ]
     return f"""
-WITH split AS (
+WITH RECURSIVE split AS (
     SELECT page_id, html, CASE WHEN position('://' in url) > 0 THEN {lower.format(f"regexp_extract({rest}, '^([^/?#]*)', 1)")} ELSE '' END AS host,
         CASE WHEN position('://' in url) > 0 THEN regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
     FROM pages
@@ -107,19 +100,23 @@ links AS (
 shares AS (
     SELECT host, count(*) FILTER (by_rule = 'allow') / count(*) AS good, count(*) FILTER (by_rule = 'block') / count(*) AS bad
     FROM marked WHERE host <> '' GROUP BY host
-), base AS MATERIALIZED (
-    SELECT 'trust' AS kind, host, good * (1 - {keep}) AS score FROM shares WHERE good > 0
-    UNION ALL SELECT 'distrust', host, bad * (1 - {keep}) FROM shares WHERE bad > 0
-),
-{", ".join(steps)},
-hosts AS (
-    SELECT host, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS trust, coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS distrust
-    FROM s{linkgraph.STEPS} GROUP BY host
+), walk AS (
+    SELECT 0 AS links, kind, host, good, bad, 1 - good - bad AS other FROM shares, (VALUES ('trust'), ('distrust')) k(kind) WHERE good + bad > 0
+    UNION ALL
+    SELECT links + 1, kind, ways.dest, sum(good * {keep} / degree), sum(bad * {keep} / degree), sum(other * {keep} / degree)
+    FROM walk JOIN ways USING (kind, host) WHERE links < 100 GROUP BY links, kind, ways.dest
+), hosts AS (
+    SELECT host, max(good) FILTER (kind = 'trust') AS trust, max(bad) FILTER (kind = 'distrust') AS distrust FROM (
+        SELECT kind, host, sum(good) / sum(good + bad + other) AS good, sum(bad) / sum(good + bad + other) AS bad FROM walk GROUP BY kind, host
+    ) GROUP BY host
+), shown AS (
+    SELECT page_id, host, path, rule, by_rule, CAST(coalesce(round(trust, {linkgraph.DIGITS}), 0) AS DOUBLE) AS trust,
+        CAST(coalesce(round(distrust, {linkgraph.DIGITS}), 0) AS DOUBLE) AS distrust
+    FROM marked LEFT JOIN hosts USING (host)
 )
-SELECT page_id, host, path, rule, coalesce(by_rule,
-        CASE WHEN coalesce(distrust, 0) - coalesce(trust, 0) >= {linkgraph.MARGIN} * (1 - {keep}) THEN 'block' ELSE 'allow' END) AS verdict,
-    CAST(coalesce(round(trust, 9), 0) AS DOUBLE) AS trust, CAST(coalesce(round(distrust, 9), 0) AS DOUBLE) AS distrust
-FROM marked LEFT JOIN hosts USING (host)
+SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN distrust - trust >= {linkgraph.MARGIN} THEN 'block' ELSE 'allow' END) AS verdict,
+    trust, distrust
+FROM shown
 """
 
 
