@@ -51,6 +51,8 @@ SMOOTH = 0.1
 END = np.uint64(1)
 _SEPARATORS = b" \t\n\x0b\x0c\r"
 _GROUP = (1 << 20) - 1
+_HEAD_BITS = 20
+_SHARED = -2
 _HELD_WORDS = 1_000_000
 _SALTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
 FEATURES = len(_SALTS) + 1
@@ -159,17 +161,39 @@ def features(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 # ---- the model as plain arrays ----
 
-def place_in(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Place of every hash in the sorted ``known``, -1 if it is not there."""
-    if not len(known):
-        return np.full(len(hashes), -1)
-    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-    return np.where(known[at] == hashes, at, -1)
+class Head:
+    """Places of the head words: a table by the first bits of a hash names the only word with
+    them, and hashes whose bits several words share are searched for."""
 
+    def __init__(self, known: np.ndarray):
+        self.known = known
+        slots = self._slots(known)
+        self.table = np.full(1 << _HEAD_BITS, -1, np.int32)
+        self.table[slots] = np.arange(len(known), dtype=np.int32)
+        self.table[slots[np.flatnonzero(np.diff(slots) == 0)]] = _SHARED
 
-def buckets(model: dict, hashes: np.ndarray, endings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - _HEAD_BITS)).astype(np.int64)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of every hash in the sorted head, -1 if it is not there."""
+        at = self.table[self._slots(hashes)]
+        shared = np.flatnonzero(at == _SHARED)
+        if len(shared):
+            at[shared] = np.minimum(np.searchsorted(self.known, hashes[shared]), len(self.known) - 1)
+        if len(self.known):
+            at[self.known[at] != hashes] = -1
+        return at
+
+
+def head_of(model: dict) -> Head:
+    """The head's table, made once per task."""
+    return Head(model["head"])
+
+
+def buckets(model: dict, head: Head, hashes: np.ndarray, endings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place among the head words, and the group of the word: its own, or that of its ending."""
-    at = place_in(model["head"], hashes)
+    at = head.places(hashes)
     own = np.where(at >= 0, model["own"][at], -1) if len(model["head"]) else at
     return at, np.where(own >= 0, own, OWN_CLASSED + endings)
 
@@ -309,10 +333,11 @@ def _neighbours(training: DataFrame, model: dict) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, model = word_hash_tables(_SEPARATORS), sent.value
+        head = head_of(model)
         found = np.zeros(total * 2 * kinds, np.int64)
         for batch in batches:
             for _, lengths, hashes, endings in tokens(batch.column(0).to_pylist(), tables):
-                _, bucket = buckets(model, hashes, endings)
+                _, bucket = buckets(model, head, hashes, endings)
                 kind = np.where(bucket < LANDMARKS, bucket, LANDMARKS + bucket % REST_LANDMARKS)
                 # Each text's end stands before its first word, too.
                 left = np.concatenate((kind[-1:], kind[:-1]))
@@ -340,10 +365,11 @@ def _round(texts: DataFrame, model: dict, weights: np.ndarray, squares: np.ndarr
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = word_hash_tables(_SEPARATORS)
         model, given, before = sent.value
+        head = head_of(model)
         mine, damped, met = given.copy(), before.copy(), np.zeros(len(given), np.float64)
         for batch in batches:
             for _, lengths, hashes, endings in tokens(batch.column(0).to_pylist(), tables):
-                _, bucket = buckets(model, hashes, endings)
+                _, bucket = buckets(model, head, hashes, endings)
                 rows, target = features(hashes, lengths), model["class"][bucket]
                 for a in range(0, len(rows), STEP_TOKENS):
                     step(mine, damped, met, rows[a : a + STEP_TOKENS], target[a : a + STEP_TOKENS], rate)
@@ -437,12 +463,13 @@ def score(docs: DataFrame, trained: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, model = word_hash_tables(_SEPARATORS), sent.value
+        head = head_of(model)
         logs = np.log10(np.append(model["n"], 0) + SMOOTH)
         heavy = np.log10(model["mass"])
         for batch in batches:
             counts = [[] for _ in range(5)]
             for _, lengths, hashes, endings in tokens(batch.column(1).to_pylist(), tables):
-                at, bucket = buckets(model, hashes, endings)
+                at, bucket = buckets(model, head, hashes, endings)
                 classes = model["class"][bucket]
                 rows = features(hashes, lengths)
                 part = np.empty(len(rows))

@@ -83,7 +83,7 @@ def test_all_outcomes_together_have_probability_one(trained):
     hashes = np.array([h for _, _, h, _ in M.tokens(["xa0 ye41 xi2"], TABLES)][0])
     p = np.exp(M.log_softmax(M.logits(model["weights"], M.features(hashes, lengths))))
     word = np.array([r.word for r in table]).view(np.uint64)
-    classes = model["class"][M.buckets(model, word, np.array([r.ending for r in table]))[1]]
+    classes = model["class"][M.buckets(model, M.head_of(model), word, np.array([r.ending for r in table]))[1]]
     known = (np.array([r.n for r in table]) + M.SMOOTH) / model["mass"][classes]
     for at in range(4):
         total = (p[at][classes] * known).sum() + (p[at] * model["unseen"] / model["mass"]).sum()
@@ -100,7 +100,7 @@ def test_score_by_definition(trained):
     total, (_, lengths, hashes, endings) = 0.0, next(M.tokens([text], TABLES))
     logp = M.log_softmax(M.logits(model["weights"], M.features(hashes, lengths)))
     for i, (h, e) in enumerate(zip(hashes, endings)):
-        c = model["class"][M.buckets(model, hashes[i : i + 1], endings[i : i + 1])[1][0]]
+        c = model["class"][M.buckets(model, M.head_of(model), hashes[i : i + 1], endings[i : i + 1])[1][0]]
         own = n.get(int(h.view(np.int64)))
         total += logp[i][c] / math.log(10) + math.log10((model["unseen"][c] if own is None else own + 0.1) / model["mass"][c])
     assert scored.score == pytest.approx(total, abs=1e-6) and scored.n_known == 4
@@ -131,3 +131,11 @@ def test_gradient_step_lowers_the_loss():
         M.step(weights, squares, met, rows, target, 0.3)
         loss.append(-M.log_softmax(M.logits(weights, rows))[np.arange(500), target].mean())
     assert loss[-1] < 0.3 * loss[0] and met[0] == 20 * 500
+
+
+def test_head_table_finds_every_word():
+    rng = np.random.default_rng(2)
+    known = np.unique(np.concatenate((rng.integers(0, 2**63, 40_000, dtype=np.uint64) * np.uint64(2), np.arange(1, 50, dtype=np.uint64))))
+    head = M.Head(known)
+    assert (head.places(known) == np.arange(len(known))).all()
+    assert (head.places(known + np.uint64(1))[50:] == -1).all() and (M.Head(known[:0]).places(known) == -1).all()
