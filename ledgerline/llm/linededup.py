@@ -12,9 +12,10 @@ Every line that occurs in several documents links each later one to the first th
 there are as many links as occurrences, however many documents share the line, and none is
 dropped for being common. A pair of documents is aligned with patience diff over the lines they
 share through such links: lines that occur once in both are put into the longest increasing
-sequence, neighbours extend it, what is left is aligned again. Aligned lines that follow each
-other in both documents are a block; blocks of BLOCK_WORDS words or more are deleted from the
-later document, so the earliest occurrence always stays.
+sequence and neighbours extend it; what is left, passages that were moved, is aligned run by run. Aligned
+lines that follow each other in both documents are a block; blocks of BLOCK_WORDS words or more are
+deleted from the later document, so the earliest occurrence always stays. The time for a pair is in
+proportion to its lines, but for a logarithm, in whatever order they are.
 
 The lines of a passage may have their first places in many documents, none of which has the
 passage. So the shortest sequences of repeated lines that have BLOCK_WORDS words, from every line
@@ -23,7 +24,8 @@ they cover every passage of that length, and what an earlier document has of the
 
 Defined results: documents are ordered by id; a document without an id or text is left alone;
 rows with the same id are not compared with each other and get the same cuts where their lines
-are the same; an empty text or table stays empty. Other columns pass as they are.
+are the same; an empty text or table stays empty; a very long text is read whole, piece by piece.
+Other columns pass as they are.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import chain
 from typing import Any
 
 import numpy as np
@@ -261,23 +264,22 @@ def blocks(links: list[dict[str, Any]], passages: list[dict[str, int]] | None =
         # Also lines that come from elsewhere may stand inside a block.
         if sum(words[a] for a in places) < BLOCK_WORDS // 2:
             continue
-        left = dict(places)
-        while left:
-            anchors = sorted((a, left[a]) for a in common.get(first, ()) if a in left) or sorted(left.items())
-            aligned = dict(longest_increasing(anchors))
-            for step in (1, -1):
-                for a in sorted(aligned, reverse=step < 0):
-                    b = aligned[a]
-                    while left.get(a + step) == b + step and a + step not in aligned:
-                        a, b = a + step, b + step
-                        aligned[a] = b
-            for block in _runs(sorted(aligned.items()), words):
-                block = [a for a in block if a not in gone]
-                if sum(words[a] for a in block) >= BLOCK_WORDS:
-                    out.append(block)
-                    gone.update(block)
-            for a in aligned:
-                left.pop(a, None)
+        anchors = sorted((a, places[a]) for a in common.get(first, ()) if a in places) or sorted(places.items())
+        aligned = dict(longest_increasing(anchors))
+        for step in (1, -1):
+            for a in sorted(aligned, reverse=step < 0):
+                b = aligned[a]
+                while places.get(a + step) == b + step and a + step not in aligned:
+                    a, b = a + step, b + step
+                    aligned[a] = b
+        # What does not fit into this order has been moved: each moved passage is a run of its own, on
+        # lines that keep their distance to the first document's.
+        moved = sorted(((a, b) for a, b in places.items() if a not in aligned), key=lambda x: (x[1] - x[0], x[0]))
+        for block in chain(_runs(sorted(aligned.items()), words), _runs(moved, words)):
+            block = [a for a in block if a not in gone]
+            if sum(words[a] for a in block) >= BLOCK_WORDS:
+                out.append(block)
+                gone.update(block)
     _add_passages(out, sorted((x["start"], x["end"]) for x in passages or ()))
     return out
 

@@ -151,3 +151,43 @@ def test_lines_lie_in_order_inside_the_text(text):
     lines = L.lines_of(text)
     assert all(0 <= a < b <= len(text) for a, b, _, _ in lines) and all(x[1] <= y[0] for x, y in zip(lines, lines[1:]))
     assert all(n == len(text[a:b].split()) >= L.LINE_WORDS for a, b, n, _ in lines)
+
+
+def linked(places, words):
+    return [{"at": a, "line": a, "first": 0, "first_at": b, "words": words[a], "once": 1} for a, b in places]
+
+
+def test_blocks_by_brute_force():
+    """Of a pair of documents, every stretch of shared lines in the same distance that has enough words goes,
+    but for lines that a stretch before it took, and nothing else does."""
+    rnd = random.Random(12)
+    for _ in range(300):
+        n = rnd.randint(1, 14)
+        there = list(range(n))
+        for _ in range(rnd.randrange(3)):
+            a, b = sorted(rnd.sample(range(n + 1), 2))
+            there = there[b:] + there[a:b] + there[:a]
+        words = [rnd.randint(3, 9) for _ in range(n)]
+        got = {i for block in L.blocks(linked(enumerate(there), words)) for i in block}
+        want, a = set(), 0
+        while a < n:
+            b = a + 1
+            while b < n and there[b] == there[b - 1] + 1:
+                b += 1
+            if sum(words[a:b]) >= L.BLOCK_WORDS:
+                want.update(range(a, b))
+            a = b
+        assert want <= got
+        # More only as bridges between lines on one distance.
+        for i in got - want:
+            assert any(there[j] - j == there[k] - k and j < k <= j + L.BRIDGE_LINES + 1 and j <= i <= k for j in got for k in got)
+
+
+def test_reversed_lists_take_no_longer_than_sorted_ones():
+    import time
+
+    n = 100_000
+    start = time.monotonic()
+    assert L.blocks(linked(((a, n - 1 - a) for a in range(n)), [4] * n)) == []
+    assert time.monotonic() - start < 30
+    assert sum(map(len, L.blocks(linked(((a, a) for a in range(n)), [4] * n)))) == n
