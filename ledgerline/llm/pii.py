@@ -191,8 +191,13 @@ _BETWEEN = re.compile(r"[\s,./()\-]{1,4}")
 _AS_DIGIT = {"o": "0", "O": "0", "l": "1", "I": "1", "i": "1", "|": "1", "S": "5", "B": "8"}
 _MIXED_NUMBER = re.compile(r"(?<![A-Za-z0-9])(?:(?=[OolIi|SB]{0,24}[0-9])[0-9OolIi|SB]{1,24}|(?<=[0-9][ .-])[OolI]{1,3}(?=[ .-][0-9OolI]))(?![A-Za-z0-9])")
 
-# Endings of names that plain "dot" may lead to.
+# Endings of names that any kind of dot may lead to.
 _ENDINGS = "com|org|net|edu|gov|mil|int|info|biz|io|co|ai|app|dev|me|de|fr|es|uk|us|eu|ch|at|it|nl|be|ca|au|mx|ar|example|test"
+# Words that follow a "dot" in plain prose; any other word of two letters or more behind a spoken dot ends a name.
+_PROSE = (
+    "on|in|of|the|and|or|to|is|was|as|by|an|that|this|for|with|from|under|over|above|below|between|are|were|has|had|which|who|where|when|"
+    "matrix|plot|product|und|der|die|das|im|am|auf|ist|war|von|mit|et|ou|le|la|les|des|du|sur|dans|est|el|los|las|en|con|que|por|para"
+)
 # A run of white space is entered at its first character only, which keeps the time in proportion.
 _GAP = r"(?:(?<!\s)\s++)?"
 _BRACKETED_AT = rf"{_GAP}[\[({{<]\s*(?:at|arroba|@)\s*[\])}}>]\s*"
@@ -201,7 +206,11 @@ _BRACKETED = re.compile(rf"(?P<at>{_BRACKETED_AT})|(?P<dot>{_BRACKETED_DOT})", r
 _JOIN_DOT = r"(?:\.|\s+\.\s+|[\s_-]+(?:dot|punto|punkt|point)[\s_-]+)"
 _JOIN_AT = re.compile(rf"{_GAP}@\s*|(?:(?<![\s_-])|(?<=\s)(?=[_-]))[\s_-]++(?:at|arroba)[\s_-]+", re.IGNORECASE)
 _NAME_BEFORE = re.compile(rf"(?<![A-Za-z0-9%+.])[A-Za-z0-9._%+-]{{1,64}}?(?:{_JOIN_DOT}[A-Za-z0-9%+-]{{1,64}}?){{0,3}}?\Z", re.IGNORECASE)
-_HOST_AFTER = re.compile(rf"[A-Za-z0-9-]{{1,63}}?(?:{_JOIN_DOT}[A-Za-z0-9-]{{1,63}}?){{0,4}}{_JOIN_DOT}(?:{_ENDINGS})(?![A-Za-z0-9])", re.IGNORECASE)
+_SAID_DOT = r"[\s_-]+(?:dot|punto|punkt|point)[\s_-]+"
+_ENDING = rf"(?:{_JOIN_DOT}(?:{_ENDINGS})|{_SAID_DOT}(?!(?:{_PROSE})(?![A-Za-z]))[A-Za-z]{{2,24}})(?![A-Za-z0-9])"
+_LABELS = rf"[A-Za-z0-9-]{{1,63}}?(?:{_JOIN_DOT}[A-Za-z0-9-]{{1,63}}?)"
+# A name goes on while a dot leads to one more ending, as in "example dot co dot nz".
+_HOST_AFTER = re.compile(rf"{_LABELS}{{0,4}}?{_ENDING}(?:{_ENDING}){{0,3}}", re.IGNORECASE)
 _NAME_REACH = 120
 _SPOKEN_DOT = re.compile(r"\s+\.\s+|[\s_-]+(?:dot|punto|punkt|point)[\s_-]+", re.IGNORECASE)
 # What the address transducers cannot do without: a word or sign of _JOIN_DOT or _JOIN_AT, a lone full stop, an "at" that is
@@ -214,7 +223,8 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 def _spoken_numbers(text: str) -> Iterator[tuple[int, int, str]]:
     """Runs of digit words and numbers with at most a short gap in between, as digits without the gaps.
 
-    A run counts from three digit words on. "plus" before it, "dot" inside it and "double" are heard as well.
+    A run counts from three digit words on, or with three spoken dots between numbers. "plus" before
+    it, "dot" inside it and "double" are heard as well.
     """
     run: list[tuple[int, int, str]] = []
     spoken = 0
@@ -222,7 +232,7 @@ def _spoken_numbers(text: str) -> Iterator[tuple[int, int, str]]:
     def flush() -> Iterator[tuple[int, int, str]]:
         while run and run[-1][2] in (".", "x2", "x3", "+"):
             run.pop()
-        if spoken < 3:
+        if spoken < 3 and sum(new == "." for _, _, new in run) < 3:
             return
         times = 1
         for k, (start, end, new) in enumerate(run):
@@ -278,8 +288,9 @@ def _plain_addresses(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 def _is_spoken(lower: str) -> bool:
-    """Whether there are three digit words, without which no run counts."""
-    return sum(map(_DIGIT_WORDS.__contains__, _LETTERS.findall(lower))) >= 3
+    """Whether there are three digit words or three spoken dots, without which no run counts."""
+    words = _LETTERS.findall(lower)
+    return sum(map(_DIGIT_WORDS.__contains__, words)) >= 3 or sum(map(_DOTS.__contains__, words)) >= 3
 
 
 def _is_address(text: str, lower: str) -> bool:

@@ -48,6 +48,10 @@ DISGUISED = [
     ("email", "to ", "first_dot_last_at_example_dot_net", ", thanks"),
     ("email", "ask ", "KIM AT EXAMPLE DOT ORG", ""),
     ("email", "schreib an ", "max arroba ejemplo punto es", ""),
+    ("email", "write to ", "jane at firma dot pl", " today"),
+    ("email", "", "bob at startup dot xyz", "."),
+    ("email", "to ", "jane at example dot co dot nz", ", please"),
+    ("ip", "host ", "192 dot 168 dot 1 dot 10", " is down"),
     ("phone", "call ", "plus four nine one five one two three four five six seven", " today"),
     ("phone", "tel ", "＋１ ５５５ １２３ ４５６７", ""),
     ("phone", "tel ", "+1 five five five, 1 2 3 4 five six seven", " ok"),
@@ -69,6 +73,7 @@ def test_disguises_are_found_at_their_place(kind, before, hidden, after):
 
 @pytest.mark.parametrize("text", [
     "Meet me at example.com today", "Look at this dot on the wall", "One or two of three or four were left at the point.",
+    "Stand at the dot in the middle and at each point of the line", "We met at one point under the bridge", "Chapter 3 point 4 says so",
     "un deux trois, nous irons au bois", "The period dot matrix at noon", "Version 1.2.3 came out in 2019-10-11", "α + β = γ at best",
 ])
 def test_clean_text_is_left_alone(text):
@@ -125,3 +130,20 @@ def test_redact(spark):
     left = {r.doc_id: r for r in P.redact(docs).collect()}
     assert left[0].text == "é [email], [ip] ([email])" and left[0].n_chars == len(left[0].text)
     assert left[1].text is None and left[2].text == "clean" and P.redact(docs).columns == docs.columns
+
+
+def test_recall_on_planted_addresses():
+    """Spoken addresses under endings of any kind, in sentences: nearly all are found, where they stand."""
+    rnd = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def name(a, b):
+        return "".join(rnd.choice(letters) for _ in range(rnd.randint(a, b)))
+
+    found, n = 0, 400
+    for _ in range(n):
+        ending = name(3, 6)
+        hidden = rnd.choice(["{} at {} dot {}", "{}(at){}(dot){}", "{} [at] {} [dot] {}", "{} AT {} DOT {}", "{}_at_{}_dot_{}"]).format(name(4, 9), name(4, 9), ending)
+        text = f"Send it to {hidden}, please."
+        found += P.spans_of(text, NORMAL)[1]["email"] == [(11, 11 + len(hidden))]
+    assert found >= 0.97 * n
