@@ -15,6 +15,8 @@ from ledgerline.schemas import Contract
 from ledgerline.session import is_missing
 
 _RAW_LINE = "_raw_line"
+# Lines of one record; beyond, its quote counts as never closed.
+MOST_LINES = 10_000
 # A whole quoted cell, whose commas do not separate; the start of one that stays open; the end of one.
 _QUOTED = r'"(?:[^"]|"")*+"'
 _CELL = rf"(^|,){_QUOTED}"
@@ -73,26 +75,42 @@ def _with_state(lines: DataFrame) -> DataFrame:
     return _carried(started, ["file", "split"], "at", F.col("_start")).drop("_start")
 
 
-def _records(lines: DataFrame) -> DataFrame:
+def _named(parts: DataFrame) -> DataFrame:
+    """Lines of records that span lines, with ``record``, the place of the record's first line: found
+    in a line's own split, else the last one of the splits before it."""
+    opens = F.when(~F.col("inside"), F.col("at"))
+    in_split = Window.partitionBy("file", "split").orderBy("at")
+    along = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per split.
+    splits = parts.groupBy("file", "split").agg(F.max(opens).alias("opened"))
+    carried = splits.select("file", "split", F.last("opened", True).over(along).alias("earlier"))
+    own = parts.withColumn("own", F.last(opens, True).over(in_split))
+    return own.join(carried, ["file", "split"]).withColumn("record", F.coalesce("own", "earlier")).drop("own", "earlier")
+
+
+def _records(lines: DataFrame, most: int = MOST_LINES) -> DataFrame:
     """(file, value, unclosed): records, those of several lines put together.
 
     If a file ends inside quotes, the line that opens them is reported and what follows it is
-    taken line by line, so one stray quote does not swallow the rest.
+    taken line by line, so one stray quote does not swallow the rest; such lines are found by one
+    place per file and never gathered. A record of more than ``most`` lines is treated alike.
     """
     stated = _with_state(lines).withColumn("after", F.when(F.col("inside"), F.col("inn")).otherwise(F.col("out")))
-    alone = stated.where("NOT inside AND NOT after").select("file", "value", F.lit(False).alias("unclosed"))
-    parts = stated.where("inside OR after")
-    # A record is named by the place of its first line, found among the few lines of such records.
-    along = Window.partitionBy("file").orderBy("split", "at")
-    named = parts.withColumn("record", F.last(F.when(~F.col("inside"), F.col("at")), True).over(along))
-    grouped = named.groupBy("file", "record").agg(
-        F.sort_array(F.collect_list(F.struct("split", "at", "value", "after"))).alias("lines")
-    )
+    place = F.struct("split", "at")
+    ends = stated.groupBy("file").agg(F.max_by("after", place).alias("torn"), F.max(F.when(~F.col("inside"), place)).alias("opener"))
+    # One row per file, as in the file listing.
+    stated = stated.join(F.broadcast(ends), "file").withColumn("lost", F.col("torn") & (place >= F.col("opener")))
+    alone = stated.where("NOT lost AND NOT inside AND NOT after").select("file", "value", F.lit(False).alias("unclosed"))
+    torn = stated.where("lost").select("file", "value", (place == F.col("opener")).alias("unclosed"))
+    named = _named(stated.where("NOT lost AND (inside OR after)").drop("torn", "opener", "lost"))
+    sizes = named.groupBy("file", "record").agg((F.count("*") > most).alias("long"))
+    named = named.join(sizes, ["file", "record"])
+    # At most ``most`` lines each.
+    grouped = named.where("NOT long").groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("split", "at", "value"))).alias("lines"))
     whole = F.array_join(F.transform("lines", lambda x: x["value"]), "\n")
-    closed = grouped.where(~F.element_at("lines", -1)["after"]).select("file", whole.alias("value"), F.lit(False).alias("unclosed"))
-    torn = grouped.where(F.element_at("lines", -1)["after"]).select("file", F.posexplode("lines").alias("i", "line"))
-    single = torn.select("file", F.col("line.value").alias("value"), (F.col("i") == 0).alias("unclosed"))
-    return alone.unionByName(closed).unionByName(single)
+    closed = grouped.select("file", whole.alias("value"), F.lit(False).alias("unclosed"))
+    endless = named.where("long").select("file", "value", (F.col("at") == F.col("record")).alias("unclosed"))
+    return alone.unionByName(torn).unionByName(closed).unionByName(endless)
 
 
 def read_drop(spark: SparkSession, path: str | list[str], contract: Contract) -> DataFrame:

@@ -1,5 +1,8 @@
+import pytest
+
 from ledgerline.operators import contract
 from ledgerline.schemas import ANSWER_KEY, CONTRACTS
+from ledgerline.sources import csv_files
 from ledgerline.sources.csv_files import read_drop, read_seed, write_seed
 
 HEADER = "txn_id,order_id,gateway_status,amount,event_time,event_type\n"
@@ -88,6 +91,37 @@ def test_an_unclosed_quote_costs_its_own_row(spark, tmp_path):
     assert len(got) == 50 and {k: v for k, v in got.items() if v} == {"T20": "quote is never closed"}
 
 
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_lines_behind_an_open_quote_are_not_gathered(spark, tmp_path, small_splits):
+    """Records over several lines before the open quote, and very many lines behind it, in many splits."""
+    lines = [f'T{i},O{i},success,5.00,2026-09-01,"a\n{i}"' if i < 30 and i % 3 == 0 else f"T{i},O{i},success,5.00,2026-09-01,p" for i in range(2000)]
+    lines[40] = 'T40,O40,success,5.00,2026-09-01,"p'
+    df = drop(spark, tmp_path, HEADER + "\n".join(lines) + "\n")
+    assert {k: v for k, v in reasons(df).items() if v} == {"T40": "quote is never closed"}
+    rows = {r.txn_id: r.event_type for r in df.collect()}
+    assert len(rows) == 2000 and rows["T27"] == "a\n27" and rows["T41"] == "p"
+    body = csv_files._lines(spark, str(tmp_path / "gateway.csv")).where("value NOT LIKE 'txn_id%'")
+    parts = csv_files._records(body)
+    assert parts.count() == 2000 and parts.where("unclosed").count() == 1
+
+
+def test_a_record_of_too_many_lines(spark, tmp_path):
+    text = 'T1,O1,success,5.00,2026-09-01,"one\ntwo"\nT2,O2,success,5.00,2026-09-01,"' + "x\n" * 30 + '"\n' + GOOD.replace("T1", "T3")
+    (tmp_path / "gateway.csv").write_text(text)
+    lines = csv_files._lines(spark, str(tmp_path / "gateway.csv"))
+    rows = csv_files._records(lines, most=5).collect()
+    assert sorted(r.value.split(",")[0] for r in rows if r.value.startswith("T")) == ["T1", "T2", "T3"]
+    assert [r.value[:2] for r in rows if r.unclosed] == ["T2"] and len(rows) == 2 + 31
+
+
 def test_files_with_headers_of_their_own(spark, tmp_path):
     folder = tmp_path / "drop"
     folder.mkdir()

@@ -83,7 +83,6 @@ def test_days_and_repeats(spark, inputs, tables, dim):
         return df
 
     load(6, poorer)
-    load(6)
     load(8, lambda path, df: df.limit(0))
 
 
