@@ -475,8 +475,10 @@ def score(docs: DataFrame, trained: dict) -> DataFrame:
                 part = np.empty(len(rows))
                 for a in range(0, len(rows), STEP_TOKENS):
                     here = slice(a, a + STEP_TOKENS)
-                    p = log_softmax(logits(model["weights"], rows[here]))
-                    part[here] = p[np.arange(len(p)), classes[here]]
+                    x = logits(model["weights"], rows[here])
+                    x -= x.max(1, keepdims=True)
+                    chosen = x[np.arange(len(x)), classes[here]]
+                    part[here] = chosen - np.log(np.exp(x, out=x).sum(1))
                 known = at >= 0
                 own = np.where(known, logs[at], 0.0)
                 starts = np.cumsum(lengths) - lengths
@@ -500,13 +502,12 @@ def score(docs: DataFrame, trained: dict) -> DataFrame:
     sent.destroy()
     unseen = F.array(*[F.lit(float(x)) for x in np.log10(trained["unseen"])])
     # Frequent words are no longer among these, so no word has more than a small part of the rows.
-    rare = scored.select("row", F.explode("rare").alias("w")).groupBy("row", F.col("w.word").alias("word"), F.col("w.kind").alias("kind")).agg(F.count("*").alias("times"))
+    rare = scored.select("row", F.explode("rare").alias("w")).select("row", F.col("w.word").alias("word"), F.col("w.kind").alias("kind"))
     looked = rare.join(words.select("word", "n"), "word", "left")
     own = F.log10(F.coalesce(F.col("n"), F.lit(0)) + SMOOTH)
     sums = looked.groupBy("row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(own * F.col("times")).alias("more_base"),
-        F.sum(F.when(F.col("n").isNotNull(), own).otherwise(F.element_at(unseen, F.col("kind").cast("int") + 1)) * F.col("times")).alias("more_score"),
+        F.count("n").alias("more_known"), F.sum(own).alias("more_base"),
+        F.sum(F.when(F.col("n").isNotNull(), own).otherwise(F.element_at(unseen, F.col("kind").cast("int") + 1))).alias("more_score"),
     )
     every = float(np.log10(trained["tokens"] + SMOOTH * (trained["types"] + 1)))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
