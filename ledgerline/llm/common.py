@@ -40,6 +40,18 @@ def map_rows(df: DataFrame, each: Callable[[Iterator[dict[str, list]]], Iterator
     return df.mapInArrow(run, schema)
 
 
+def map_arrays(df: DataFrame, each: Callable[[Iterator[pa.RecordBatch]], Iterator[list[pa.Array]]], schema: str) -> DataFrame:
+    """Run ``each`` over a partition's batches, given as they are and returned as arrays in the order of ``schema``."""
+    small_batches(df.sparkSession)
+    arrow = to_arrow_schema(T._parse_datatype_string(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in each(batches):
+            yield pa.RecordBatch.from_arrays([a if a.type == f.type else a.cast(f.type) for a, f in zip(out, arrow)], schema=arrow)
+
+    return df.mapInArrow(run, schema)
+
+
 def map_positions(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[list[pa.Array]]], fields: list[T.StructField]) -> DataFrame:
     """``df`` mapped batch by batch to the columns ``fields``; columns go by place, so any names will do."""
     small_batches(df.sparkSession)

@@ -11,8 +11,8 @@ word in the length of a line.
 Every line that occurs in several documents links each later one to the first that has it, so
 there are as many links as occurrences, however many documents share the line, and none is
 dropped for being common. A pair of documents is aligned with patience diff over the lines they
-share through such links: lines that occur once in both are put into the longest increasing
-sequence and neighbours extend it; what is left, passages that were moved, is aligned run by run. Aligned
+share through such links: where these stand in one order in both, that is the alignment; else lines that
+occur once in both are put into the longest increasing sequence and neighbours extend it; what is left, passages that were moved, is aligned run by run. Aligned
 lines that follow each other in both documents are a block; blocks of BLOCK_WORDS words or more are
 deleted from the later document, so the earliest occurrence always stays. The time for a pair is in
 proportion to its lines, but for a logarithm, in whatever order they are.
@@ -32,16 +32,16 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import chain, pairwise
 from typing import Any
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import fresh, map_rows, mix, quoted, rewrite_text
+from ledgerline.llm.common import fresh, map_arrays, mix, quoted, rewrite_text
 from ledgerline.session import materialize
 
 LINE_WORDS = 3
@@ -56,6 +56,7 @@ _UNSPACED = [
 _GAP = re.compile(r"\s+")
 _PIECE = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_ODD), -1, 2**64))
 
 
 def character_table() -> np.ndarray:
@@ -111,12 +112,51 @@ def _pieces(text: str) -> Iterator[tuple[int, str]]:
 
 
 def _lines(text: str, table: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Start, words, hash and end of the lines of one text, read piece by piece."""
     parts = [_words(piece, at, table) for at, piece in _pieces(text)] or [_words("", 0, table)]
-    starts, hashes, stops, single = (np.concatenate(x) for x in zip(*parts))
-    n, reach = len(starts), LINE_WORDS - 1
-    if n < LINE_WORDS:
-        none = np.empty(0, np.int64)
-        return none, none, np.empty(0, np.uint64), none
+    words = [np.concatenate(x) for x in zip(*parts)]
+    return _tiled(*words, np.zeros(1, np.int64), np.array([len(text)]))[1:]
+
+
+def lines_of_all(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The number of lines of every text, and start, words, hash and end of all lines, text after text.
+
+    Short texts are cut together, up to _PIECE characters at a time, long ones each by itself.
+    """
+    found, group, size = [], [], 0
+
+    def together() -> None:
+        lengths = np.array([len(t) for t in group], np.int64)
+        offsets = np.cumsum(lengths + 1) - lengths - 1
+        found.append(_tiled(*_words("\n".join(group), 0, table), offsets, lengths))
+
+    for text in texts:
+        if group and size + len(text) > _PIECE:
+            together()
+            group, size = [], 0
+        if len(text) > _PIECE:
+            alone = _lines(text, table)
+            found.append((np.array([len(alone[0])]), *alone))
+        else:
+            group.append(text)
+            size += len(text) + 1
+    if group or not found:
+        together()
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _tiled(
+    starts: np.ndarray, hashes: np.ndarray, stops: np.ndarray, single: np.ndarray, offsets: np.ndarray, lengths: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """Lines made of the words of texts that begin at ``offsets``: their number in each text, and
+    start and end within it, words and hash of each."""
+    none = np.empty(0, np.int64)
+    if not len(starts):
+        return np.zeros(len(offsets), np.int64), none, none, np.empty(0, np.uint64), none
+    reach = LINE_WORDS - 1
+    doc = np.searchsorted(offsets, starts, side="right") - 1
+    many = np.bincount(doc, minlength=len(offsets))
+    inside = np.arange(len(starts)) - (np.cumsum(many) - many)[doc]
     half = np.uint64(1 << 63)
     never = np.uint64(2**64 - 1)
     key = np.where(stops, hashes >> np.uint64(1), np.where(hashes % np.uint64(CUT_EVERY) == 0, hashes >> np.uint64(1) | half, never))
@@ -124,36 +164,54 @@ def _lines(text: str, table: np.ndarray) -> tuple[np.ndarray, ...]:
     for k in range(1, reach + 1):
         cut[k:] &= key[k:] < key[:-k]
         cut[:-k] &= key[:-k] <= key[k:]
-    # The first and the last line are no shorter than others.
-    cut[:reach] = False
-    cut[n - LINE_WORDS :] = False
-    first = np.concatenate(([0], np.flatnonzero(cut) + 1))
-    sizes = np.diff(first, append=n)
-    place = np.arange(n, dtype=np.uint64) - np.repeat(first, sizes).astype(np.uint64)
+    # The first and the last line are no shorter than others. So words of two texts are never weighed against each other.
+    cut &= (inside >= reach) & (inside < many[doc] - LINE_WORDS)
+    begins = inside == 0
+    begins[1:] |= cut[:-1]
+    first = np.flatnonzero(begins)
+    sizes = np.diff(first, append=len(starts))
+    place = np.arange(len(starts), dtype=np.uint64) - np.repeat(first, sizes).astype(np.uint64)
     found = mix(np.add.reduceat(mix(hashes + place * _ODD), first))
     halves = np.add.reduceat(single, first, dtype=np.int64)
-    ends = np.append(starts[first[1:]], len(text))
-    return starts[first], sizes - halves + halves // 2, found, ends
+    of = doc[first]
+    ends = np.append(starts[first[1:]], 0)
+    last = np.append(of[1:] != of[:-1], True)
+    ends[last] = (offsets + lengths)[of[last]]
+    kept = many[of] >= LINE_WORDS
+    lines = (starts[first] - offsets[of], sizes - halves + halves // 2, found, ends - offsets[of])
+    return np.bincount(of[kept], minlength=len(offsets)), *(x[kept] for x in lines)
 
 
 def line_hashes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: id, hashes of its lines, and for each its number of words, doubled, plus 1
     if the line occurs once in the document."""
 
-    def each(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, Any]]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         table = character_table()
         for batch in batches:
-            hashes, notes = [], []
-            for doc in batch["text"]:
-                _, sizes, own, _ = _lines(doc or "", table)
-                _, which, counts = np.unique(own, return_inverse=True, return_counts=True)
-                hashes.append(own.view(np.int64))
-                notes.append((2 * sizes + (counts[which] == 1)).astype(np.int32))
-            yield {"id": batch["id"], "hashes": hashes, "notes": notes}
+            counts, _, sizes, own, _ = lines_of_all([t or "" for t in batch.column("text").to_pylist()], table)
+            doc = np.repeat(np.arange(len(counts)), counts)
+            order = np.lexsort((own, doc))
+            same = (own[order[1:]] == own[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
+            once = np.ones(len(own), np.int64)
+            once[order[1:][same]] = 0
+            once[order[:-1][same]] = 0
+            yield [batch.column("id"), _lists(counts, own.view(np.int64)), _lists(counts, (2 * sizes + once).astype(np.int32))]
 
     kind = docs.schema[key].dataType.simpleString()
     given = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
-    return map_rows(given, each, f"id {kind}, hashes array<long>, notes array<int>")
+    return map_arrays(given, each, f"id {kind}, hashes array<long>, notes array<int>")
+
+
+def _lists(counts: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(values))
+
+
+def _columns(lists: pa.ListArray) -> tuple[np.ndarray, list[pa.Array]]:
+    """Of a column of arrays of structs: the row of every element, and the fields of all elements."""
+    counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(lists)), counts), lists.flatten().flatten()
 
 
 def shared_lines(lines: DataFrame) -> DataFrame:
@@ -179,51 +237,56 @@ def shared_lines(lines: DataFrame) -> DataFrame:
     return links.join(earlier_passages(found), "id", "left")
 
 
+def _spans(doc: np.ndarray, at: np.ndarray, line: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, ...]:
+    """First line, line behind the last, and hash, of the shortest sequences of neighbouring lines with
+    BLOCK_WORDS words that begin or end with each line; lines are given by document and place, in order."""
+    n = len(at)
+    if not n:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    breaks = np.flatnonzero((doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1)) + 1
+    runs = np.concatenate(([0], breaks))
+    sizes = np.diff(runs, append=n)
+    run_start, run_end = np.repeat(runs, sizes), np.repeat(runs + sizes, sizes)
+    total = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
+    here = np.arange(n)
+    end = np.searchsorted(total, total[:-1] + BLOCK_WORDS)
+    start = np.searchsorted(total, total[1:] - BLOCK_WORDS, side="right") - 1
+    on, back = end <= run_end, start >= run_start
+    both = np.unique(np.concatenate((here[on] * (n + 1) + end[on], start[back] * (n + 1) + here[back] + 1)))
+    i, j = both // (n + 1), both % (n + 1)
+    # Sums of the lines' hashes times powers of an odd number; those of the lines before are taken off again.
+    powers = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, _ODD))))
+    inverses = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, _INVERSE))))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(line.view(np.uint64) + _ODD) * powers)))
+    hashes = mix((sums[j] - sums[i]) * inverses[i] + (j - i).astype(np.uint64))
+    return i, j, hashes.view(np.int64)
+
+
 def sequences(lines: list[dict[str, int]]) -> Iterator[tuple[int, int, int]]:
     """(start, end, hash) of the shortest sequences of neighbouring lines with BLOCK_WORDS words that
     begin or end with each line. Any longer sequence of lines is covered by those inside it."""
-    at = 0
-    while at < len(lines):
-        end = at + 1
-        while end < len(lines) and lines[end]["at"] == lines[end - 1]["at"] + 1:
-            end += 1
-        spans, j, n = set(), at, 0
-        for i in range(at, end):
-            while j < end and n < BLOCK_WORDS:
-                n += lines[j]["words"]
-                j += 1
-            if n < BLOCK_WORDS:
-                break
-            spans.add((i, j))
-            n -= lines[i]["words"]
-        i, n = at, 0
-        for j in range(at, end):
-            n += lines[j]["words"]
-            while n - lines[i]["words"] >= BLOCK_WORDS:
-                n -= lines[i]["words"]
-                i += 1
-            if n >= BLOCK_WORDS:
-                spans.add((i, j + 1))
-        hashes = np.array([x["line"] for x in lines[at:end]], np.int64)
-        for i, j in spans:
-            digest = xxhash.xxh3_64_intdigest(hashes[i - at : j - at].tobytes())
-            yield lines[i]["at"], lines[j - 1]["at"] + 1, digest - (1 << 63)
-        at = end
+    at, line, words = (np.array([x[name] for x in lines], np.int64) for name in ("at", "line", "words"))
+    i, j, hashes = _spans(np.zeros_like(at), at, line, words)
+    yield from zip(at[i].tolist(), (at[j - 1] + 1).tolist(), hashes.tolist())
 
 
 def earlier_passages(found: DataFrame) -> DataFrame:
     """(id, passages): the sequences of repeated lines that a document with a lower id has as well."""
 
-    def each(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, Any]]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
-            rows = [(doc, *x) for doc, lines in zip(batch["id"], batch["lines"]) for x in sequences(lines)]
-            yield {n: [x[i] for x in rows] for i, n in enumerate(("id", "start", "end", "passage"))}
+            doc, fields = _columns(batch.column("lines"))
+            at, line, words = (x.to_numpy().astype(np.int64) for x in fields)
+            order = np.lexsort((at, doc))
+            doc, at = doc[order], at[order]
+            i, j, hashes = _spans(doc, at, line[order], words[order])
+            yield [batch.column("id").take(pa.array(doc[i])), pa.array(at[i]), pa.array(at[j - 1] + 1), pa.array(hashes)]
 
     # By row: rows with the same id are texts of their own.
     line = F.struct("at", "line", F.shiftright("note", 1).alias("words"))
-    by_row = found.groupBy("row", "id").agg(F.sort_array(F.collect_list(line)).alias("lines")).drop("row")
+    by_row = found.groupBy("row", "id").agg(F.collect_list(line).alias("lines")).drop("row")
     kind = found.schema["id"].dataType.simpleString()
-    placed = materialize(map_rows(by_row, each, f"id {kind}, start int, end int, passage long"), "passages")
+    placed = materialize(map_arrays(by_row, each, f"id {kind}, start int, end int, passage long"), "passages")
     repeated = placed.groupBy("passage").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
     later = placed.join(materialize(repeated, "repeated-passages"), "passage").where("id > first")
     return later.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("passages"))
@@ -262,28 +325,110 @@ def blocks(links: list[dict[str, Any]], passages: list[dict[str, int]] | None =
     gone: set[int] = set()
     for first, places in by_first.items():
         # Also lines that come from elsewhere may stand inside a block.
-        if sum(words[a] for a in places) < BLOCK_WORDS // 2:
-            continue
-        anchors = sorted((a, places[a]) for a in common.get(first, ()) if a in places) or sorted(places.items())
-        aligned = dict(longest_increasing(anchors))
-        for step in (1, -1):
-            for a in sorted(aligned, reverse=step < 0):
-                b = aligned[a]
-                while places.get(a + step) == b + step and a + step not in aligned:
-                    a, b = a + step, b + step
-                    aligned[a] = b
-        # What does not fit into this order has been moved: each moved passage is a run of its own, on
-        # lines that keep their distance to the first document's.
-        moved = sorted(((a, b) for a, b in places.items() if a not in aligned), key=lambda x: (x[1] - x[0], x[0]))
-        for block in chain(_runs(sorted(aligned.items()), words), _runs(moved, words)):
-            block = [a for a in block if a not in gone]
-            if sum(words[a] for a in block) >= BLOCK_WORDS:
-                out.append(block)
-                gone.update(block)
+        if sum(words[a] for a in places) >= BLOCK_WORDS // 2:
+            _take(out, gone, _long(_aligned(places, common.get(first, set()), words), words))
     _add_passages(out, sorted((x["start"], x["end"]) for x in passages or ()))
     return out
 
 
+def _aligned(places: dict[int, int], common: set[int], words: dict[int, int]) -> Iterator[list[int]]:
+    """Runs of lines of a document that are aligned with one earlier document: patience diff over ``places``
+    (line there by line here), ``common`` being the lines that occur once in both."""
+    ordered = sorted(places.items())
+    if all(x[1] < y[1] for x, y in pairwise(ordered)):
+        return _runs(ordered, words)
+    anchors = sorted((a, places[a]) for a in common if a in places) or ordered
+    aligned = dict(longest_increasing(anchors))
+    for step in (1, -1):
+        for a in sorted(aligned, reverse=step < 0):
+            b = aligned[a]
+            while places.get(a + step) == b + step and a + step not in aligned:
+                a, b = a + step, b + step
+                aligned[a] = b
+    # What does not fit into this order has been moved: each moved passage is a run of its own, on
+    # lines that keep their distance to the first document's.
+    moved = sorted(((a, b) for a, b in places.items() if a not in aligned), key=lambda x: (x[1] - x[0], x[0]))
+    return chain(_runs(sorted(aligned.items()), words), _runs(moved, words))
+
+
+def _long(runs: Iterator[list[int]], words: dict[int, int]) -> Iterator[list[int]]:
+    return (run for run in runs if sum(words[a] for a in run) >= BLOCK_WORDS)
+
+
+def _take(out: list[list[int]], gone: set[int], runs: Iterable[list[int]]) -> None:
+    """Add the runs as blocks. Two of them may hold the same bridge, which then belongs to the first."""
+    for run in runs:
+        if block := [a for a in run if a not in gone]:
+            out.append(block)
+            gone.update(block)
+
+
+class Links:
+    """The links of a batch of documents, sorted by document and place."""
+
+    def __init__(self, lists: pa.ListArray):
+        doc, fields = _columns(lists)
+        at, line, first, there, words, once = fields
+        at = at.to_numpy().astype(np.int64)
+        order = np.lexsort((at, doc))
+        self.doc, self.at = doc[order], at[order]
+        self.line, self.there, self.words, self.once = (x.to_numpy()[order].astype(np.int64) for x in (line, there, words, once))
+        self.first = first.dictionary_encode().indices.to_numpy()[order].astype(np.int64)
+        self.bounds = np.searchsorted(self.doc, np.arange(len(lists) + 1))
+        # Rows of a repeated id may have several lines in one place.
+        twice = (self.doc[1:] == self.doc[:-1]) & (self.at[1:] == self.at[:-1])
+        self.repeated = set(self.doc[1:][twice].tolist())
+
+    def of(self, doc: int) -> list[dict[str, int]]:
+        here = slice(self.bounds[doc], self.bounds[doc + 1])
+        columns = {"at": self.at, "first": self.first, "first_at": self.there, "words": self.words, "once": self.once}
+        return [dict(zip(columns, x)) for x in zip(*(c[here].tolist() for c in columns.values()))]
+
+    def blocks(self) -> dict[int, list[list[int]]]:
+        """Blocks by document, as ``blocks`` finds them. Pairs of documents whose shared lines stand in the same order in
+        both are their own longest increasing sequence, and their runs are found for all of them at once."""
+        if not len(self.at):
+            return {}
+        order = np.lexsort((self.first, self.doc))
+        doc, first, at, there = self.doc[order], self.first[order], self.at[order], self.there[order]
+        new = np.append(True, (doc[1:] != doc[:-1]) | (first[1:] != first[:-1]))
+        starts = np.flatnonzero(new)
+        pair = np.cumsum(new) - 1
+        enough = np.add.reduceat(self.words[order], starts) >= BLOCK_WORDS // 2
+        climbs = np.append(True, there[1:] > there[:-1]) | new
+        sorted_ = np.logical_and.reduceat(climbs, starts)
+        if self.repeated:
+            enough &= ~np.isin(doc[starts], list(self.repeated))
+        out: dict[int, list[list[int]]] = {}
+        gone: dict[int, set[int]] = {}
+
+        # Lines whose places differ by the same in both documents, with at most BRIDGE_LINES others, all of them linked, between.
+        gap = np.diff(at)
+        joins = ~new[1:] & (gap == np.diff(there)) & (gap <= BRIDGE_LINES + 1) & (np.diff(order) == gap)
+        runs = np.flatnonzero(np.append(True, ~joins))
+        ends = np.append(runs[1:], len(at)) - 1
+        total = np.concatenate(([0], np.cumsum(self.words)))
+        size = total[order[ends] + 1] - total[order[runs]]
+        good = (size >= BLOCK_WORDS) & enough[pair[runs]] & sorted_[pair[runs]]
+        for d, a, b in zip(doc[runs[good]].tolist(), at[runs[good]].tolist(), at[ends[good]].tolist()):
+            _take(out.setdefault(d, []), gone.setdefault(d, set()), [list(range(a, b + 1))])
+
+        known: dict[int, dict[int, int]] = {}
+        for p in np.flatnonzero(enough & ~sorted_).tolist():
+            here = order[starts[p] : starts[p + 1] if p + 1 < len(starts) else len(order)]
+            d = int(self.doc[here[0]])
+            if d not in known:
+                mine = slice(self.bounds[d], self.bounds[d + 1])
+                known[d] = dict(zip(self.at[mine].tolist(), self.words[mine].tolist()))
+            places = dict(zip(self.at[here].tolist(), self.there[here].tolist()))
+            common = set(self.at[here[self.once[here] == 1]].tolist())
+            runs_ = _long(_aligned(places, common, known[d]), known[d])
+            _take(out.setdefault(d, []), gone.setdefault(d, set()), runs_)
+        for d in self.repeated:
+            out[d] = blocks(self.of(d))
+        return out
+
+
 def _add_passages(out: list[list[int]], spans: list[tuple[int, int]]) -> None:
     """Add the lines of the spans to the blocks that they overlap, or as blocks of their own."""
     owner = {a: block for block in out for a in block}
@@ -321,39 +466,66 @@ def _runs(aligned: list[tuple[int, int]], words: dict[int, int]) -> Iterator[lis
         yield run
 
 
+def _merged(passages: pa.ListArray) -> dict[int, list[tuple[int, int]]]:
+    """By document: its passages, those that overlap as one."""
+    doc, fields = _columns(passages)
+    if not len(doc):
+        return {}
+    start, end = (x.to_numpy().astype(np.int64) for x in fields)
+    order = np.lexsort((start, doc))
+    doc, start, end = doc[order], start[order], end[order]
+    far = doc * (int(end.max()) + 1)
+    reach = np.maximum.accumulate(end + far)
+    first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (start[1:] + far[1:] >= reach[:-1])))
+    last = np.maximum.reduceat(end, first)
+    out: dict[int, list[tuple[int, int]]] = {}
+    for d, a, b in zip(doc[first].tolist(), start[first].tolist(), last.tolist()):
+        out.setdefault(d, []).append((a, b))
+    return out
+
+
 def cuts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, blocks): the lines to delete by document, as arrays of (at, line)."""
+    """(id, at, line, blocks): place and hash of the lines to delete by document, and in how many blocks they stand."""
     lines = line_hashes(docs, key, text).withColumn("row", F.monotonically_increasing_id())
     linked = shared_lines(materialize(lines, "lines"))
 
-    def each(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, Any]]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
-            ids, found = [], []
-            for doc, links, passages in zip(batch["id"], batch["links"], batch["passages"]):
-                line = {x["at"]: x["line"] for x in links}
-                if got := blocks(links, passages):
-                    ids.append(doc)
-                    found.append([[{"at": a, "line": line[a]} for a in block if a in line] for block in got])
-            yield {"id": ids, "blocks": found}
+            links = Links(batch.column("links"))
+            found, passages = links.blocks(), _merged(batch.column("passages"))
+            docs_, counts, number, places = [], [], [], []
+            for d in sorted(found.keys() | passages.keys()):
+                got = found.get(d, [])
+                _add_passages(got, passages.get(d, []))
+                lo, hi = links.bounds[d], links.bounds[d + 1]
+                gone = np.isin(links.at[lo:hi], [a for block in got for a in block])
+                if gone.any():
+                    docs_.append(d)
+                    number.append(sum(map(bool, got)))
+                    places.append(lo + np.flatnonzero(gone))
+                    counts.append(len(places[-1]))
+            where = np.concatenate(places) if places else np.empty(0, np.int64)
+            sizes = np.array(counts, np.int64)
+            yield [
+                batch.column("id").take(pa.array(docs_, pa.int64())), _lists(sizes, links.at[where].astype(np.int32)),
+                _lists(sizes, links.line[where]), pa.array(number, pa.int32()),
+            ]
 
     kind = docs.schema[key].dataType.simpleString()
-    return map_rows(linked, each, f"id {kind}, blocks array<array<struct<at: int, line: long>>>")
-
-
-def without_blocks(text: str, found: list[list[dict[str, int]]], table: np.ndarray | None = None) -> str:
-    """The text without the blocks, where its lines are still those that were found."""
-    lines = lines_of(text, table)
-    spans = []
-    for block in found:
-        here = [
-            x["at"] for x in block
-            if x["at"] < len(lines) and np.uint64(lines[x["at"]][3]) == np.int64(x["line"]).view(np.uint64)
-        ]
-        spans += [lines[at][:2] for at in here]
+    return map_arrays(linked, each, f"id {kind}, at array<int>, line array<long>, blocks int")
+
+
+def without_lines(text: str, at: list[int], line: list[int], table: np.ndarray) -> str:
+    """The text without the lines in the places ``at``, where they are still those that were found."""
+    starts, _, hashes, ends = _lines(text, table)
+    places, found = np.array(at, np.int64), np.array(line, np.int64).view(np.uint64)
+    there = places < len(starts)
+    places, found = places[there], found[there]
+    places = np.unique(places[hashes[places] == found])
     kept, end = [], 0
-    for a, b in sorted(spans):
+    for a, b in zip(starts[places].tolist(), ends[places].tolist()):
         kept.append(text[end:a])
-        end = max(end, b)
+        end = b
     return "".join([*kept, text[end:]])
 
 
@@ -362,23 +534,23 @@ def dedup(docs: DataFrame, key: str = "doc_id", note: str | None = None, drop_em
 
     A document of which no word is left goes if ``drop_empty``.
     """
-    id_, found = fresh(docs, "cut_id", "cut_blocks")
-    by_doc = cuts(docs, key).withColumnsRenamed({"id": id_, "blocks": found})
+    id_, at, line, number = fresh(docs, "cut_id", "cut_at", "cut_line", "cut_blocks")
+    by_doc = cuts(docs, key).withColumnsRenamed({"id": id_, "at": at, "line": line, "blocks": number})
     known = docs.where(quoted(key).isNotNull())
     joined = known.join(by_doc, quoted(key) == F.col(id_), "left").drop(id_)
     alone = docs.where(quoted(key).isNull())
     if note:
-        joined = joined.withColumn(note, F.coalesce(F.size(found), F.lit(0)))
+        joined = joined.withColumn(note, F.coalesce(F.col(number), F.lit(0)))
         alone = alone.withColumn(note, F.lit(0))
 
     held: list[np.ndarray] = []
 
-    def rewrite(text: str, blocks_: list | None) -> str | None:
-        if not blocks_:
+    def rewrite(text: str, places: list[int] | None, hashes: list[int] | None) -> str | None:
+        if not places:
             return text
         if not held:
             held.append(character_table())
-        left = without_blocks(text, blocks_, held[0])
+        left = without_lines(text, places, hashes, held[0])
         return left if left.strip() or not drop_empty else None
 
-    return rewrite_text(joined, [found], rewrite, drop_none=drop_empty).unionByName(alone)
+    return rewrite_text(joined.drop(number), [at, line], rewrite, drop_none=drop_empty).unionByName(alone)

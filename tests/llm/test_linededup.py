@@ -191,3 +191,56 @@ def test_reversed_lists_take_no_longer_than_sorted_ones():
     assert L.blocks(linked(((a, n - 1 - a) for a in range(n)), [4] * n)) == []
     assert time.monotonic() - start < 30
     assert sum(map(len, L.blocks(linked(((a, a) for a in range(n)), [4] * n)))) == n
+
+
+def test_lines_of_many_texts_are_those_of_each(monkeypatch):
+    rnd = random.Random(13)
+    table = L.character_table()
+    for size in (1 << 20, 300):
+        monkeypatch.setattr(L, "_PIECE", size)
+        for _ in range(30):
+            texts = [rnd.choice(["", " ", "a b", "\n", "x", " one two three "]) if rnd.random() < 0.4 else
+                     rnd.choice(["", "\n ", "漢字仮名"]) + sentences(rnd, rnd.randint(1, 6), rnd.randint(1, 12)) + rnd.choice(["", " ", "\n\n"])
+                     for _ in range(rnd.randint(0, 12))]
+            counts, *columns = L.lines_of_all(texts, table)
+            got = list(zip(*(c.tolist() for c in columns)))
+            want = [[(a, n, h, b) for a, b, n, h in L.lines_of(t)] for t in texts]
+            assert counts.tolist() == [len(x) for x in want] and got == [x for t in want for x in t]
+
+
+def test_sequences_are_told_apart_by_their_lines():
+    rnd = random.Random(14)
+    lines = [rnd.randrange(-(2**63), 2**63) for _ in range(6)]
+    seen = {}
+    for _ in range(200):
+        picked = [{"at": i, "line": rnd.choice(lines), "words": rnd.randint(4, 9)} for i in range(12)]
+        for a, b, h in L.sequences(picked):
+            key = tuple(x["line"] for x in picked[a:b])
+            assert seen.setdefault(key, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_blocks_of_a_batch_are_those_of_each_document():
+    """Lines of documents in random places of several earlier ones: all of a batch at once, and one by one."""
+    import pyarrow as pa
+
+    rnd = random.Random(15)
+    kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("at", "line", "first", "first_at", "words", "once")]))
+    for _ in range(60):
+        docs = []
+        for _ in range(rnd.randint(1, 6)):
+            links, there = [], 0
+            for at in range(rnd.randint(0, 40)):
+                if rnd.random() < 0.1:
+                    there = rnd.randrange(50)
+                there += 1
+                if rnd.random() < 0.9:
+                    links.append({"at": at, "line": at, "first": rnd.choice([3, 3, 3, 4]), "first_at": there, "words": rnd.randint(3, 9),
+                                  "once": int(rnd.random() < 0.8)})
+            docs.append(rnd.sample(links, len(links)))
+        got = L.Links(pa.array(docs, kind)).blocks()
+        for d, links in enumerate(docs):
+            ordered = sorted(links, key=lambda x: x["at"])
+            assert sum(map(len, got.get(d, []))) == len({i for b in got.get(d, []) for i in b})
+            one, many = ({i for b in x for i in b} for x in (L.blocks(ordered), got.get(d, [])))
+            assert one == many
