@@ -55,6 +55,8 @@ _UNSPACED = [
 ]
 _GAP = re.compile(r"\s+")
 _PIECE = 1 << 20
+# Short texts are cut together up to so many characters, which fit into a processor's cache.
+_TOGETHER = 1 << 17
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 2**64))
 
@@ -121,7 +123,7 @@ def _lines(text: str, table: np.ndarray) -> tuple[np.ndarray, ...]:
 def lines_of_all(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, ...]:
     """The number of lines of every text, and start, words, hash and end of all lines, text after text.
 
-    Short texts are cut together, up to _PIECE characters at a time, long ones each by itself.
+    Short texts are cut together, up to _TOGETHER characters at a time, long ones each by itself.
     """
     found, group, size = [], [], 0
 
@@ -131,10 +133,10 @@ def lines_of_all(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, ...]:
         found.append(_tiled(*_words("\n".join(group), 0, table), offsets, lengths))
 
     for text in texts:
-        if group and size + len(text) > _PIECE:
+        if group and size + len(text) > _TOGETHER:
             together()
             group, size = [], 0
-        if len(text) > _PIECE:
+        if len(text) > _TOGETHER:
             alone = _lines(text, table)
             found.append((np.array([len(alone[0])]), *alone))
         else:

@@ -198,6 +198,7 @@ def test_lines_of_many_texts_are_those_of_each(monkeypatch):
     table = L.character_table()
     for size in (1 << 20, 300):
         monkeypatch.setattr(L, "_PIECE", size)
+        monkeypatch.setattr(L, "_TOGETHER", size)
         for _ in range(30):
             texts = [rnd.choice(["", " ", "a b", "\n", "x", " one two three "]) if rnd.random() < 0.4 else
                      rnd.choice(["", "\n ", "漢字仮名"]) + sentences(rnd, rnd.randint(1, 6), rnd.randint(1, 12)) + rnd.choice(["", " ", "\n\n"])
