@@ -84,16 +84,22 @@ def relationships(
     return spread_join(child.where(F.col(col).isNotNull()), keys, col, "left_anti", hot=hot)
 
 
-def answer_key_disagreements(fact: DataFrame, answer_key: DataFrame) -> DataFrame:
-    """Orders whose status is not the labelled one. Pass ``matured`` rows to allow for late data."""
+def answer_key_disagreements(fact: DataFrame, answer_key: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Orders whose status is not the labelled one. Pass ``matured`` rows to allow for late data.
+
+    Labels are unique by order. An order id that no order has may hold many payments; their rows are spread.
+    """
     label = F.col("expected_result")
     expected = answer_key.select(
         "order_id", F.when(label == "match", "matched").otherwise(label).alias("expected_status")
     )
+    actual = fact.where(F.col("order_id").isNotNull()).select(
+        "order_id", F.col("reconciliation_status").alias("actual_status"), "txn_id"
+    )
     return (
-        fact.select("order_id", F.col("reconciliation_status").alias("actual_status"))
-        .join(expected, "order_id")
+        spread_join(actual, expected, "order_id", "inner", spread_by="txn_id", hot=hot)
         .where(F.col("actual_status") != F.col("expected_status"))
+        .select("order_id", "actual_status", "expected_status")
     )
 
 

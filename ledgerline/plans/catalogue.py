@@ -17,6 +17,7 @@ from ledgerline.operators.skew import hot_keys
 from ledgerline.plans import fixtures, forward
 from ledgerline.schemas import CONTRACTS
 from ledgerline.session import built_once, materialize, prepare, stored_once, temporary_folder, together
+from ledgerline.sources.csv_files import read_drop
 from ledgerline.sources.extract import orders_incremental_pull
 from ledgerline.sources.tables import Tables
 
@@ -351,6 +352,16 @@ def _validated(name: str) -> Callable[[Inputs], DataFrame]:
     return lambda i: i.checked(name)
 
 
+def _gateway_drop(i: Inputs) -> DataFrame:
+    """The gateway's deliveries as CSV files, read by the drop reader and judged by the contract.
+    A CSV file has one kind of empty cell, which is read as NULL."""
+    delivered = i.stored(fixtures.staged_gateway)
+    folder = temporary_folder(i.spark, "gateway-drop")
+    delivered.withColumn("run_date", F.col("run_date").cast("string")).write.csv(folder, header=True, escape='"')
+    rows = read_drop(i.spark, folder, CONTRACTS["gateway"]).withColumn("run_date", F.col("run_date").cast("date"))
+    return rules.with_reason(rows, CONTRACTS["gateway"]).select(*i.checked("gateway").columns)
+
+
 def _headline(i: Inputs) -> DataFrame:
     i.store(fact=i.fact)
     return marts.headline_metrics(i.fact, rules.run_log_by_day(list(i.all_checked().values())), i.accuracy)
@@ -363,6 +374,7 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "validate_orders": _validated("orders"),
     "validate_gateway": _validated("gateway"),
     "validate_settlements": _validated("settlement"),
+    "ingest_gateway_csv": _gateway_drop,
     "rejects_dead_letter": _dead_letters,
     "rejects_by_reason": lambda i: rules.by_reason(_dead_letters(i)),
     "stg_orders": lambda i: i.orders,
@@ -407,9 +419,11 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "dq_unique": _unique,
     "dq_accepted_values": _accepted,
     "dq_relationships": _relationships,
-    "dq_answer_key": lambda i: quality.answer_key_disagreements(marts.matured(i.fact, i.run_log), i.answer_key),
+    "dq_answer_key": lambda i: quality.answer_key_disagreements(
+        marts.matured(i.fact, i.run_log), i.answer_key, i.hot_orders
+    ),
     "dq_answer_key_planted": lambda i: quality.answer_key_disagreements(
-        marts.matured(i.fact, i.run_log), _misled(i.answer_key)
+        marts.matured(i.fact, i.run_log), _misled(i.answer_key), i.hot_orders
     ),
     "dq_negative_amounts": _negative,
     "dq_volume_anomaly": _volume,

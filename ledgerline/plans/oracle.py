@@ -548,6 +548,11 @@ def _anew() -> dict[str, str]:
             """, "amount"),
         "validate_orders": _sql("SELECT * FROM judged_o", dates="run_date"),
         "validate_gateway": _sql("SELECT * FROM judged_g", dates="run_date"),
+        # An empty cell of a CSV file is read as NULL.
+        "ingest_gateway_csv": _sql("""
+            SELECT * REPLACE (nullif(txn_id, '') AS txn_id, nullif(order_id, '') AS order_id, nullif(event_type, '') AS event_type,
+              nullif(gateway_status, '') AS gateway_status, nullif(amount, '') AS amount, nullif(event_time, '') AS event_time)
+            FROM judged_g""", dates="run_date"),
         "validate_settlements": _sql("SELECT * FROM judged_s", dates="run_date"),
         "rejects_dead_letter": _sql("SELECT * FROM dead", dates="run_date"),
         "rejects_by_reason": _sql("""
