@@ -16,7 +16,7 @@ def test_registered():
     names = entry.queries()
     assert set(queries.queries()) <= set(names) and names["pipeline"] is corpus_pipeline.run
     numbers = sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit())
-    assert numbers == list(range(1, 11)) and set(oracle.oracle_sql()) <= set(queries.queries())
+    assert numbers == list(range(1, 14)) and set(oracle.oracle_sql()) <= set(queries.queries())
 
 
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
@@ -25,7 +25,7 @@ def test_same_as_sql(spark, name):
     import verify
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     df, result = queries.queries()[name](spark, SMALL), con.sql(oracle.oracle_sql()[name])
     assert verify.type_clashes(df, zip(result.columns, result.types)) == [] and sorted(df.columns) == sorted(result.columns)
