@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -60,17 +60,34 @@ def stg_settlements(raw: DataFrame) -> DataFrame:
     return settlements_view(latest_by(raw, "settlement_id", NEWEST_LOAD))
 
 
-def advance_latest(
+def _greater(a: str, b: str, key: str, columns: list[str]) -> Column:
+    """Of two packed rows of a key the one that ``latest_by`` would choose; a missing one is not chosen."""
+    order = [*NEWEST_LOAD, *sorted(set(columns) - set(NEWEST_LOAD) - {key})]
+
+    def rank(row: str) -> Column:
+        # NULLs first in descending order.
+        return F.struct(*[f for c in order for f in (F.col(f"{row}.{c}").isNull(), F.col(f"{row}.{c}"))])
+
+    return F.when(F.col(b).isNull() | (F.col(a).isNotNull() & (rank(a) >= rank(b))), F.col(a)).otherwise(F.col(b))
+
+
+def advanced(
     held: DataFrame, today: DataFrame, earlier: DataFrame, keys: DataFrame, key: str, run_date
 ) -> DataFrame:
-    """Newest row of each of ``keys``, brought forward by a day's load.
+    """(key, old, new, touched) of every row of ``held`` and every one of ``keys``: the newest row so far, only
+    named where it is ``touched`` (one of ``keys``), and the newest brought forward by a day's load.
 
-    ``held`` has the newest rows so far. If the day replaces an earlier load of itself, rows that came
+    ``held`` has one row per key. If the day replaces an earlier load of itself, rows that came
     from that load do not count any more, and ``earlier``, the loads of all other days, says
     what was newest before them; it is read only for keys whose row is lost that way.
     """
-    mine = held.join(keys, key, "left_semi")
     replaced = F.col("run_date").eqNullSafe(F.lit(run_date))
-    candidates = mine.where(~replaced).unionByName(today)
-    lost = mine.where(replaced).select(key)
-    return latest_by(candidates.unionByName(earlier.join(lost, key, "left_semi")), key, NEWEST_LOAD)
+    lost = held.where(replaced).select(key).join(keys, key, "left_semi")
+    fresh = latest_by(today.unionByName(earlier.join(lost, key, "left_semi")), key, NEWEST_LOAD)
+    come = keys.join(fresh.select(key, F.struct(*held.columns).alias("come")), key, "left").withColumn("touched", F.lit(True))
+    met = held.select(key, F.struct(*held.columns).alias("old")).join(come, key, "full")
+    met = met.withColumns({
+        "touched": F.coalesce("touched", F.lit(False)),
+        "stays": F.when(~F.coalesce(F.col("touched"), F.lit(False)) | ~F.col("old.run_date").eqNullSafe(F.lit(run_date)), F.col("old")),
+    })
+    return met.select(key, F.when(F.col("touched"), F.col("old")).alias("old"), _greater("stays", "come", key, held.columns).alias("new"), "touched")

@@ -106,11 +106,11 @@ def rebuild(tables: Tables) -> None:
 
 @dataclass(frozen=True)
 class Step:
-    """What a day does to one table of newest rows: its touched buckets, the keys, (key, old, new) rows of
-    all of them, and of those whose staged row differs."""
+    """What a day does to one table of newest rows: its touched buckets, (key, old, new) rows of all that is in
+    them, of the day's keys, and of those whose staged row differs."""
 
     parts: list[str]
-    keys: DataFrame
+    every: DataFrame
     rows: DataFrame
     changed: DataFrame
 
@@ -132,20 +132,19 @@ def _step(tables: Tables, kept: Latest, run_date: dt.date) -> Step:
     parts = tables.buckets_of(keys, kept.key)
     held = tables.read(kept.table, parts=parts)
     others = [p for p in tables.parts(kept.raw) if p != day] if again else []
-    fresh = staging.advance_latest(held, today, tables.read(kept.raw, parts=others), keys, kept.key, run_date)
-    old = _packed(held.join(keys, kept.key, "left_semi"), kept.key, "old")
-    rows = materialize(keys.join(old, kept.key, "left").join(_packed(fresh, kept.key, "new"), kept.key, "left"), "rows")
+    # The kept rows meet the day once: what comes out of it is both what is stored and what has changed.
+    every = materialize(staging.advanced(held, today, tables.read(kept.raw, parts=others), keys, kept.key, run_date), "rows")
+    rows = every.where("touched").drop("touched")
     # The day of load is not part of what is published further on.
     views = [_packed(kept.view(rows.where(F.col(n).isNotNull()).select(f"{n}.*")).drop("run_date"), kept.key, n) for n in ("old", "new")]
     seen = rows.select(kept.key).join(views[0], kept.key, "left").join(views[1], kept.key, "left")
     changed = materialize(seen.where(~F.col("old").eqNullSafe(F.col("new"))), "changed")
-    return Step(parts, rows.select(kept.key), rows, changed)
+    return Step(parts, every, rows, changed)
 
 
 def _keep(tables: Tables, kept: Latest, step: Step) -> None:
-    untouched = tables.read(kept.table, parts=step.parts).join(step.keys, kept.key, "left_anti")
-    fresh = step.rows.where(F.col("new").isNotNull()).select("new.*")
-    tables.put(kept.table, untouched.unionByName(fresh), tables.bucket(kept.key), step.parts)
+    fresh = step.every.where(F.col("new").isNotNull()).select("new.*")
+    tables.put(kept.table, fresh, tables.bucket(kept.key), step.parts)
 
 
 def _of(changed: DataFrame, *columns: str) -> DataFrame:

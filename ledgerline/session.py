@@ -60,7 +60,7 @@ def stored_once(spark: SparkSession, label: str, build: Callable[[], DataFrame])
                 if not is_missing(error):
                     raise
         df = build()
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression="zstd")
         _complete[path] = df.schema
         return spark.read.schema(df.schema).parquet(path)
 
@@ -88,6 +88,17 @@ def together(*steps: Callable[[], Any]) -> list[Any]:
         return [future.result() for future in [pool.submit(step) for step in steps]]
 
 
+PART_WRITERS = 64
+
+
+def several_writers(spark: SparkSession) -> None:
+    """Let a task keep a file open for each of some parts, so that it need not sort its rows by part; rows of
+    parts beyond these are sorted."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    if int(spark.conf.get(name, "0")) < PART_WRITERS:
+        spark.conf.set(name, str(PART_WRITERS))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under the work folder and read it back.
 

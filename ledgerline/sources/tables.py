@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from ledgerline import schemas
 from ledgerline.operators.merge import upsert
-from ledgerline.session import delete_folder, files, folders, is_missing, place_text, read_text
+from ledgerline.session import delete_folder, files, folders, is_missing, place_text, read_text, several_writers
 
 # Declared source tables: name -> schema.
 CATALOG: dict[str, T.StructType] = {
@@ -54,6 +54,8 @@ KEPT_SECONDS = 7 * 24 * 3600
 _MANIFESTS = "_manifests"
 _PART = "part"
 _WHOLE = "all"
+# Kept tables are written once and read often.
+_CODEC = "zstd"
 
 
 class Conflict(RuntimeError):
@@ -185,12 +187,14 @@ class Tables:
         """
         folder = f"{name}/v-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
         if part is None:
-            df.write.parquet(self.path(folder))
+            df.write.parquet(self.path(folder), compression=_CODEC)
             found = {_WHOLE: folder}
         else:
-            # Rebalancing lets AQE size the files: small parts share a task, a large one is split.
-            named = df.withColumn(_PART, part.cast("string")).hint("rebalance", F.col(_PART))
-            named.write.partitionBy(_PART).parquet(self.path(folder))
+            # Rows stay in their tasks, which AQE or the scan has sized: a file per task and part costs less than
+            # a shuffle of the table, and with a writer open per part nothing is sorted.
+            several_writers(self.spark)
+            named = df.withColumn(_PART, part.cast("string"))
+            named.write.partitionBy(_PART).parquet(self.path(folder), compression=_CODEC)
             found = {urllib.parse.unquote(f.split("=", 1)[1]): f"{folder}/{f}" for f in folders(self.spark, self.path(folder)) if f.startswith(f"{_PART}=")}
         if replaced is not None and not set(found) <= set(replaced):
             raise ValueError(f"{name}: rows of parts that are not replaced: {sorted(set(found) - set(replaced))}")

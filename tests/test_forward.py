@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL, at, same
+from conftest import SMALL, at, day, same
 from ledgerline.operators import deltas, dimensions, marts, payments, reconcile, staging
 from ledgerline.plans import fixtures, forward
 from ledgerline.plans.catalogue import Inputs
@@ -128,3 +128,21 @@ def test_labels_replaced_afterwards(spark, inputs, tables):
     forward.restore_sums(tables)
     log, key = run_log(spark, 9), tables.read(forward.ANSWER_KEY)
     assert same(deltas.accuracy_from(tables.read("sums/detectors"), log), marts.accuracy(tables.read(forward.FACT), key, log))
+
+
+def test_kept_rows_meet_a_day_once(spark):
+    held = spark.createDataFrame(
+        [("a", 1, day(1), at(2)), ("b", 2, day(2), at(3)), ("c", 3, day(2), at(3)), ("d", None, day(1), at(2)), ("e", 5, day(1), None)],
+        "k string, v int, run_date date, ingested_at timestamp",
+    )
+    today = spark.createDataFrame(
+        [("a", 9, at(3), day(2)), ("b", 7, at(1), day(2)), ("d", 4, at(2), day(1)), ("e", 6, at(9), day(2)), ("f", 8, at(3), day(2))],
+        "k string, v int, ingested_at timestamp, run_date date",
+    )
+    earlier = held.select("k", (F.col("v") + 100).alias("v"), F.lit(day(1)).alias("run_date"), F.lit(at(1)).alias("ingested_at"))
+    keys = spark.createDataFrame([(k,) for k in "abcdefg"], "k string")
+    met = {r.k: r for r in staging.advanced(held.unionByName(held.limit(1).withColumn("k", F.lit("z"))), today, earlier, keys, "k", day(2)).collect()}
+    # Newer; the day's earlier rows are given up for the day's and for other days'; NULLs come first; kept; new; unknown.
+    assert {k: r.new and r.new.v for k, r in met.items()} == {"a": 9, "b": 7, "c": 103, "d": None, "e": 5, "f": 8, "g": None, "z": 1}
+    assert {k: r.old and r.old.v for k, r in met.items()} == {"a": 1, "b": 2, "c": 3, "d": None, "e": 5, "f": None, "g": None, "z": None}
+    assert met["d"].new is not None and met["g"].new is None and [k for k, r in met.items() if not r.touched] == ["z"]

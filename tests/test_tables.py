@@ -100,3 +100,13 @@ def test_upsert(spark, tmp_path):
     tables.upsert("t", spark.createDataFrame([("a", 1), ("b", 2)], COLUMNS), "k", ["n"])
     tables.upsert("t", spark.createDataFrame([("a", 9), ("c", 9)], COLUMNS), "k", ["n"])
     assert sorted(map(tuple, tables.read("t").collect())) == [("a", 9), ("b", 2), ("c", 9)]
+
+
+def test_parts_are_written_without_a_shuffle(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    rows = spark.range(600).repartition(3).withColumn("task", F.spark_partition_id())
+    tables.put("t", rows, tables.bucket("id"))
+    kept = tables.read("t").withColumn("file", F.input_file_name())
+    assert kept.count() == 600 and kept.select("id").distinct().count() == 600
+    assert kept.groupBy("file").agg(F.count_distinct("task").alias("tasks")).where("tasks <> 1").isEmpty()
+    assert set(tables.parts("t")) == {str(b) for b in range(tables.buckets)}
