@@ -44,7 +44,8 @@ CLASSES = 64
 ROWS = 1 << 14
 ROUNDS = 3
 STEP_TOKENS = 1024
-_FEW = 8
+_FEW = 16
+_AT_ONCE = 768
 RATE = (0.3, 0.2, 0.1)
 BLOCK = 256
 SMOOTH = 0.1
@@ -199,9 +200,11 @@ def buckets(model: dict, head: Head, hashes: np.ndarray, endings: np.ndarray) ->
 
 
 def logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    total = weights[rows[:, 0]]
-    for i in range(1, rows.shape[1]):
-        total += weights[rows[:, i]]
+    """Sums of each token's weight rows; the first is row 0 for all of them."""
+    total = weights.take(rows[:, 1], 0)
+    total += weights[0]
+    for i in range(2, rows.shape[1]):
+        total += weights.take(rows[:, i], 0)
     return total
 
 
@@ -211,24 +214,36 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
 
 
 def _sums(wrong: np.ndarray, token: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Sums of the rows ``token`` of ``wrong`` over neighbouring groups: small groups all at once, one
-    member of each at a time, and the few large ones each by itself."""
-    out = wrong[token[starts]]
-    few = sizes <= _FEW
+    """Sums of the rows ``token`` of ``wrong`` over groups, large ones first: one member of each
+    at a time, and the few groups of more than ``_FEW`` each by itself."""
+    out = wrong.take(token[starts], 0)
     for member in range(1, _FEW):
-        more = np.flatnonzero(few & (sizes > member))
-        if not len(more):
+        more = int(np.count_nonzero(sizes > member))
+        if not more:
             break
-        out[more] += wrong[token[starts[more] + member]]
-    for i in np.flatnonzero(~few):
-        out[i] = wrong[token[starts[i] : starts[i] + sizes[i]]].sum(0)
+        out[:more] += wrong.take(token[starts[:more] + member], 0)
+    for i in range(int(np.count_nonzero(sizes > _FEW))):
+        out[i] = wrong.take(token[starts[i] : starts[i] + sizes[i]], 0).sum(0)
     return out
 
 
-def _move(weights: np.ndarray, squares: np.ndarray, at, change: np.ndarray, rate: float) -> None:
-    squares[at] += np.einsum("ij,ij->i", change, change) / change.shape[1]
-    change *= (rate / np.sqrt(squares[at] * change.shape[1] + 1.0))[:, None]
-    weights[at] += change
+def _lengths(change: np.ndarray) -> np.ndarray:
+    """The mean square of each row."""
+    return np.einsum("ij,ij->i", change, change) / change.shape[1]
+
+
+def _move(weights: np.ndarray, squares: np.ndarray, at: np.ndarray, change: np.ndarray, lengths: np.ndarray, rate: float) -> None:
+    """Move the rows ``at``, which are distinct, by ``change``, some at a time while they are in the cache."""
+    damped = squares.take(at)
+    damped += lengths
+    squares[at] = damped
+    scale = (rate / np.sqrt(damped * change.shape[1] + 1.0))[:, None]
+    for a in range(0, len(at), _AT_ONCE):
+        here = slice(a, a + _AT_ONCE)
+        part = change[here]
+        part *= scale[here]
+        part += weights.take(at[here], 0)
+        weights[at[here]] = part
 
 
 def step(weights: np.ndarray, squares: np.ndarray, met: np.ndarray, rows: np.ndarray, target: np.ndarray, rate: float) -> None:
@@ -239,7 +254,8 @@ def step(weights: np.ndarray, squares: np.ndarray, met: np.ndarray, rows: np.nda
     wrong /= -wrong.sum(1, keepdims=True)
     wrong[np.arange(len(target)), target] += 1.0
     met[0] += len(rows)
-    _move(weights, squares, slice(0, 1), wrong.sum(0, keepdims=True), rate)
+    every = wrong.sum(0, keepdims=True)
+    _move(weights, squares, np.zeros(1, np.int64), every, _lengths(every), rate)
     # Sixteen bits are sorted by counting.
     flat = rows[:, 1:].astype(np.uint16).ravel()
     order = np.argsort(flat, kind="stable")
@@ -248,7 +264,15 @@ def step(weights: np.ndarray, squares: np.ndarray, met: np.ndarray, rows: np.nda
     sizes = np.diff(starts, append=len(flat))
     at = ordered[starts].astype(np.int64)
     met[at] += sizes
-    _move(weights, squares, at, _sums(wrong, order // (rows.shape[1] - 1), starts, sizes), rate)
+    token = order // (rows.shape[1] - 1)
+    # Most rows are those of one token only, whose change needs no sum.
+    alone = np.flatnonzero(sizes == 1)
+    one = token[starts[alone]]
+    _move(weights, squares, at[alone], wrong.take(one, 0), _lengths(wrong)[one], rate)
+    several = np.flatnonzero(sizes > 1)
+    several = several[np.argsort(-np.minimum(sizes[several], _FEW + 1).astype(np.int8), kind="stable")]
+    change = _sums(wrong, token, starts[several], sizes[several])
+    _move(weights, squares, at[several], change, _lengths(change), rate)
 
 
 def group_words(counts: np.ndarray, neighbours: np.ndarray, classes: int, first: int) -> np.ndarray:
@@ -289,6 +313,14 @@ def _each(docs: DataFrame, run, schema: str) -> DataFrame:
     return docs.select("text").mapInArrow(run, schema)
 
 
+def _runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the words, and where each distinct one begins in it. Equal words have equal endings, so
+    their own order does not matter and the sort need not be stable."""
+    order = np.argsort(words)
+    ordered = words[order]
+    return order, np.flatnonzero(np.concatenate((np.ones(min(len(words), 1), np.bool_), ordered[1:] != ordered[:-1])))
+
+
 def count_words(training: DataFrame) -> DataFrame:
     """(word, ending, n): how often every token occurs in the training texts."""
 
@@ -299,8 +331,8 @@ def count_words(training: DataFrame) -> DataFrame:
 
         def merge() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             words, ends, n = (np.concatenate(p) for p in zip(*held))
-            once, first, back = np.unique(words, return_index=True, return_inverse=True)
-            return once, ends[first], np.bincount(back, n, len(once)).astype(np.int64)
+            order, starts = _runs(words)
+            return words[order[starts]], ends[order[starts]], np.add.reduceat(n[order], starts)
 
         def out() -> pa.RecordBatch:
             words, ends, n = held[0]
@@ -308,9 +340,9 @@ def count_words(training: DataFrame) -> DataFrame:
 
         for batch in batches:
             for _, _, hashes, endings in tokens(batch.column(0).to_pylist(), tables):
-                once, first, n = np.unique(hashes, return_index=True, return_counts=True)
-                held.append((once, endings[first], n.astype(np.int64)))
-                size += len(once)
+                order, starts = _runs(hashes)
+                held.append((hashes[order[starts]], endings[order[starts]], np.diff(starts, append=len(hashes)).astype(np.int64)))
+                size += len(starts)
                 if size > 2 * merged + 200_000:
                     held = [merge()]
                     size = merged = len(held[0][0])

@@ -139,3 +139,28 @@ def test_head_table_finds_every_word():
     head = M.Head(known)
     assert (head.places(known) == np.arange(len(known))).all()
     assert (head.places(known + np.uint64(1))[50:] == -1).all() and (M.Head(known[:0]).places(known) == -1).all()
+
+
+def test_a_step_is_the_sum_over_its_tokens():
+    rng = np.random.default_rng(3)
+    # Rows met once, a few times, and by most tokens.
+    rows = np.stack([np.zeros(400, int), rng.integers(1, 2000, 400), rng.integers(2000, 2040, 400), np.where(rng.random(400) < 0.9, 2100, 2101)], 1)
+    target = rng.integers(0, 7, 400)
+    given = rng.normal(size=(2200, 7)).astype(np.float32)
+    weights, squares, met = given.copy(), np.ones(2200, np.float32), np.zeros(2200)
+    p = np.exp(M.log_softmax(given[rows].sum(1, dtype=np.float64)))
+    wrong = np.eye(7)[target] - p
+    change, times = np.zeros((2200, 7)), np.zeros(2200)
+    for i in range(rows.shape[1]):
+        np.add.at(change, rows[:, i], wrong)
+        np.add.at(times, rows[:, i], 1)
+    damped = 1 + (change**2).mean(1)
+    M.step(weights, squares, met, rows, target, 0.3)
+    assert (met == times).all() and np.allclose(squares, damped, rtol=1e-4)
+    assert np.allclose(weights, given + change * (0.3 / np.sqrt(damped * 7 + 1))[:, None], atol=1e-4)
+
+
+def test_runs_of_equal_words():
+    order, starts = M._runs(np.array([7, 3, 7, 9, 3, 7], np.uint64))
+    assert np.array([7, 3, 7, 9, 3, 7])[order][starts].tolist() == [3, 7, 9] and starts.tolist() == [0, 2, 5]
+    assert [len(a) for a in M._runs(np.empty(0, np.uint64))] == [0, 0]
