@@ -227,44 +227,59 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def annotate(docs: DataFrame, benchmark: DataFrame, window: int, text: str, names: list[str]) -> DataFrame:
-    """``docs`` and three columns: number of words, word ranges that are hit (end exclusive), items.
+def _marks(text: str | None, before: list[dict[str, int]], sams: list[dict[str, Any]], table: bytes) -> tuple[int, list[tuple[int, int]], set[str]]:
+    """Number of words, ranges hit, those of earlier passes included, and the items that hit in this pass."""
+    words = words_of(text, table)
+    got, found = [(r["start"], r["end"]) for r in before], set()
+    for sam in sams:
+        more, others = hits(words, sam)
+        got = _merged([*got, *more]) if got else more
+        found |= others
+    return len(words), got, found
+
+
+def _mark(df: DataFrame, some: list[Broadcast], window: int, text: str, names: list[str], first: bool) -> DataFrame:
+    """``df`` and three columns: number of words, word ranges that are hit (end exclusive), items; or these with
+    what ``some`` shards add to them."""
+    n_words, spans, items = names
+    kind = f"`{n_words}` long, `{spans}` array<struct<start: int, end: int>>, `{items}` array<string>"
+    table = _word_table()
+
+    def each(batches: Iterator[list[list]]) -> Iterator[list[list]]:
+        sams = [_built(p, window) for p in some]
+        for texts, *before in batches:
+            counts, ranges, found = [], [], []
+            for i, doc in enumerate(texts):
+                n, got, hit = _marks(doc, [] if first else before[0][i], sams, table)
+                counts.append(n)
+                ranges.append([{"start": a, "end": b} for a, b in got])
+                found.append(sorted(hit if first else hit.union(before[1][i])))
+            yield [counts, ranges, found]
+
+    if first:
+        return with_notes(df, [text], kind, each)
+    old = fresh(df, "spans", "items")
+    renamed = df.withColumnsRenamed(dict(zip([spans, items], old))).drop(n_words)
+    return with_notes(renamed, [text, *old], kind, each).drop(*old)
+
+
+def _before_last(docs: DataFrame, parts: list[Broadcast], window: int, text: str, names: list[str]) -> tuple[DataFrame, list[Broadcast], bool]:
+    """``docs`` after all passes but the last, the last one's shards, and whether it is the first one, too.
 
     Documents pass SHARDS_AT_ONCE shards at a time. A benchmark beyond that takes further
     passes, each over a stored copy, so no task ever holds more automata than that.
     """
-    parts = shards(benchmark)
-    table = _word_table()
-    n_words, spans, items = names
-    kind = f"`{n_words}` long, `{spans}` array<struct<start: int, end: int>>, `{items}` array<string>"
+    at = 0
+    while at + SHARDS_AT_ONCE < len(parts):
+        docs = materialize(_mark(docs, parts[at : at + SHARDS_AT_ONCE], window, text, names, at == 0), "marked")
+        at += SHARDS_AT_ONCE
+    return docs, parts[at:], at == 0
 
-    def one_pass(df: DataFrame, some: list[Broadcast], first: bool) -> DataFrame:
-        def each(batches: Iterator[list[list]]) -> Iterator[list[list]]:
-            sams = [_built(p, window) for p in some]
-            for texts, *before in batches:
-                counts, ranges, found = [], [], []
-                for i, doc in enumerate(texts):
-                    words = words_of(doc, table)
-                    got, hit = ([], set()) if first else ([(r["start"], r["end"]) for r in before[0][i]], set(before[1][i]))
-                    for sam in sams:
-                        more, others = hits(words, sam)
-                        got = _merged([*got, *more]) if got else more
-                        hit |= others
-                    counts.append(len(words))
-                    ranges.append([{"start": a, "end": b} for a, b in got])
-                    found.append(sorted(hit))
-                yield [counts, ranges, found]
-
-        if first:
-            return with_notes(df, [text], kind, each)
-        old = fresh(df, "spans", "items")
-        renamed = df.withColumnsRenamed(dict(zip([spans, items], old))).drop(n_words)
-        return with_notes(renamed, [text, *old], kind, each).drop(*old)
-
-    marked = one_pass(docs, parts[:SHARDS_AT_ONCE], True)
-    for at in range(SHARDS_AT_ONCE, len(parts), SHARDS_AT_ONCE):
-        marked = one_pass(materialize(marked, "marked"), parts[at : at + SHARDS_AT_ONCE], False)
-    return marked
+
+def annotate(docs: DataFrame, benchmark: DataFrame, window: int, text: str, names: list[str]) -> DataFrame:
+    """``docs`` and three columns: number of words, word ranges that are hit (end exclusive), items."""
+    marked, last, first = _before_last(docs, shards(benchmark), window, text, names)
+    return _mark(marked, last, window, text, names, first)
 
 
 def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -277,24 +292,29 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cove
     """Documents without the spans that are hit; those of which more than ``max_coverage`` is hit go.
 
     A span's characters go with it, from the start of its first word to that of the next
-    word, so the words around it stay apart.
+    word, so the words around it stay apart. The last pass marks and cuts at once: a second
+    pass behind it would keep a second Python worker per task.
     """
     names = fresh(docs, "n_words", "spans", "items")
+    table = _word_table()
+    marked, last, first = _before_last(docs, shards(benchmark), window, "text", names)
 
-    def clean(doc: str, n_words: int, spans: list[dict[str, int]]) -> str | None:
+    def clean(doc: str, before: list[dict[str, int]] = []) -> str | None:
+        n_words, spans, _ = _marks(doc, before, [_built(p, window) for p in last], table)
         if not spans:
             return doc
-        if sum(r["end"] - r["start"] for r in spans) > max_coverage * n_words:
+        if sum(b - a for a, b in spans) > max_coverage * n_words:
             return None
         starts = [m.start() for m in _WORD.finditer(doc.translate(_LOWER))] + [len(doc)]
         kept, at = [], 0
-        for r in spans:
-            kept.append(doc[at : starts[r["start"]]])
-            at = starts[r["end"]]
+        for a, b in spans:
+            kept.append(doc[at : starts[a]])
+            at = starts[b]
         return "".join([*kept, doc[at:]])
 
-    marked = annotate(docs, benchmark, window, "text", names).drop(names[2])
-    return rewrite_text(marked, names[:2], clean, drop_none=True)
+    if first:
+        return rewrite_text(marked, [], clean, drop_none=True)
+    return rewrite_text(marked.drop(names[0], names[2]), [names[1]], clean, drop_none=True)
 
 
 def digests(matched: DataFrame, key: str = "doc_id") -> DataFrame:

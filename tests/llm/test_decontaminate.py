@@ -71,6 +71,33 @@ def test_remove(spark):
     assert D.remove(docs, bench).columns == docs.columns and left[0]["a.b"] == "tick"
 
 
+def test_remove_takes_one_python_pass_and_the_same_for_any_shards(spark, monkeypatch):
+    rnd = random.Random(3)
+    pool = [f"w{i}" for i in range(6)]
+    bench = items(spark, [(i, " ".join(rnd.choice(pool) for _ in range(rnd.randint(3, 14))), "") for i in range(12)])
+    texts = [", ".join(rnd.choice([*pool, "Other", "Ä"]) for _ in range(60)) for _ in range(30)] + ["", None, "w1"]
+    docs = edge.simple(spark, texts)
+
+    def removed():
+        left = D.remove(docs, bench, window=5)
+        assert left.columns == docs.columns
+        assert left._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        return {r.doc_id: r for r in left.collect()}
+
+    whole = removed()
+    marked = {r.doc_id: r for r in D.match(docs, bench, window=5).collect()}
+    hit = {i: sum(s.end - s.start for s in r.spans) for i, r in marked.items()}
+    assert set(whole) == {i for i, r in marked.items() if hit[i] <= D.MAX_COVERAGE * r.n_words}
+    for i, r in whole.items():
+        words = D.words_of(texts[i], D._word_table())
+        gone = {at for s in marked[i].spans for at in range(s.start, s.end)}
+        assert D.words_of(r.text, D._word_table()) == [w for at, w in enumerate(words) if at not in gone]
+    assert any(hit[i] for i in whole) and whole[31].text is None
+    monkeypatch.setattr(D, "SHARD_WORDS", 15)
+    assert len(D.shards(bench)) > 2 * D.SHARDS_AT_ONCE
+    assert removed() == whole
+
+
 def test_empty_tables(spark):
     bench = items(spark, [])
     assert D.match(edge.empty(spark), bench).collect() == []
